@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.functions import expressions as X
 from tripmart.operators import dims, staging
-from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS, bounded_rows
+from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS
 from tripmart.sources import lookups as L
 
 # Plausibility bounds (seconds, miles).
@@ -45,12 +45,13 @@ class Lookups:
     @classmethod
     def build(cls, spark: SparkSession, raw_zones: DataFrame, seed_dir: str | None = None,
               max_rows: int = DEFAULT_MAX_ROWS) -> "Lookups":
-        seeds = L.load_seeds(spark, seed_dir)
+        # Each check reads at most max_rows + 1 rows and fails past the
+        # bound, so passing it is the size proof for the broadcast.
+        seeds = L.load_seeds(spark, seed_dir, max_rows)
         dim = dims.dim_location(staging.stg_zones(raw_zones))
         L.assert_unique_key(dim, "location_id", "dim_location", max_rows)
-        small = all(bounded_rows(d, max_rows) is not None for d in [dim, *seeds.values()])
         return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"],
-                   seeds["store_and_fwd_flag"], dim, broadcast=small)
+                   seeds["store_and_fwd_flag"], dim, broadcast=True)
 
     def side(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.broadcast else df

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.operators import facts, marts, staging
+from tripmart.operators import dims, facts, marts, quality, staging
 from tripmart.plans import oracle_sql as O
 from tripmart.session import configure
 from tripmart.sources import fixture
@@ -124,6 +124,40 @@ def q_mart_grain_unique(spark, sf_dir):
     return out
 
 
+def dq_models(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The eight tested models built over the fixture, and the seed parents."""
+    lk = lookups(spark)
+    stg = _stg(spark, sf_dir)
+    fact = facts.fact_trips(stg, lk)
+    models = {
+        quality.STG_TRIPS: stg,
+        quality.STG_ZONES: staging.stg_zones(fixture.zones_fixture(spark)),
+        quality.DIM: lk.dim_location,
+        quality.FACT: fact,
+    }
+    for name in marts.MARTS:
+        models[name] = marts.build_mart(name, fact)
+    parents = {"vendor": lk.vendor, "rate_code": lk.rate_code, "payment_type": lk.payment_type}
+    return models, parents
+
+
+def _dq(tests: tuple[str, ...] | None) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models, parents = dq_models(spark, sf_dir)
+        checks = [c for c in quality.DECLARED_CHECKS if tests is None or c.test in tests]
+        return quality.run_checks(models, checks, parents)
+    return run
+
+
+DQ_QUERIES = {
+    "dq_not_null": (quality.NOT_NULL,),
+    "dq_unique": (quality.UNIQUE,),
+    "dq_accepted_values": (quality.ACCEPTED,),
+    "dq_relationships": (quality.RELATIONSHIPS,),
+    "dq_report": None,
+}
+
+
 def spark_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "stg_trips_clean": q_stg_trips_clean,
@@ -136,6 +170,8 @@ def spark_queries() -> dict[str, QueryFn]:
     for name in marts.MARTS:
         q[name] = _mart(name)
     q["mart_grain_unique"] = q_mart_grain_unique
+    for name, tests in DQ_QUERIES.items():
+        q[name] = _dq(tests)
     return q
 
 
@@ -197,4 +233,42 @@ def oracle_queries() -> dict[str, str]:
     for name in marts.MARTS:
         q[name] = _oracle_mart(name)
     q["mart_grain_unique"] = _oracle_mart_grain_unique()
+    for name, tests in DQ_QUERIES.items():
+        q[name] = _oracle_dq(tests)
     return q
+
+
+DQ_MODEL_CTES = {
+    quality.STG_TRIPS: "stg", quality.STG_ZONES: "stg_zones", quality.DIM: "dim", quality.FACT: "fact_dq",
+    **{name: f"m_{name}" for name in marts.MARTS},
+}
+
+
+def _oracle_check(c: quality.Check) -> str:
+    m = DQ_MODEL_CTES[c.model]
+    head = f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, '{c.severity}' AS severity, "
+    if c.test == quality.NOT_NULL:
+        body = f"CAST(count(*) AS BIGINT) AS failures FROM {m} WHERE {c.column} IS NULL"
+    elif c.test == quality.UNIQUE:
+        body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {m} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING count(*) > 1)")
+    elif c.test == quality.ACCEPTED:
+        vals = ", ".join(f"'{v}'" for v in c.values)
+        body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} AS v FROM {m} "
+                f"GROUP BY {c.column}) WHERE v NOT IN ({vals})")
+    else:
+        parent = DQ_MODEL_CTES.get(c.to_model, c.to_model)
+        body = (f"CAST(count(*) AS BIGINT) AS failures FROM {m} c LEFT JOIN {parent} p "
+                f"ON c.{c.column} = p.{c.to_field} WHERE c.{c.column} IS NOT NULL AND p.{c.to_field} IS NULL")
+    return head + body
+
+
+def _oracle_dq(tests) -> str:
+    ctes = O.base_ctes()
+    ctes.append(("fact_dq", f"  SELECT *, {O.h_to_double('_min_h')} AS trip_duration_minutes FROM fact"))
+    for name in marts.MARTS:
+        ctes.append((f"m_{name}", O.mart_sql(name)))
+    checks = [c for c in quality.DECLARED_CHECKS if tests is None or c.test in tests]
+    ctes.append(("checks", "\nUNION ALL\n".join(_oracle_check(c) for c in checks)))
+    return O.with_sql(ctes, "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+                            "ELSE 'fail' END AS status FROM checks")

@@ -110,8 +110,10 @@ def fixture_zone_rows() -> list[tuple[int, str, str, str]]:
 
 
 def zones_fixture(spark: SparkSession) -> DataFrame:
-    """The rule-built zone lookup as a raw zone DataFrame (265 rows)."""
-    return spark.createDataFrame(fixture_zone_rows(), schema=schemas.RAW_ZONES)
+    """The rule-built zone lookup as a raw zone DataFrame (265 rows).
+
+    An inline VALUES relation: a JVM-side local relation, no Python RDD."""
+    return spark.sql("SELECT * FROM " + zones_sql(string_type="STRING"))
 
 
 def write_zones_csv(rows, path: str) -> str:
@@ -241,10 +243,11 @@ def values_sql(rows, columns, types) -> str:
     return f"(SELECT {casts} FROM (VALUES\n    {body}\n) AS v({', '.join(columns)}))"
 
 
-def zones_sql(rows=None) -> str:
+def zones_sql(rows=None, string_type: str = "VARCHAR") -> str:
+    """Zone rows as a typed VALUES relation (STRING for Spark, VARCHAR for DuckDB)."""
     rows = rows if rows is not None else fixture_zone_rows()
     return values_sql(rows, ["LocationID", "Borough", "Zone", "service_zone"],
-                      ["INTEGER", "VARCHAR", "VARCHAR", "VARCHAR"])
+                      ["INTEGER", string_type, string_type, string_type])
 
 
 def seed_sql(name: str) -> str:

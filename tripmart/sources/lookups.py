@@ -34,7 +34,8 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def read_seed(spark: SparkSession, name: str, path: str | None = None, check_unique: bool = True) -> DataFrame:
+def read_seed(spark: SparkSession, name: str, path: str | None = None, check_unique: bool = True,
+              max_rows: int = 100_000) -> DataFrame:
     """One seed lookup with its declared schema; fails on a repeated key."""
     path = path or os.path.join(SEED_DIR, f"{name}.csv")
     df = (spark.read.schema(schemas.seed_schema(name))
@@ -42,18 +43,20 @@ def read_seed(spark: SparkSession, name: str, path: str | None = None, check_uni
           .option("mode", "FAILFAST")
           .csv(path))
     if check_unique:
-        assert_unique_key(df, schemas.SEEDS[name][0], name)
+        assert_unique_key(df, schemas.SEEDS[name][0], name, max_rows)
     return df
 
 
-def load_seeds(spark: SparkSession, seed_dir: str | None = None) -> dict[str, DataFrame]:
+def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int = 100_000) -> dict[str, DataFrame]:
+    """All four seeds, each checked unique and at most ``max_rows`` rows."""
     seed_dir = seed_dir or SEED_DIR
-    return {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv")) for n in SEED_NAMES}
+    return {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv"), max_rows=max_rows) for n in SEED_NAMES}
 
 
-def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_000) -> None:
-    """Raise if ``key`` repeats in a lookup.  Bounded: a lookup larger than
-    ``max_rows`` is rejected rather than scanned in full."""
+def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_000) -> int:
+    """Raise if ``key`` repeats in a lookup; return its row count.  Bounded:
+    a lookup larger than ``max_rows`` is rejected rather than scanned in full,
+    so the count doubles as the size proof for broadcasting it."""
     sample = df.limit(max_rows + 1)
     stats = sample.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
                        F.count_if(F.col(key).isNull()).alias("nulls")).first()
@@ -61,3 +64,4 @@ def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_00
         raise LookupError_(f"lookup {name} has more than {max_rows} rows")
     if stats["k"] + stats["nulls"] != stats["n"] or stats["nulls"] > 1:
         raise LookupError_(f"lookup {name} repeats its key {key}")
+    return int(stats["n"])
