@@ -17,6 +17,7 @@ from tripmart import schemas
 from tripmart.operators import dims, facts, marts, quality, staging
 from tripmart.plans import oracle_sql as O
 from tripmart.session import configure
+from tripmart.streaming import incremental as inc
 from tripmart.sources import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,67 @@ DQ_QUERIES = {
 }
 
 
+# Incremental scenarios: batch 1 = January as first delivered (late rows
+# held back), batch 2 = the raw layer after February lands and January is
+# re-delivered complete.
+MERGE_FROM_DATE = "2025-01-25"
+MONTH_GRAIN = ["pickup_year", "pickup_month"]
+INCR_MARTS = {
+    "incr_daily_reference": "agg_daily_zone_summary",
+    "incr_hourly_reference": "agg_hourly_demand",
+    "incr_monthly_reference": "agg_monthly_zone_summary",
+    "incr_vendor_reference": "agg_vendor_performance",
+}
+
+
+def _batches(spark, sf_dir):
+    configure(spark)
+    lk = lookups(spark)
+    jan_raw, full_raw = fixture.raw_trips_batches(spark, sf_dir)
+    stg1, stg2 = staging.stg_trips(jan_raw), staging.stg_trips(full_raw)
+    fact1 = facts.fact_trips(stg1, lk)
+    return lk, full_raw, stg2, fact1
+
+
+def q_incr_fact_reference(spark, sf_dir):
+    lk, _, stg2, fact1 = _batches(spark, sf_dir)
+    return present(inc.incremental_fact(stg2, lk, fact1))
+
+
+def _incr_mart(name: str) -> QueryFn:
+    def run(spark, sf_dir):
+        lk, _, stg2, fact1 = _batches(spark, sf_dir)
+        fact2 = inc.incremental_fact(stg2, lk, fact1)
+        first = marts.build_mart(name, fact1)
+        return present(inc.incremental_mart(name, fact2, first))
+    return run
+
+
+def q_incr_monthly_safe(spark, sf_dir):
+    lk, full_raw, stg2, fact1 = _batches(spark, sf_dir)
+    name = "agg_monthly_zone_summary"
+    first = marts.build_mart(name, fact1)
+    touched = inc.months_of(full_raw.select(F.year("tpep_pickup_datetime").alias("y"),
+                                            F.month("tpep_pickup_datetime").alias("m")), "y", "m")
+    rebuilt = marts.build_mart(name, inc.safe_rebuild_fact(stg2, lk, touched))
+    return present(inc.replace_grains(first, rebuilt, MONTH_GRAIN))
+
+
+def q_merge_upsert_single_key(spark, sf_dir):
+    lk, _, stg2, fact1 = _batches(spark, sf_dir)
+    late = facts.fact_trips(stg2, lk).filter(F.col("pickup_date") >= F.lit(MERGE_FROM_DATE).cast("date"))
+    changed = late.withColumn("total_amount", (F.col("total_amount") + F.lit(1)).cast(schemas.MONEY))
+    return present(inc.merge_upsert(fact1, changed, inc.FACT_KEY))
+
+
+def q_merge_upsert_composite_key(spark, sf_dir):
+    lk, _, stg2, fact1 = _batches(spark, sf_dir)
+    name = "agg_daily_zone_summary"
+    late = facts.fact_trips(stg2, lk).filter(F.col("pickup_date") >= F.lit(MERGE_FROM_DATE).cast("date"))
+    return present(inc.merge_upsert(marts.build_mart(name, fact1), marts.build_mart(name, late),
+                                    marts.MERGE_KEYS[name], null_safe=True))
+
+
 def spark_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "stg_trips_clean": q_stg_trips_clean,
@@ -172,6 +234,12 @@ def spark_queries() -> dict[str, QueryFn]:
     q["mart_grain_unique"] = q_mart_grain_unique
     for name, tests in DQ_QUERIES.items():
         q[name] = _dq(tests)
+    q["incr_fact_reference"] = q_incr_fact_reference
+    for qname, mart in INCR_MARTS.items():
+        q[qname] = _incr_mart(mart)
+    q["incr_monthly_safe"] = q_incr_monthly_safe
+    q["merge_upsert_single_key"] = q_merge_upsert_single_key
+    q["merge_upsert_composite_key"] = q_merge_upsert_composite_key
     return q
 
 
@@ -235,9 +303,87 @@ def oracle_queries() -> dict[str, str]:
     q["mart_grain_unique"] = _oracle_mart_grain_unique()
     for name, tests in DQ_QUERIES.items():
         q[name] = _oracle_dq(tests)
+    q["incr_fact_reference"] = _oracle_incr_fact()
+    for qname, mart in INCR_MARTS.items():
+        q[qname] = _oracle_incr_mart(mart)
+    q["incr_monthly_safe"] = _oracle_incr_monthly_safe()
+    q["merge_upsert_single_key"] = _oracle_merge_single()
+    q["merge_upsert_composite_key"] = _oracle_merge_composite()
     return q
 
 
+def _batch_ctes() -> list[tuple[str, str]]:
+    b1 = (f"  SELECT * EXCLUDE (_orderkey) FROM ({fixture.raw_trips_sql(keep_order_key=True)})\n"
+          f"  WHERE tpep_pickup_datetime < TIMESTAMP '{fixture.BATCH_SPLIT_DATE}' "
+          f"AND _orderkey % {fixture.LATE_EVERY} <> 0")
+    return (O.staging_ctes(b1, prefix="b1_") + O.staging_ctes(fixture.raw_trips_sql())
+            + O.lookup_ctes() + O.fact_ctes(prefix="b1_") + O.fact_ctes())
+
+
+def _anti_union(target: str, source: str, keys, null_safe=False) -> str:
+    op = "IS NOT DISTINCT FROM" if null_safe else "="
+    cond = " AND ".join(f"s.{k} {op} t.{k}" for k in keys)
+    return (f"  SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {cond})\n"
+            f"  UNION ALL SELECT * FROM {source}")
+
+
+def _fact2_ctes() -> list[tuple[str, str]]:
+    return _batch_ctes() + [
+        ("inc_fact", "  SELECT * FROM fact WHERE pickup_datetime > (SELECT max(pickup_datetime) FROM b1_fact)"),
+        ("fact2", _anti_union("b1_fact", "inc_fact", inc.FACT_KEY)),
+    ]
+
+
+def _oracle_incr_fact() -> str:
+    return O.with_sql(_fact2_ctes(), f"SELECT {O.fact_select(schemas.FACT_COLUMNS)} FROM fact2")
+
+
+MART_MARK_SQL = {
+    "agg_daily_zone_summary": "pickup_date", "agg_hourly_demand": "pickup_date",
+    "agg_monthly_zone_summary": "make_date(pickup_year, pickup_month, 1)",
+    "agg_vendor_performance": "make_date(pickup_year, pickup_month, 1)",
+}
+
+
+def _oracle_incr_mart(name: str) -> str:
+    ctes = _fact2_ctes() + [
+        ("m1", O.mart_sql(name, "b1_fact")),
+        ("m_inc", O.mart_sql(name, f"(SELECT * FROM fact2 WHERE pickup_date > "
+                                   f"(SELECT max({MART_MARK_SQL[name]}) FROM m1)) AS src")),
+        ("m2", _anti_union("m1", "m_inc", marts.MERGE_KEYS[name])),
+    ]
+    return O.with_sql(ctes, "SELECT * FROM m2")
+
+
+def _oracle_incr_monthly_safe() -> str:
+    # Both months are touched by batch 2, so the safe rebuild equals a full load.
+    ctes = _batch_ctes() + [
+        ("m1", O.mart_sql("agg_monthly_zone_summary", "b1_fact")),
+        ("rebuilt", O.mart_sql("agg_monthly_zone_summary", "fact")),
+        ("m2", _anti_union("m1", "rebuilt", MONTH_GRAIN, null_safe=True)),
+    ]
+    return O.with_sql(ctes, "SELECT * FROM m2")
+
+
+def _oracle_merge_single() -> str:
+    ctes = _batch_ctes() + [
+        ("src", f"  SELECT * REPLACE (CAST(total_amount + 1 AS DECIMAL(10,2)) AS total_amount) FROM fact "
+                f"WHERE pickup_date >= DATE '{MERGE_FROM_DATE}'"),
+        ("merged", _anti_union("b1_fact", "src", inc.FACT_KEY)),
+    ]
+    return O.with_sql(ctes, f"SELECT {O.fact_select(schemas.FACT_COLUMNS)} FROM merged")
+
+
+def _oracle_merge_composite() -> str:
+    name = "agg_daily_zone_summary"
+    ctes = _batch_ctes() + [
+        ("m1", O.mart_sql(name, "b1_fact")),
+        ("src", O.mart_sql(name, f"(SELECT * FROM fact WHERE pickup_date >= DATE '{MERGE_FROM_DATE}') AS f")),
+        ("merged", _anti_union("m1", "src", marts.MERGE_KEYS[name], null_safe=True)),
+    ]
+    return O.with_sql(ctes, "SELECT * FROM merged")
+
+
 DQ_MODEL_CTES = {
     quality.STG_TRIPS: "stg", quality.STG_ZONES: "stg_zones", quality.DIM: "dim", quality.FACT: "fact_dq",
     **{name: f"m_{name}" for name in marts.MARTS},
