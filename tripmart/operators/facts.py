@@ -47,9 +47,11 @@ class Lookups:
               max_rows: int = DEFAULT_MAX_ROWS) -> "Lookups":
         # Each check reads at most max_rows + 1 rows and fails past the
         # bound, so passing it is the size proof for the broadcast.
-        seeds = L.load_seeds(spark, seed_dir, max_rows)
+        seeds = L.load_seeds(spark, seed_dir, check=False)
         dim = dims.dim_location(staging.stg_zones(raw_zones))
-        L.assert_unique_key(dim, "location_id", "dim_location", max_rows)
+        checks = {n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}
+        checks["dim_location"] = (dim, "location_id")
+        L.check_lookups(checks, max_rows)
         return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"],
                    seeds["store_and_fwd_flag"], dim, broadcast=True)
 

@@ -23,8 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.operators.lookup_join import bounded_rows
-
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS = "not_null", "unique", "accepted_values", "relationships"
 ERROR, WARN = "error", "warn"
 INLINE_PARENT_MAX_KEYS = 10_000
@@ -111,15 +109,37 @@ def _rows(model: str, checks: Sequence[Check], counts: DataFrame) -> DataFrame:
                       F.coalesce(F.col("failures"), F.lit(0).cast("bigint")).alias("failures"))
 
 
-def _inline_parent_keys(parent: DataFrame, field_: str):
+def parent_key_sets(pairs: Sequence[tuple[DataFrame, str]]) -> dict:
+    """Distinct keys of several parents in ONE job, each read through a
+    bounded limit; a parent past ``INLINE_PARENT_MAX_KEYS`` maps to None."""
+    import json
+
+    out, parts = {}, []
+    for i, (parent, field_) in enumerate(pairs):
+        keys = parent.select(F.col(field_).alias("k")).distinct().limit(INLINE_PARENT_MAX_KEYS + 1)
+        parts.append(keys.agg(F.count(F.lit(1)).alias("n"), F.to_json(F.collect_list("k")).alias("keys"))
+                     .select(F.lit(i).alias("i"), "n", "keys"))
+    if not parts:
+        return out
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    for r in union.collect():
+        parent, field_ = pairs[r["i"]]
+        out[(id(parent), field_)] = None if r["n"] > INLINE_PARENT_MAX_KEYS else json.loads(r["keys"])
+    return out
+
+
+def _inline_parent_keys(parent: DataFrame, field_: str, cache: dict):
     """Parent keys as a Python list when the parent is provably small, else None."""
-    if bounded_rows(parent, INLINE_PARENT_MAX_KEYS) is None:
-        return None
-    return [r[0] for r in parent.select(field_).distinct().collect() if r[0] is not None]
+    tag = (id(parent), field_)
+    if tag not in cache:
+        cache.update(parent_key_sets([(parent, field_)]))
+    return cache[tag]
 
 
 def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
-                 parents: Mapping[str, DataFrame]) -> tuple[DataFrame | None, list[Check]]:
+                 parents: Mapping[str, DataFrame], cache: dict) -> tuple[DataFrame | None, list[Check]]:
     """One aggregate over ``df`` for every check that needs no shuffle by key."""
     aggs, done, rest = [], [], []
     for c in checks:
@@ -129,7 +149,7 @@ def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
         elif c.test == ACCEPTED:
             agg = F.count_distinct(F.when(~col.isin(list(c.values)), col))
         elif c.test == RELATIONSHIPS:
-            keys = _inline_parent_keys(parents[c.to_model], c.to_field)
+            keys = _inline_parent_keys(parents[c.to_model], c.to_field, cache)
             if keys is None:
                 rest.append(c)
                 continue
@@ -141,6 +161,13 @@ def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
         done.append(c)
     if not done:
         return None, rest
+    if all(c.test == NOT_NULL for c in done):
+        # Only rows with some NULL can fail: the filter reaches the scan (and
+        # passes below a lazy dedup), so clean data costs almost nothing.
+        any_null = None
+        for c in done:
+            any_null = F.col(c.column).isNull() if any_null is None else any_null | F.col(c.column).isNull()
+        df = df.filter(any_null)
     return _rows(model, done, df.agg(*aggs)), rest
 
 
@@ -165,11 +192,14 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = tuple(
     parents = dict(parents or {})
     parents.update(models)
     parts = []
+    rel = {(id(parents[c.to_model]), c.to_field): (parents[c.to_model], c.to_field)
+           for c in checks if c.test == RELATIONSHIPS and c.model in models}
+    cache = parent_key_sets(list(rel.values()))
     for model, df in models.items():
         mine = [c for c in checks if c.model == model]
         if not mine:
             continue
-        single, rest = _single_pass(model, df, mine, parents)
+        single, rest = _single_pass(model, df, mine, parents, cache)
         if single is not None:
             parts.append(single)
         parts.extend(_keyed(model, df, c, parents) for c in rest)

@@ -167,7 +167,6 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
     lk = facts.Lookups.build(spark, spark.read.parquet(layout.raw_zones).select(*schemas.RAW_ZONES.fieldNames()),
                              seed_dir)
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
-    lk.dim_location = spark.read.parquet(layout.dim_location)
 
     stg = staging.stg_trips(raw_trips_table(spark, layout), dup_policy)
     first_run = not fs.has_data(spark, layout.fact)

@@ -30,6 +30,8 @@ def write_month_files(spark: SparkSession, sf_dir: str, inbound: str, raw: DataF
     folder to its file name."""
     raw = raw if raw is not None else fixture.raw_trips_fixture(spark, sf_dir)
     parts = inbound.rstrip("/") + "/_parts"
+    # several files per month, as a published monthly file has several row groups
+    raw = raw.repartition(spark.sparkContext.defaultParallelism)
     raw.write.mode("overwrite").partitionBy("trip_year", "trip_month").parquet(parts)
     out = {}
     for y, m in MONTHS:

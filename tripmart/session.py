@@ -58,16 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged writes.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared folder there).  Only when it is unset -- local tests -- a fresh
-    local folder is created and registered.
+    shared folder there) or the context's checkpoint folder.  Only when both
+    are unset -- local tests -- a fresh local folder is created and set as
+    the context's checkpoint folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -47,10 +47,40 @@ def read_seed(spark: SparkSession, name: str, path: str | None = None, check_uni
     return df
 
 
-def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int = 100_000) -> dict[str, DataFrame]:
-    """All four seeds, each checked unique and at most ``max_rows`` rows."""
+def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int = 100_000,
+               check: bool = True) -> dict[str, DataFrame]:
+    """All four seeds, checked unique and at most ``max_rows`` rows each
+    (one job for all four)."""
     seed_dir = seed_dir or SEED_DIR
-    return {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv"), max_rows=max_rows) for n in SEED_NAMES}
+    seeds = {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv"), check_unique=False) for n in SEED_NAMES}
+    if check:
+        check_lookups({n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}, max_rows)
+    return seeds
+
+
+def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100_000) -> dict[str, int]:
+    """Key-uniqueness and size checks of several lookups in ONE job.
+
+    Each lookup is read through ``limit(max_rows + 1)``, so an oversized
+    input stops early and fails; passing is the size proof for broadcasting.
+    Returns the row count of each lookup."""
+    parts = []
+    for name, (df, key) in lookups.items():
+        parts.append(df.limit(max_rows + 1).agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
+            F.count_if(F.col(key).isNull()).alias("nulls")).select(F.lit(name).alias("name"), "n", "k", "nulls"))
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counts = {}
+    for r in union.collect():
+        key = lookups[r["name"]][1]
+        if r["n"] > max_rows:
+            raise LookupError_(f"lookup {r['name']} has more than {max_rows} rows")
+        if r["k"] + r["nulls"] != r["n"] or r["nulls"] > 1:
+            raise LookupError_(f"lookup {r['name']} repeats its key {key}")
+        counts[r["name"]] = int(r["n"])
+    return counts
 
 
 def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_000) -> int:

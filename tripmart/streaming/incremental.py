@@ -168,13 +168,21 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Se
 def replace_months_in_table(spark: SparkSession, path: str, rebuilt: DataFrame,
                             months: Sequence[tuple[int, int]],
                             partition_cols: Sequence[str] = tuple(schemas.FACT_PARTITIONS)) -> None:
-    """Safe mode: replace whole month partitions; months with no rebuilt
-    rows are cleared (their trips disappeared from raw)."""
-    staged = sinks.stage(spark, rebuilt, "rebuild", partition_cols)
-    present = {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}
+    """Safe mode: replace whole month partitions of the table at ``path``.
+
+    ``rebuilt`` must not read ``path`` itself (the fact is rebuilt from raw,
+    a mart from the fact), so it is written straight in by dynamic partition
+    overwrite -- no staging copy.  The months that received rows are
+    observed during that same write job; months of ``months`` that got none
+    are cleared afterwards (their trips disappeared from raw)."""
+    from pyspark.sql import Observation
+
+    from tripmart.plans import fs
+
+    obs = Observation("written_months")
+    observed = rebuilt.observe(obs, F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("parts"))
+    sinks.write_partitions(observed, path, partition_cols)
+    written = {tuple(r) for r in (obs.get.get("parts") or [])}
     for y, m in months:
-        if (y, m) not in present:
-            from tripmart.plans import fs
+        if (y, m) not in written:
             fs.delete(spark, f"{path.rstrip('/')}/{partition_cols[0]}={y}/{partition_cols[1]}={m}")
-    if present:
-        sinks.write_partitions(staged, path, partition_cols)
