@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tripmart import schemas  # noqa: E402
-from tripmart.operators import facts, marts, quality, staging  # noqa: E402
+from tripmart.operators import facts, quality, staging  # noqa: E402
 from tripmart.plans import pipeline, sinks  # noqa: E402
 from tripmart.plans.roundtrips import write_month_files, write_zones  # noqa: E402
 from tripmart.session import build_session  # noqa: E402
@@ -49,9 +49,7 @@ def one_pass(spark, sf_dir, work):
     _timed(res, "fact_trips", lambda: sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact,
                                                             schemas.FACT_PARTITIONS))
     fact = spark.read.parquet(layout.fact)
-    for name in marts.MARTS:
-        _timed(res, name, lambda n=name: sinks.overwrite_table(marts.build_mart(n, fact), layout.mart(n),
-                                                               schemas.FACT_PARTITIONS))
+    _timed(res, "four_marts", lambda: pipeline.write_marts(spark, layout, fact))
 
     def dq():
         report = quality.run_checks(pipeline.tables(spark, layout, stg, lk), quality.DECLARED_CHECKS,

@@ -143,6 +143,33 @@ def month_ranges_filter(col: str, months: Iterable[tuple[int, int]]):
     return cond
 
 
+MART_THREADS = 4
+
+
+def run_concurrently(tasks: dict, max_workers: int = MART_THREADS) -> dict:
+    """Submit independent Spark jobs (e.g. the four mart writes) from a few
+    driver threads so their stages share the executors; re-raises the first
+    failure.  Each job still plans and runs on the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+def write_marts(spark: SparkSession, layout: Layout, fact: DataFrame,
+                months: Iterable[tuple[int, int]] | None = None) -> None:
+    """All four marts from ``fact``: whole tables, or whole ``months`` only."""
+    if months is None:
+        tasks = {n: (lambda n=n: sinks.overwrite_table(marts.build_mart(n, fact), layout.mart(n),
+                                                       schemas.FACT_PARTITIONS)) for n in marts.MARTS}
+    else:
+        months = sorted(months)
+        tasks = {n: (lambda n=n: inc.replace_months_in_table(spark, layout.mart(n), marts.build_mart(n, fact),
+                                                             months)) for n in marts.MARTS}
+    run_concurrently(tasks)
+
+
 def partition_filter(months: Iterable[tuple[int, int]]):
     """Predicate on the pickup_year/pickup_month partition columns (pruning)."""
     cond = None
@@ -173,17 +200,13 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
 
     if full_refresh or first_run:
         sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact, schemas.FACT_PARTITIONS)
-        fact = spark.read.parquet(layout.fact)
-        for name in marts.MARTS:
-            sinks.overwrite_table(marts.build_mart(name, fact), layout.mart(name), schemas.FACT_PARTITIONS)
+        write_marts(spark, layout, spark.read.parquet(layout.fact))
     elif mode == inc.SAFE:
         months = sorted(set(months or []))
         if months:
             rebuilt = facts.fact_trips(stg.filter(month_ranges_filter("pickup_datetime", months)), lk)
             inc.replace_months_in_table(spark, layout.fact, rebuilt, months)
-            fact_months = spark.read.parquet(layout.fact).filter(partition_filter(months))
-            for name in marts.MARTS:
-                inc.replace_months_in_table(spark, layout.mart(name), marts.build_mart(name, fact_months), months)
+            write_marts(spark, layout, spark.read.parquet(layout.fact).filter(partition_filter(months)), months)
     elif mode == inc.REFERENCE:
         target = spark.read.parquet(layout.fact)
         mark = inc.collect_watermark(target, "fact_yellow_taxi_trips")

@@ -21,14 +21,16 @@ class UnsafeReset(ValueError):
     """A reset was asked for a path outside the configured root."""
 
 
-def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], rebalance: bool = False) -> None:
     """Replace exactly the partitions present in ``df``; keep all others.
 
-    A REBALANCE hint clusters rows by partition so each task writes few
-    directories, and lets AQE split a partition holding a large share of the
-    rows (one hot month) into advisory-size tasks instead of one task."""
-    (df.hint("rebalance", *partition_cols)
-       .write.mode("overwrite")
+    Monthly runs touch one or two partitions, so each task writes at most
+    that many files and no extra shuffle is spent on layout; ``rebalance``
+    adds a REBALANCE hint (AQE splits a hot partition into advisory-size
+    tasks) for writes spanning many partitions."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
        .parquet(path))
@@ -51,7 +53,13 @@ def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition:
 
 
 def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """K2/K5: replace the whole table."""
+    """K2/K5: replace the whole table.
+
+    A partitioned full load first rebalances rows by partition (AQE splits a
+    large month into advisory-size tasks): without it every task of the
+    preceding shuffle would write a small file into every month."""
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
