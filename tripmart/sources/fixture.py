@@ -251,15 +251,7 @@ def zones_sql(rows=None, string_type: str = "VARCHAR") -> str:
 
 
 def seed_sql(name: str) -> str:
-    import csv
-    import os
-
-    key, key_type, value = schemas.SEEDS[name]
-    with open(os.path.join(lookups.SEED_DIR, f"{name}.csv"), newline="") as fh:
-        rows = list(csv.reader(fh))[1:]
-    is_int = key_type.typeName() == "integer"
-    rows = [(int(k) if is_int else k, v) for k, v in rows]
-    return values_sql(rows, [key, value], ["INTEGER" if is_int else "VARCHAR", "VARCHAR"])
+    return lookups.seed_values_sql(name, "VARCHAR")
 
 
 def raw_trips_sql(*, collide: bool = False, keep_order_key: bool = False) -> str:

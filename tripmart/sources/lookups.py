@@ -36,12 +36,18 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def read_seed(spark: SparkSession, name: str, path: str | None = None, check_unique: bool = True,
               max_rows: int = 100_000) -> DataFrame:
-    """One seed lookup with its declared schema; fails on a repeated key."""
-    path = path or os.path.join(SEED_DIR, f"{name}.csv")
-    df = (spark.read.schema(schemas.seed_schema(name))
-          .option("header", True)
-          .option("mode", "FAILFAST")
-          .csv(path))
+    """One seed lookup with its declared schema; fails on a repeated key.
+
+    With a ``path`` (shared storage) the CSV reader loads it.  Without one
+    the packaged seed is read on the driver and embedded in the plan as a
+    typed VALUES relation, so executors never need the package files."""
+    if path is None:
+        df = spark.sql("SELECT * FROM " + seed_values_sql(name, "STRING"))
+    else:
+        df = (spark.read.schema(schemas.seed_schema(name))
+              .option("header", True)
+              .option("mode", "FAILFAST")
+              .csv(path))
     if check_unique:
         assert_unique_key(df, schemas.SEEDS[name][0], name, max_rows)
     return df
@@ -50,9 +56,9 @@ def read_seed(spark: SparkSession, name: str, path: str | None = None, check_uni
 def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int = 100_000,
                check: bool = True) -> dict[str, DataFrame]:
     """All four seeds, checked unique and at most ``max_rows`` rows each
-    (one job for all four)."""
-    seed_dir = seed_dir or SEED_DIR
-    seeds = {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv"), check_unique=False) for n in SEED_NAMES}
+    (one job for all four).  ``seed_dir`` None uses the packaged seeds."""
+    seeds = {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv") if seed_dir else None,
+                          check_unique=False) for n in SEED_NAMES}
     if check:
         check_lookups({n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}, max_rows)
     return seeds
@@ -83,6 +89,30 @@ def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100
     return counts
 
 
+def seed_rows(name: str) -> list[tuple]:
+    """The packaged seed file's rows, typed by the declared schema."""
+    import csv
+
+    key_type = schemas.SEEDS[name][1]
+    with open(os.path.join(SEED_DIR, f"{name}.csv"), newline="") as fh:
+        rows = list(csv.reader(fh))[1:]
+    is_int = key_type.typeName() == "integer"
+    return [(int(k) if is_int else k, v) for k, v in rows]
+
+
+def seed_values_sql(name: str, string_type: str = "VARCHAR") -> str:
+    """A packaged seed as a typed VALUES relation (Spark: STRING, DuckDB: VARCHAR)."""
+    key, key_type, value = schemas.SEEDS[name]
+    kt = "INTEGER" if key_type.typeName() == "integer" else string_type
+
+    def lit(v):
+        return "NULL" if v is None else (str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'")
+
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in seed_rows(name))
+    return (f"(SELECT CAST({key} AS {kt}) AS {key}, CAST({value} AS {string_type}) AS {value} "
+            f"FROM (VALUES {body}) AS v({key}, {value}))")
+
+
 def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_000) -> int:
     """Raise if ``key`` repeats in a lookup; return its row count.  Bounded:
     a lookup larger than ``max_rows`` is rejected rather than scanned in full,
