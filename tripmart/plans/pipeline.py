@@ -50,6 +50,11 @@ class Layout:
     def raw_trips(self) -> str:
         return self._p("EDL", "yellow_taxi_trips")
 
+    @property
+    def raw_month_index(self) -> str:
+        """(trip_year, trip_month) -> pickup months present in that raw partition."""
+        return self._p("EDL", "yellow_taxi_trips_pickup_months")
+
     @property
     def raw_zones(self) -> str:
         return self._p("EDL", "taxi_zone_lookup")
@@ -99,12 +104,35 @@ def ingest_month(spark: SparkSession, layout: Layout, source_path: str, year: in
                                            source_file_size_mb=size)
     part_dir = f"{layout.raw_trips.rstrip('/')}/trip_year={int(year)}/trip_month={int(month)}"
     touched = _months_of(spark.read.parquet(part_dir), "tpep_pickup_datetime") if fs.has_data(spark, part_dir) else set()
-    touched |= _months_of(normalised, "tpep_pickup_datetime")
-    sinks.replace_partition(spark, normalised.drop("trip_year", "trip_month"), layout.raw_trips,
-                            {"trip_year": int(year), "trip_month": int(month)})
+    new_months = _months_of(normalised, "tpep_pickup_datetime")
+    touched |= new_months
+    partition = {"trip_year": int(year), "trip_month": int(month)}
+    sinks.replace_partition(spark, normalised.drop("trip_year", "trip_month"), layout.raw_trips, partition)
+    _write_month_index(spark, layout, partition, new_months)
     return touched
 
 
+def _write_month_index(spark: SparkSession, layout: Layout, partition: dict, months: set) -> None:
+    """Record which pickup months one raw partition holds (a few rows)."""
+    if months:
+        values = ", ".join(f"({y}, {m})" for y, m in sorted(months))
+        rows = spark.sql(f"SELECT CAST(y AS INT) AS pickup_year, CAST(m AS INT) AS pickup_month "
+                         f"FROM VALUES {values} AS t(y, m)")
+    else:
+        rows = spark.sql("SELECT CAST(NULL AS INT) AS pickup_year, CAST(NULL AS INT) AS pickup_month").limit(0)
+    sinks.replace_partition(spark, rows.coalesce(1), layout.raw_month_index, partition)
+
+
+def raw_partitions_for(spark: SparkSession, layout: Layout, months: Iterable[tuple[int, int]]):
+    """Raw partitions that can hold trips picked up in ``months`` (from the
+    month index); None when no index exists (no pruning then)."""
+    if not fs.has_data(spark, layout.raw_month_index):
+        return None
+    wanted = partition_filter(months)
+    rows = spark.read.parquet(layout.raw_month_index).filter(wanted).select("trip_year", "trip_month").distinct().collect()
+    return sorted({(r["trip_year"], r["trip_month"]) for r in rows})
+
+
 def _size_mb(spark: SparkSession, path: str) -> float:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -170,13 +198,14 @@ def write_marts(spark: SparkSession, layout: Layout, fact: DataFrame,
     run_concurrently(tasks)
 
 
-def partition_filter(months: Iterable[tuple[int, int]]):
-    """Predicate on the pickup_year/pickup_month partition columns (pruning)."""
+def partition_filter(months: Iterable[tuple[int, int]], year_col: str = "pickup_year",
+                     month_col: str = "pickup_month"):
+    """Predicate on year/month partition columns (directory pruning)."""
     cond = None
     for y, m in sorted(months):
-        term = (F.col("pickup_year") == int(y)) & (F.col("pickup_month") == int(m))
+        term = (F.col(year_col) == int(y)) & (F.col(month_col) == int(m))
         cond = term if cond is None else cond | term
-    return cond
+    return cond if cond is not None else F.lit(False)
 
 
 def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
@@ -204,7 +233,14 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
     elif mode == inc.SAFE:
         months = sorted(set(months or []))
         if months:
-            rebuilt = facts.fact_trips(stg.filter(month_ranges_filter("pickup_datetime", months)), lk)
+            raw_parts = raw_partitions_for(spark, layout, months)
+            month_stg = stg
+            if raw_parts is not None:
+                # exact: copies share a pickup time, so every row of these
+                # pickup months sits in the indexed raw partitions
+                month_stg = staging.stg_trips(raw_trips_table(spark, layout).filter(
+                    partition_filter(raw_parts, "trip_year", "trip_month")), dup_policy)
+            rebuilt = facts.fact_trips(month_stg.filter(month_ranges_filter("pickup_datetime", months)), lk)
             inc.replace_months_in_table(spark, layout.fact, rebuilt, months)
             write_marts(spark, layout, spark.read.parquet(layout.fact).filter(partition_filter(months)), months)
     elif mode == inc.REFERENCE:
@@ -228,21 +264,36 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
 
     if quality_gate == "skip":
         return []
-    report = quality.run_checks(tables(spark, layout, stg, lk), quality.DECLARED_CHECKS,
+    scope = None
+    if mode == inc.SAFE and not (full_refresh or first_run):
+        scope = sorted(set(months or []))
+    report = quality.run_checks(tables(spark, layout, stg, lk, scope), quality.DECLARED_CHECKS,
                                 {"vendor": lk.vendor, "rate_code": lk.rate_code,
                                  "payment_type": lk.payment_type})
     return quality.gate(report, raise_on_error=(quality_gate == "raise"))
 
 
-def tables(spark: SparkSession, layout: Layout, stg: DataFrame, lk: facts.Lookups) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, layout: Layout, stg: DataFrame, lk: facts.Lookups,
+           months: list[tuple[int, int]] | None = None) -> dict[str, DataFrame]:
+    """The tested models.  With ``months``, trip-level models are limited to
+    those pickup months (the rows this run rewrote); the lookups stay whole.
+    Every declared check is per row or per trip key, and equal keys share a
+    pickup month, so month-scoped checks are exact for the new data."""
+    def scoped(df: DataFrame, kind: str) -> DataFrame:
+        if months is None:
+            return df
+        if kind == "stg":
+            return df.filter(month_ranges_filter("pickup_datetime", months))
+        return df.filter(partition_filter(months))
+
     out = {
-        quality.STG_TRIPS: stg,
+        quality.STG_TRIPS: scoped(stg, "stg"),
         quality.STG_ZONES: staging.stg_zones(spark.read.parquet(layout.raw_zones)),
         quality.DIM: spark.read.parquet(layout.dim_location),
-        quality.FACT: spark.read.parquet(layout.fact),
+        quality.FACT: scoped(spark.read.parquet(layout.fact), "table"),
     }
     for name in marts.MARTS:
-        out[name] = spark.read.parquet(layout.mart(name))
+        out[name] = scoped(spark.read.parquet(layout.mart(name)), "table")
     return out
 
 
