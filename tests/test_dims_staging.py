@@ -100,3 +100,39 @@ def test_seeds_load(spark):
     seeds = L.load_seeds(spark)
     assert {n: df.count() for n, df in seeds.items()} == {
         "vendor": 4, "rate_code": 7, "payment_type": 7, "store_and_fwd_flag": 2}
+
+
+def test_quarantine_bad_casts(spark):
+    rows = [trip(), trip(fare_amount=123456789.0), trip(total_amount=None)]
+    raw = raw_df(spark, rows)
+    good, bad = staging.quarantine_bad_casts(raw)
+    assert good.count() == 2
+    assert [r["rejected_columns"] for r in bad.collect()] == [["fare_amount"]]
+    assert staging.stg_trips(raw, cast_mode="try").count() == 2
+    with pytest.raises(Exception):
+        staging.stg_trips(raw).count()  # ANSI: the overflow fails the job
+
+
+def test_audit_columns(spark):
+    from tripmart.sources import trips
+
+    df = trips.normalise_raw_trips(raw_df(spark, [trip(), trip(fare_amount=3.0)]), 2025, 3,
+                                   execution_id="run-1", source_file_size_mb=7.9)
+    rows = df.collect()
+    assert {r["source_execution_id"] for r in rows} == {"run-1"}
+    assert {r["source_file"] for r in rows} == {"yellow_tripdata_2025-03.parquet"}
+    assert {r["source_file_size"] for r in rows} == {7}
+    assert {(r["trip_year"], r["trip_month"]) for r in rows} == {(2025, 3)}
+
+
+def test_schema_evolution_on_read(spark, tmp_path):
+    from tripmart.plans import pipeline, sinks
+
+    layout = pipeline.Layout(str(tmp_path / "lake"), "S")
+    jan = raw_df(spark, [trip()])
+    feb = raw_df(spark, [trip(fare_amount=4.0)]).withColumn("cbd_congestion_fee", F.lit(0.75))
+    sinks.replace_partition(spark, jan, layout.raw_trips, {"trip_year": 2025, "trip_month": 1})
+    sinks.replace_partition(spark, feb, layout.raw_trips, {"trip_year": 2025, "trip_month": 2})
+    raw = pipeline.raw_trips_table(spark, layout)
+    assert "cbd_congestion_fee" in raw.columns
+    assert staging.stg_trips(raw).count() == 2  # the staged projection ignores the new column

@@ -108,3 +108,16 @@ def test_empty_month_clears_partition(spark, tmp_path, files):
     empty = spark.read.parquet(full[(2025, 1)]).limit(0)
     sinks.replace_partition(spark, empty, layout.raw_trips, {"trip_year": 2025, "trip_month": 1})
     assert not os.path.exists(layout.raw_trips + "/trip_year=2025/trip_month=1")
+
+
+def test_build_quarantines_bad_casts(spark, tmp_path, files):
+    from helpers import raw_df, trip
+
+    full, _, zones = files
+    layout = pipeline.Layout(str(tmp_path / "lake"), "Q")
+    pipeline.ingest_zones(spark, layout, zones)
+    bad = raw_df(spark, [trip(fare_amount=1e9), trip()])
+    sinks.replace_partition(spark, bad, layout.raw_trips, {"trip_year": 2025, "trip_month": 1})
+    pipeline.build(spark, layout, quality_gate="skip", cast_mode="try")
+    assert spark.read.parquet(layout.quarantine).count() == 1
+    assert spark.read.parquet(layout.fact).count() == 1

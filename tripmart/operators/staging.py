@@ -20,6 +20,40 @@ class TripKeyCollision(ValueError):
     """Two different staged rows share one surrogate trip key."""
 
 
+CAST_MODES = ("ansi", "try")
+
+# (staged name, raw column, target type) of every cast in staging.
+STAGING_CASTS = [
+    ("vendor_id", "VendorID", "int"), ("rate_code_id", "RatecodeID", "int"),
+    ("pickup_location_id", "PULocationID", "int"), ("dropoff_location_id", "DOLocationID", "int"),
+    ("payment_type_id", "payment_type", "int"), ("passenger_count", "passenger_count", "int"),
+    ("trip_distance_miles", "trip_distance", "double"),
+    ("pickup_datetime", "tpep_pickup_datetime", "timestamp_ntz"),
+    ("dropoff_datetime", "tpep_dropoff_datetime", "timestamp_ntz"),
+    ("fare_amount", "fare_amount", "decimal(10,2)"), ("extra_amount", "extra", "decimal(10,2)"),
+    ("mta_tax", "mta_tax", "decimal(10,2)"), ("tip_amount", "tip_amount", "decimal(10,2)"),
+    ("tolls_amount", "tolls_amount", "decimal(10,2)"),
+    ("improvement_surcharge", "improvement_surcharge", "decimal(10,2)"),
+    ("congestion_surcharge", "congestion_surcharge", "decimal(10,2)"),
+    ("airport_fee", "airport_fee", "decimal(10,2)"), ("total_amount", "total_amount", "decimal(10,2)"),
+]
+
+
+def quarantine_bad_casts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split raw trips into rows every staging cast accepts and rejected rows.
+
+    Under ANSI a value that does not fit (e.g. money past DECIMAL(10,2))
+    fails the whole job; this try_cast pass keeps the job alive and returns
+    the offending rows (with the failing column names) for inspection.  Both
+    outputs are lazy filters of one scan: no shuffle."""
+    bad = [F.when(F.col(src).isNotNull() & F.col(src).try_cast(t).isNull(), F.lit(name))
+           for name, src, t in STAGING_CASTS]
+    flagged = raw.withColumn("_bad_casts", F.array_compact(F.array(*bad)))
+    good = flagged.filter(F.size("_bad_casts") == 0).drop("_bad_casts")
+    rejected = flagged.filter(F.size("_bad_casts") > 0).withColumnRenamed("_bad_casts", "rejected_columns")
+    return good, rejected
+
+
 def rename_trips(raw: DataFrame) -> DataFrame:
     """19 raw columns to snake_case with explicit types (no rows dropped)."""
     money = schemas.MONEY
@@ -94,8 +128,15 @@ def resolve_key_collisions(stg: DataFrame, policy: str) -> DataFrame:
     return picked.select("trip_id", *[F.col(f"_row.{c}").alias(c) for c in schemas.STG_TRIP_COLUMNS])
 
 
-def stg_trips(raw: DataFrame, dup_policy: str = "keep") -> DataFrame:
-    """Cleaned, deduplicated and keyed trips: trip_id + 19 columns."""
+def stg_trips(raw: DataFrame, dup_policy: str = "keep", cast_mode: str = "ansi") -> DataFrame:
+    """Cleaned, deduplicated and keyed trips: trip_id + 19 columns.
+
+    ``cast_mode='try'`` drops rows a cast would reject (see
+    ``quarantine_bad_casts`` for the rejected rows) instead of failing."""
+    if cast_mode not in CAST_MODES:
+        raise ValueError(f"cast_mode must be one of {CAST_MODES}")
+    if cast_mode == "try":
+        raw, _ = quarantine_bad_casts(raw)
     return resolve_key_collisions(add_trip_key(dedup_exact(rename_trips(raw))), dup_policy)
 
 

@@ -55,6 +55,11 @@ class Layout:
         """(trip_year, trip_month) -> pickup months present in that raw partition."""
         return self._p("EDL", "yellow_taxi_trips_pickup_months")
 
+    @property
+    def quarantine(self) -> str:
+        """Raw rows a staging cast rejected (cast_mode='try')."""
+        return self._p("EDL", "yellow_taxi_trips_rejected")
+
     @property
     def raw_zones(self) -> str:
         return self._p("EDL", "taxi_zone_lookup")
@@ -210,9 +215,12 @@ def partition_filter(months: Iterable[tuple[int, int]], year_col: str = "pickup_
 
 def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
           months: Iterable[tuple[int, int]] | None = None, full_refresh: bool = False,
-          dup_policy: str = "keep", quality_gate: str = "raise", seed_dir: str | None = None):
+          dup_policy: str = "keep", quality_gate: str = "raise", seed_dir: str | None = None,
+          cast_mode: str = "ansi"):
     """Transform stage: dimension, fact, four marts, then the quality gate.
 
+    ``cast_mode='try'`` keeps the run alive on values a cast rejects: those
+    raw rows are written to the quarantine table instead of failing the job.
     ``dup_policy='keep'`` leaves repeated trip keys to the fact's ``unique``
     check (one shuffle of the key column of the written fact); ``'error'``
     probes staging before the build, which recomputes the staging plan.
@@ -224,7 +232,11 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
                              seed_dir)
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
 
-    stg = staging.stg_trips(raw_trips_table(spark, layout), dup_policy)
+    raw = raw_trips_table(spark, layout)
+    if cast_mode == "try":
+        raw, rejected = staging.quarantine_bad_casts(raw)
+        sinks.overwrite_table(rejected, layout.quarantine, schemas.PARTITION_COLUMNS)
+    stg = staging.stg_trips(raw, dup_policy)
     first_run = not fs.has_data(spark, layout.fact)
 
     if full_refresh or first_run:
@@ -238,7 +250,7 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
             if raw_parts is not None:
                 # exact: copies share a pickup time, so every row of these
                 # pickup months sits in the indexed raw partitions
-                month_stg = staging.stg_trips(raw_trips_table(spark, layout).filter(
+                month_stg = staging.stg_trips(raw.filter(
                     partition_filter(raw_parts, "trip_year", "trip_month")), dup_policy)
             rebuilt = facts.fact_trips(month_stg.filter(month_ranges_filter("pickup_datetime", months)), lk)
             inc.replace_months_in_table(spark, layout.fact, rebuilt, months)
