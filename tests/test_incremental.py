@@ -72,3 +72,19 @@ def test_watermark_is_one_scalar_subquery(spark, lookups):
     fact1 = facts.fact_trips(stg, lookups)
     plan = inc.above_watermark(stg, "fact_yellow_taxi_trips", fact1)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan.lower()
+
+
+def test_stray_future_pickup_raises_the_mark(spark, lookups):
+    """A February pickup inside the January file raises the fact mark: the
+    February load then drops every February trip up to that second."""
+    jan = _trips_on([10, 20]) + _trips_on([2], month=2)          # stray row, 2 February
+    fact1 = facts.fact_trips(staging.stg_trips(raw_df(spark, jan)), lookups)
+    feb = _trips_on([1, 2, 3], month=2)
+    both = staging.stg_trips(raw_df(spark, jan + feb))
+    fact2 = inc.incremental_fact(both, lookups, fact1)
+    feb_days = sorted(r["pickup_date"].day for r in fact2.filter(F.col("pickup_month") == 2).collect())
+    assert feb_days == [2, 2, 3]  # the stray row, the 2 Feb trip after it, and 3 Feb; 1 Feb is lost
+    daily1 = marts.build_mart("agg_daily_zone_summary", fact1)
+    daily2 = inc.incremental_mart("agg_daily_zone_summary", fact2, daily1)
+    feb2 = daily2.filter(F.col("pickup_date") == F.lit("2025-02-02").cast("date")).collect()
+    assert [r["trip_count"] for r in feb2] == [1]  # 2 February is never re-aggregated
