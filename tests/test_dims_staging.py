@@ -136,3 +136,15 @@ def test_schema_evolution_on_read(spark, tmp_path):
     raw = pipeline.raw_trips_table(spark, layout)
     assert "cbd_congestion_fee" in raw.columns
     assert staging.stg_trips(raw).count() == 2  # the staged projection ignores the new column
+
+
+def test_lookup_past_bound_is_not_broadcast(spark):
+    from tripmart.operators import facts
+    from tripmart.sources import fixture as fx
+
+    lk = facts.Lookups.build(spark, fx.zones_fixture(spark), max_rows=100)  # dim has 265 rows
+    assert lk.small["dim_location"] is False and lk.small["vendor"] is True
+    stg = staging.stg_trips(raw_df(spark, [trip()]))
+    plan = facts.fact_trips(stg, lk)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("broadcast") == 4  # the four seeds only
+    assert facts.fact_trips(stg, lk).count() == 1

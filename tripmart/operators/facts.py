@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.functions import expressions as X
 from tripmart.operators import dims, staging
-from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS
+from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS, hinted
 from tripmart.sources import lookups as L
 
 # Plausibility bounds (seconds, miles).
@@ -33,14 +33,15 @@ LOCATION_ATTRS = [
 
 @dataclass
 class Lookups:
-    """The five lookups of the fact, each with a proven size bound."""
+    """The five lookups of the fact; ``small`` records which passed the
+    broadcast bound."""
 
     vendor: DataFrame
     rate_code: DataFrame
     payment_type: DataFrame
     store_and_fwd_flag: DataFrame
     dim_location: DataFrame
-    broadcast: bool = True
+    small: dict | None = None  # lookup name -> proven small enough to broadcast
 
     @classmethod
     def build(cls, spark: SparkSession, raw_zones: DataFrame, seed_dir: str | None = None,
@@ -51,27 +52,27 @@ class Lookups:
         dim = dims.dim_location(staging.stg_zones(raw_zones))
         checks = {n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}
         checks["dim_location"] = (dim, "location_id")
-        L.check_lookups(checks, max_rows)
+        counts = L.check_lookups(checks, max_rows)
         return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"],
-                   seeds["store_and_fwd_flag"], dim, broadcast=True)
+                   seeds["store_and_fwd_flag"], dim, small={n: c is not None for n, c in counts.items()})
 
-    def side(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.broadcast else df
+    def side(self, name: str, df: DataFrame) -> DataFrame:
+        return hinted(df, bool((self.small or {}).get(name, False)))
 
 
 def _location_side(lk: Lookups, role: str) -> DataFrame:
     cols = [F.col("location_id").alias(f"_{role}_location_id")]
     cols += [F.col(src).alias(dst.format(r=role)) for src, dst in LOCATION_ATTRS]
-    return lk.side(lk.dim_location.select(*cols))
+    return lk.side("dim_location", lk.dim_location.select(*cols))
 
 
 def join_codes(trips: DataFrame, lk: Lookups) -> DataFrame:
     """J1-J4: vendor, rate code, payment type and flag names (left joins)."""
     t = trips
-    for lookup, key in [(lk.vendor, "vendor_id"), (lk.rate_code, "rate_code_id"),
-                        (lk.payment_type, "payment_type_id"),
-                        (lk.store_and_fwd_flag, "store_and_fwd_flag")]:
-        side = lk.side(lookup.withColumnRenamed(key, f"_{key}"))
+    for name, lookup, key in [("vendor", lk.vendor, "vendor_id"), ("rate_code", lk.rate_code, "rate_code_id"),
+                              ("payment_type", lk.payment_type, "payment_type_id"),
+                              ("store_and_fwd_flag", lk.store_and_fwd_flag, "store_and_fwd_flag")]:
+        side = lk.side(name, lookup.withColumnRenamed(key, f"_{key}"))
         t = t.join(side, t[key] == side[f"_{key}"], "left").drop(f"_{key}")
     return t
 

@@ -1,31 +1,21 @@
-"""Left joins of the trip stream to small lookups.
-
-Lookups are broadcast only behind a proven bound: the row count is probed
-with ``limit(max_rows + 1).count()`` (a job that stops reading after the bound)
-and the broadcast hint is added only when the lookup fits.  A lookup past
-the bound joins without a hint, so Catalyst and AQE pick a shuffle join
-instead of shipping an unbounded table to every executor.
+"""Broadcast decisions for the lookup joins of the fact.
+
+A lookup is broadcast only behind a proven bound: its rows are read through
+``limit(max_rows + 1)`` (a job that stops after the bound) and the hint is
+added only when the count stays within it.  A lookup past the bound joins
+without a hint, so Catalyst and AQE choose a shuffle join (or a runtime
+broadcast if it turns out small) instead of shipping an unbounded table to
+every executor.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
 
 
-def bounded_rows(lookup: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> int | None:
-    """Row count if at most ``max_rows``, else None (reads at most max_rows+1 rows)."""
-    n = lookup.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def small_side(lookup: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def hinted(lookup: DataFrame, small: bool) -> DataFrame:
     """The lookup with a broadcast hint when its size is proven small."""
-    return F.broadcast(lookup) if bounded_rows(lookup, max_rows) is not None else lookup
-
-
-def left_lookup(df: DataFrame, lookup: DataFrame, on: Column) -> DataFrame:
-    """Left outer join keeping every left row (misses give NULL lookups)."""
-    return df.join(lookup, on, "left")
+    return F.broadcast(lookup) if small else lookup

@@ -64,12 +64,14 @@ def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int =
     return seeds
 
 
-def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100_000) -> dict[str, int]:
-    """Key-uniqueness and size checks of several lookups in ONE job.
-
-    Each lookup is read through ``limit(max_rows + 1)``, so an oversized
-    input stops early and fails; passing is the size proof for broadcasting.
-    Returns the row count of each lookup."""
+def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100_000) -> dict[str, int | None]:
+    """Key-uniqueness and size checks of several lookups in ONE bounded job.
+
+    Each lookup is read through ``limit(max_rows + 1)``; within the bound the
+    count is the size proof for broadcasting it and the same pass checks its
+    key.  A lookup past the bound maps to None (no broadcast) and its key is
+    checked by a distributed probe that stops at the first repeated key.
+    Returns the row count (or None) of each lookup."""
     parts = []
     for name, (df, key) in lookups.items():
         parts.append(df.limit(max_rows + 1).agg(
@@ -78,11 +80,16 @@ def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    counts = {}
+    counts: dict[str, int | None] = {}
     for r in union.collect():
-        key = lookups[r["name"]][1]
+        df, key = lookups[r["name"]]
         if r["n"] > max_rows:
-            raise LookupError_(f"lookup {r['name']} has more than {max_rows} rows")
+            repeated = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+                        .filter(F.col("c") > 1).limit(1).count())
+            if repeated:
+                raise LookupError_(f"lookup {r['name']} repeats its key {key}")
+            counts[r["name"]] = None
+            continue
         if r["k"] + r["nulls"] != r["n"] or r["nulls"] > 1:
             raise LookupError_(f"lookup {r['name']} repeats its key {key}")
         counts[r["name"]] = int(r["n"])
