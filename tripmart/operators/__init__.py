@@ -1,0 +1 @@
+"""DataFrame operators: staging, dimension, fact, marts, data quality."""

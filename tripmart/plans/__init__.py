@@ -1,0 +1 @@
+"""Sinks, the monthly pipeline, and the registered queries with their oracles."""

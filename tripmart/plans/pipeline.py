@@ -233,19 +233,27 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
 
     raw = raw_trips_table(spark, layout)
+    first_run = not fs.has_data(spark, layout.fact)
+    months = sorted(set(months or []))
+    whole = full_refresh or first_run or mode != inc.SAFE
+    raw_parts = None if whole else raw_partitions_for(spark, layout, months)
     if cast_mode == "try":
-        raw, rejected = staging.quarantine_bad_casts(raw)
-        sinks.overwrite_table(rejected, layout.quarantine, schemas.PARTITION_COLUMNS)
+        # quarantine the raw partitions this run reads (all of them on a full load)
+        scope_raw = raw if raw_parts is None else raw.filter(
+            partition_filter(raw_parts, "trip_year", "trip_month"))
+        _, rejected = staging.quarantine_bad_casts(scope_raw)
+        if raw_parts is None:
+            sinks.overwrite_table(rejected, layout.quarantine, schemas.PARTITION_COLUMNS)
+        else:  # replace (or clear) exactly the raw partitions read
+            inc.replace_months_in_table(spark, layout.quarantine, rejected, raw_parts, schemas.PARTITION_COLUMNS)
+        raw, _ = staging.quarantine_bad_casts(raw)
     stg = staging.stg_trips(raw, dup_policy)
-    first_run = not fs.has_data(spark, layout.fact)
 
     if full_refresh or first_run:
         sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact, schemas.FACT_PARTITIONS)
         write_marts(spark, layout, spark.read.parquet(layout.fact))
     elif mode == inc.SAFE:
-        months = sorted(set(months or []))
         if months:
-            raw_parts = raw_partitions_for(spark, layout, months)
             month_stg = stg
             if raw_parts is not None:
                 # exact: copies share a pickup time, so every row of these
@@ -262,23 +270,23 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
                  if mark is not None else stg.limit(0))
         inc.merge_into_table(spark, layout.fact, facts.fact_trips(fresh, lk), inc.FACT_KEY)
         fact = spark.read.parquet(layout.fact)
-        for name in marts.MARTS:
+
+        def merge_mart(name: str) -> None:
             path = layout.mart(name)
             target = sinks.read_table(spark, path)
             if target is None:
                 sinks.overwrite_table(marts.build_mart(name, fact), path, schemas.FACT_PARTITIONS)
-                continue
+                return
             mark = inc.collect_watermark(target, name)
             src = fact.filter(F.col("pickup_date") > F.lit(mark)) if mark is not None else fact.limit(0)
             inc.merge_into_table(spark, path, marts.build_mart(name, src), marts.MERGE_KEYS[name])
+        run_concurrently({n: (lambda n=n: merge_mart(n)) for n in marts.MARTS})
     else:
         raise ValueError(f"unknown mode {mode}")
 
     if quality_gate == "skip":
         return []
-    scope = None
-    if mode == inc.SAFE and not (full_refresh or first_run):
-        scope = sorted(set(months or []))
+    scope = None if whole else months
     report = quality.run_checks(tables(spark, layout, stg, lk, scope), quality.DECLARED_CHECKS,
                                 {"vendor": lk.vendor, "rate_code": lk.rate_code,
                                  "payment_type": lk.payment_type})

@@ -1,0 +1 @@
+"""Incremental loading (batch high-water marks, keyed merges, month rebuilds)."""
