@@ -20,6 +20,9 @@ from tripmart.operators import dims, staging
 from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS, hinted
 from tripmart.sources import lookups as L
 
+# Code lookups up to this size join as a literal map (no broadcast job).
+CODE_MAP_MAX_ROWS = 64
+
 # Plausibility bounds (seconds, miles).
 MAX_TRIP_SECONDS = 86400
 MAX_TRIP_MILES = 500
@@ -42,6 +45,7 @@ class Lookups:
     store_and_fwd_flag: DataFrame
     dim_location: DataFrame
     small: dict | None = None  # lookup name -> proven small enough to broadcast
+    code_maps: dict | None = None  # seed name -> {key: name} for tiny seeds
 
     @classmethod
     def build(cls, spark: SparkSession, raw_zones: DataFrame, seed_dir: str | None = None,
@@ -53,13 +57,42 @@ class Lookups:
         checks = {n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}
         checks["dim_location"] = (dim, "location_id")
         counts = L.check_lookups(checks, max_rows)
+        tiny = {n: df for n, df in seeds.items() if counts[n] is not None and counts[n] <= CODE_MAP_MAX_ROWS}
         return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"],
-                   seeds["store_and_fwd_flag"], dim, small={n: c is not None for n, c in counts.items()})
+                   seeds["store_and_fwd_flag"], dim, small={n: c is not None for n, c in counts.items()},
+                   code_maps=_collect_code_maps(tiny))
 
     def side(self, name: str, df: DataFrame) -> DataFrame:
         return hinted(df, bool((self.small or {}).get(name, False)))
 
 
+def _collect_code_maps(seeds: dict[str, DataFrame]) -> dict:
+    """Rows of the tiny, already size-checked seeds in one small job."""
+    if not seeds:
+        return {}
+    parts = [df.select(F.lit(n).alias("seed"), F.to_json(F.struct(*df.columns)).alias("row"))
+             for n, df in seeds.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    import json
+
+    out = {n: {} for n in seeds}
+    for r in union.collect():
+        key_col, _, value_col = schemas.SEEDS[r["seed"]]
+        row = json.loads(r["row"])
+        if row.get(key_col) is not None:
+            out[r["seed"]][row[key_col]] = row.get(value_col)
+    return out
+
+
+def _code_map(mapping: dict):
+    items = []
+    for k, v in mapping.items():
+        items += [F.lit(k), F.lit(v)]
+    return F.create_map(*items)
+
+
 def _location_side(lk: Lookups, role: str) -> DataFrame:
     cols = [F.col("location_id").alias(f"_{role}_location_id")]
     cols += [F.col(src).alias(dst.format(r=role)) for src, dst in LOCATION_ATTRS]
@@ -67,11 +100,21 @@ def _location_side(lk: Lookups, role: str) -> DataFrame:
 
 
 def join_codes(trips: DataFrame, lk: Lookups) -> DataFrame:
-    """J1-J4: vendor, rate code, payment type and flag names (left joins)."""
+    """J1-J4: vendor, rate code, payment type and flag names (left joins).
+
+    A seed of a few rows with a unique key is joined as a literal map
+    lookup: the same result as the left join (NULL on a miss or a NULL key),
+    evaluated inside the scan's codegen stage with no broadcast job.  Larger
+    seeds use a (size-checked) broadcast join."""
     t = trips
+    maps = lk.code_maps or {}
     for name, lookup, key in [("vendor", lk.vendor, "vendor_id"), ("rate_code", lk.rate_code, "rate_code_id"),
                               ("payment_type", lk.payment_type, "payment_type_id"),
                               ("store_and_fwd_flag", lk.store_and_fwd_flag, "store_and_fwd_flag")]:
+        value_col = schemas.SEEDS[name][2]
+        if name in maps:
+            t = t.withColumn(value_col, _code_map(maps[name])[F.col(key)].cast("string"))
+            continue
         side = lk.side(name, lookup.withColumnRenamed(key, f"_{key}"))
         t = t.join(side, t[key] == side[f"_{key}"], "left").drop(f"_{key}")
     return t
@@ -106,7 +149,7 @@ def enrich(trips: DataFrame, lk: Lookups) -> DataFrame:
         "fare_per_mile": X.fare_per_mile(fare, miles),
         "fare_per_minute": X.fare_per_minute(fare, secs),
         "is_rush_hour": X.is_rush_hour(F.hour(pickup)),
-        "is_weekend": X.is_weekend(X.day_abbrev(pickup)),
+        "is_weekend": X.is_weekend_day(F.dayofweek(pickup)),
         "is_late_night": X.is_late_night(F.hour(pickup)),
         "is_airport_trip": X.either_true(F.col("is_airport_pickup"), F.col("is_airport_dropoff")),
         "trip_borough_type": X.borough_type(F.col("pickup_borough"), F.col("dropoff_borough")),
