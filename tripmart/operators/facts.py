@@ -93,12 +93,6 @@ def _code_map(mapping: dict):
     return F.create_map(*items)
 
 
-def _location_side(lk: Lookups, role: str) -> DataFrame:
-    cols = [F.col("location_id").alias(f"_{role}_location_id")]
-    cols += [F.col(src).alias(dst.format(r=role)) for src, dst in LOCATION_ATTRS]
-    return lk.side("dim_location", lk.dim_location.select(*cols))
-
-
 def join_codes(trips: DataFrame, lk: Lookups) -> DataFrame:
     """J1-J4: vendor, rate code, payment type and flag names (left joins).
 
@@ -121,11 +115,18 @@ def join_codes(trips: DataFrame, lk: Lookups) -> DataFrame:
 
 
 def join_locations(trips: DataFrame, lk: Lookups) -> DataFrame:
-    """J5-J6: the location dimension in two roles, pickup and dropoff."""
+    """J5-J6: the location dimension in two roles, pickup and dropoff.
+
+    Both roles join the same projected dimension (under two aliases) and
+    rename after the join, so the two build sides are one plan and Spark
+    broadcasts the dimension once (ReusedExchange)."""
+    dim = lk.side("dim_location", lk.dim_location.select("location_id", *[src for src, _ in LOCATION_ATTRS]))
     t = trips
     for role, key in [("pickup", "pickup_location_id"), ("dropoff", "dropoff_location_id")]:
-        side = _location_side(lk, role)
-        t = t.join(side, t[key] == side[f"_{role}_location_id"], "left").drop(f"_{role}_location_id")
+        d = dim.alias(f"_{role}")
+        joined = t.join(d, F.col(key) == F.col(f"_{role}.location_id"), "left")
+        t = joined.select(*[F.col(c) for c in t.columns],
+                          *[F.col(f"_{role}.{src}").alias(dst.format(r=role)) for src, dst in LOCATION_ATTRS])
     return t
 
 
