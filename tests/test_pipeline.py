@@ -139,3 +139,17 @@ def test_safe_runs_in_any_order_equal_full_load(spark, tmp_path, files, order):
     for name in marts.MARTS:
         a, b = spark.read.parquet(layout.mart(name)), spark.read.parquet(ref.mart(name))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_cli_run_month(spark, tmp_path, files, capsys):
+    import json
+
+    from tripmart.__main__ import main
+
+    full, _, zones = files
+    root = str(tmp_path / "lake")
+    assert main(["run-month", "--root", root, "--env", "CLI", "--file", full[(2025, 1)], "--year", "2025",
+                 "--month", "1", "--zones", zones, "--quality", "report"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["checks"] == 60 and len(out["exported"]) == 2
+    assert os.path.isfile(os.path.join(root, "CLI_EXPORT", "AGG_MONTHLY_ZONE_SUMMARY_2025_01.parquet"))

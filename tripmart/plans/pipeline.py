@@ -356,12 +356,16 @@ def _single_file(spark: SparkSession, df: DataFrame, target: str, fmt: str) -> N
 
 def run_month(spark: SparkSession, layout: Layout, source_path: str, year: int, month: int, *,
               zones_csv: str | None = None, mode: str = inc.SAFE, export: bool = True,
-              quality_gate: str = "raise"):
-    """The monthly run: ingest the file, build everything, export the month."""
+              quality_gate: str = "raise", reset: bool = False, full_refresh: bool = False):
+    """The monthly run: ingest the file, build everything, export the month.
+
+    ``reset`` drops the raw trip table before loading (only under the
+    layout root); ``full_refresh`` rebuilds the fact and marts from all raw."""
     if zones_csv:
         ingest_zones(spark, layout, zones_csv)
-    touched = ingest_month(spark, layout, source_path, year, month)
-    report = build(spark, layout, mode=mode, months=touched, quality_gate=quality_gate)
+    touched = ingest_month(spark, layout, source_path, year, month, reset=reset)
+    report = build(spark, layout, mode=mode, months=touched, quality_gate=quality_gate,
+                   full_refresh=full_refresh or reset)
     paths = []
     if export:
         paths = [export_month_slice(spark, layout, year, month)]

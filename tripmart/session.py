@@ -26,7 +26,7 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app_name: str = "tripmart",
+def build_session(master: str | None = None, app_name: str = "tripmart",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the marts need.
@@ -34,7 +34,9 @@ def build_session(master: str = "local[*]", app_name: str = "tripmart",
     On a cluster, leave ``shuffle_partitions`` unset and let AQE coalesce the
     default; locally, set it near the core count.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master:  # on a cluster the launcher sets the master
+        builder = builder.master(master)
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
