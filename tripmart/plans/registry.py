@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.operators import dims, facts, marts, quality, staging
+from tripmart.operators import facts, marts, quality, staging
 from tripmart.plans import oracle_sql as O
 from tripmart.session import configure
 from tripmart.streaming import incremental as inc
@@ -30,15 +30,16 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_LOOKUPS: dict[int, facts.Lookups] = {}
+_LOOKUPS: dict[int, tuple[SparkSession, facts.Lookups]] = {}
 
 
 def lookups(spark: SparkSession) -> facts.Lookups:
     """Fixture lookups (seeds + rule-built zones), checked once per session."""
-    key = id(spark)
-    if key not in _LOOKUPS:
-        _LOOKUPS[key] = facts.Lookups.build(spark, fixture.zones_fixture(spark))
-    return _LOOKUPS[key]
+    cached = _LOOKUPS.get(id(spark))
+    if cached is None or cached[0] is not spark:
+        cached = (spark, facts.Lookups.build(spark, fixture.zones_fixture(spark)))
+        _LOOKUPS[id(spark)] = cached
+    return cached[1]
 
 
 def _stg(spark, sf_dir, collide=False) -> DataFrame:

@@ -5,14 +5,13 @@ the shared checkpoint folder of the session (``spark.checkpoint.dir``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.plans import fs, pipeline
 from tripmart.plans import oracle_sql as O
 from tripmart.plans.registry import present
 from tripmart.session import configure, staging_path
-from tripmart.sources import fixture, lookups, trips
+from tripmart.sources import fixture, trips
 from tripmart.streaming import incremental as inc
 
 MONTHS = [(2025, 1), (2025, 2)]

@@ -74,15 +74,16 @@ def reset_table(spark: SparkSession, path: str, root: str) -> None:
     fs.delete(spark, path)
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder under the shared checkpoint dir and read
-    it back: cuts lineage (e.g. before overwriting a table the plan reads)."""
+    it back: cuts lineage (e.g. before overwriting a table the plan reads).
+    Returns the staged DataFrame and its folder (delete it when done)."""
     path = staging_path(spark, name)
     w = df.write.mode("errorifexists")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

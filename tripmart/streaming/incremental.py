@@ -148,9 +148,12 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Se
     if target is None:
         sinks.write_partitions(source, path, partition_cols)
         return
-    staged_src = sinks.stage(spark, source, "merge-source")
+    from tripmart.plans import fs
+
+    staged_src, src_path = sinks.stage(spark, source, "merge-source")
     touched = [tuple(r) for r in staged_src.select(*partition_cols).distinct().collect()]
     if not touched:
+        fs.delete(spark, src_path)
         return
     cond = None
     for values in touched:
@@ -161,8 +164,11 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Se
         cond = c if cond is None else cond | c
     target_part = target.filter(cond)
     merged = merge_upsert(target_part, staged_src, keys, null_safe)
-    staged = sinks.stage(spark, merged, "merge-result", partition_cols)
+    staged, merged_path = sinks.stage(spark, merged, "merge-result", partition_cols)
     sinks.write_partitions(staged, path, partition_cols)
+    # the swap has committed: the staged copies are no longer read
+    fs.delete(spark, src_path)
+    fs.delete(spark, merged_path)
 
 
 def replace_months_in_table(spark: SparkSession, path: str, rebuilt: DataFrame,
