@@ -107,14 +107,25 @@ def ingest_month(spark: SparkSession, layout: Layout, source_path: str, year: in
     normalised = trips.normalise_raw_trips(raw, year, month, execution_id=str(uuid.uuid4()),
                                            source_file=os.path.basename(source_path.rstrip("/")),
                                            source_file_size_mb=size)
-    part_dir = f"{layout.raw_trips.rstrip('/')}/trip_year={int(year)}/trip_month={int(month)}"
-    touched = _months_of(spark.read.parquet(part_dir), "tpep_pickup_datetime") if fs.has_data(spark, part_dir) else set()
-    new_months = _months_of(normalised, "tpep_pickup_datetime")
-    touched |= new_months
     partition = {"trip_year": int(year), "trip_month": int(month)}
-    sinks.replace_partition(spark, normalised.drop("trip_year", "trip_month"), layout.raw_trips, partition)
+    touched = _old_pickup_months(spark, layout, partition)
+    # the write job observes the pickup months of the new content
+    new_months = sinks.replace_partition(spark, normalised.drop("trip_year", "trip_month"), layout.raw_trips,
+                                         partition, observe_months_of="tpep_pickup_datetime")
     _write_month_index(spark, layout, partition, new_months)
-    return touched
+    return touched | new_months
+
+
+def _old_pickup_months(spark: SparkSession, layout: Layout, partition: dict) -> set[tuple[int, int]]:
+    """Pickup months of a raw partition's current content: from the month
+    index, else (no index yet) from a scan of the partition's pickup column."""
+    suffix = f"trip_year={partition['trip_year']}/trip_month={partition['trip_month']}"
+    index_dir = f"{layout.raw_month_index.rstrip('/')}/{suffix}"
+    if fs.has_data(spark, index_dir):
+        rows = spark.read.parquet(index_dir).collect()
+        return {(r["pickup_year"], r["pickup_month"]) for r in rows if r["pickup_year"] is not None}
+    part_dir = f"{layout.raw_trips.rstrip('/')}/{suffix}"
+    return _months_of(spark.read.parquet(part_dir), "tpep_pickup_datetime") if fs.has_data(spark, part_dir) else set()
 
 
 def _write_month_index(spark: SparkSession, layout: Layout, partition: dict, months: set) -> None:

@@ -36,20 +36,31 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], re
        .parquet(path))
 
 
-def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition: dict[str, int]) -> None:
+def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition: dict[str, int],
+                      observe_months_of: str | None = None):
     """K1: replace one partition (e.g. one year/month) with ``df``.
 
-    Rows are pinned to the partition values first.  An empty ``df`` clears
-    the partition (dynamic overwrite alone would leave the old rows)."""
+    Rows are pinned to the partition values first.  The write job itself
+    observes the row count (and, with ``observe_months_of``, the set of
+    year/month values of that timestamp column, returned).  An empty ``df``
+    clears the partition (dynamic overwrite alone would leave the old rows)."""
+    from pyspark.sql import Observation
+
     pinned = df.withColumns({k: F.lit(v).cast("int") for k, v in partition.items()})
-    if pinned.limit(1).count() == 0:
-        part_dir = path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in partition.items())
-        fs.delete(spark, part_dir)
-        return
-    (pinned.write.mode("overwrite")
+    obs = Observation("replace_partition")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if observe_months_of:
+        ts = F.col(observe_months_of)
+        metrics.append(F.collect_set(F.when(ts.isNotNull(), F.struct(F.year(ts), F.month(ts)))).alias("months"))
+    (pinned.observe(obs, *metrics).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition.keys())
      .parquet(path))
+    got = obs.get
+    if not got.get("rows"):
+        part_dir = path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in partition.items())
+        fs.delete(spark, part_dir)
+    return {tuple(m) for m in (got.get("months") or [])}
 
 
 def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
