@@ -75,7 +75,9 @@ def main():
     ]
     out = ["# Physical plans", "",
            f"Generated by `tools/show_plans.py` over `{sf_dir}` (local[8]); trimmed to operators, "
-           "pushed/partition filters and read schemas.", ""]
+           "pushed/partition filters and read schemas.  These are the initial adaptive plans: the two "
+           "dimension broadcasts of the fact have one canonical plan, so AQE runs the broadcast once and "
+           "reuses it for the second role at runtime (with AQE off the plan shows `ReusedExchange`).", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", formatted(df), "```", ""]
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
