@@ -76,14 +76,6 @@ def is_weekend(day_name: Column) -> Column:
     return F.coalesce(day_name.isin(WEEKEND_DAYS), F.lit(False))
 
 
-# dayofweek numbering: 1 = Sunday ... 7 = Saturday
-WEEKEND_DAY_NUMBERS = [1, 7]
-
-
-def is_weekend_day(day_number: Column) -> Column:
-    """Same flag as ``is_weekend`` from ``dayofweek`` (no day-name formatting)."""
-    return F.coalesce(day_number.isin(WEEKEND_DAY_NUMBERS), F.lit(False))
-
 
 def either_true(a: Column, b: Column) -> Column:
     """True when either flag is true; NULL (missed lookup) counts as false."""
