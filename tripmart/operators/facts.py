@@ -133,14 +133,20 @@ def join_locations(trips: DataFrame, lk: Lookups) -> DataFrame:
 def enrich(trips: DataFrame, lk: Lookups) -> DataFrame:
     """All 52 fact columns, before the plausibility filter."""
     t = join_locations(join_codes(trips, lk), lk)
-    t = t.withColumn("_secs", X.seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime")))
+    pickup = F.col("pickup_datetime")
+    # Computed once, then referenced: the day name and hour feed several
+    # columns, and a non-trivial expression referenced twice stays in its own
+    # projection instead of being re-evaluated per use.
+    t = t.withColumns({
+        "_secs": X.seconds_between(pickup, F.col("dropoff_datetime")),
+        "pickup_day_of_week": X.day_abbrev(pickup),
+        "pickup_hour": F.hour(pickup),
+    })
     secs, miles = F.col("_secs"), F.col("trip_distance_miles")
     fare, tip = F.col("fare_amount"), F.col("tip_amount")
-    pickup = F.col("pickup_datetime")
+    hour, day = F.col("pickup_hour"), F.col("pickup_day_of_week")
     derived = {
         "pickup_date": F.to_date(pickup),
-        "pickup_day_of_week": X.day_abbrev(pickup),
-        "pickup_hour": F.hour(pickup),
         "pickup_month": F.month(pickup),
         "pickup_year": F.year(pickup),
         "trip_duration_seconds": secs,
@@ -149,9 +155,9 @@ def enrich(trips: DataFrame, lk: Lookups) -> DataFrame:
         "tip_percentage": X.tip_percentage(tip, fare),
         "fare_per_mile": X.fare_per_mile(fare, miles),
         "fare_per_minute": X.fare_per_minute(fare, secs),
-        "is_rush_hour": X.is_rush_hour(F.hour(pickup)),
-        "is_weekend": X.is_weekend(X.day_abbrev(pickup)),
-        "is_late_night": X.is_late_night(F.hour(pickup)),
+        "is_rush_hour": X.is_rush_hour(hour),
+        "is_weekend": X.is_weekend(day),
+        "is_late_night": X.is_late_night(hour),
         "is_airport_trip": X.either_true(F.col("is_airport_pickup"), F.col("is_airport_dropoff")),
         "trip_borough_type": X.borough_type(F.col("pickup_borough"), F.col("dropoff_borough")),
     }
