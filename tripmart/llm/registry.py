@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tripmart.llm import sharding
+from tripmart.llm import mixing, sharding, urls
 
 QUERIES = {
+    "op2_pareto_mix": mixing.query,
     "op3_feistel_shards": sharding.query,
+    "op6_bloom_cascade_urls": urls.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_pareto_mix": mixing.ORACLE,
+    "op6_bloom_cascade_urls": urls.ORACLE,
+}
