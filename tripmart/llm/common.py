@@ -36,3 +36,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     operator's column replaces a clashing extra column of the input."""
     gone = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
+def shield(df: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with every column but ``needed`` renamed out of the way of an
+    operator's own names, and the columns that bring all back in order."""
+    names = {c: c if c in needed else f"__in_{i}" for i, c in enumerate(df.columns)}
+    return (df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]),
+            [F.col(n).alias(c) for c, n in names.items()])

@@ -4,8 +4,9 @@ Every source has a word target.  A document of a source is due ``target /
 source size`` copies: the whole part is certain, the fraction is its inclusion
 probability p.  Documents are ranked by their random odds over their inclusion
 odds, q = (u / (1 - u)) / (p / (1 - p)) with u from a hash of the document, and
-the first of each source are taken once more until the words still missing are
-met as nearly as whole documents allow.  Nothing is sorted whole: a histogram of
+the first of each source are taken once more as long as the words still missing
+allow.  A second pass down the order fills up with documents that still fit, and
+one document whose size fits best ends it.  Nothing is sorted whole: a histogram of
 q finds the one bin per source in which the order matters.
 """
 
@@ -15,11 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripmart.llm.common import materialize, n_words, table, without
+from tripmart.llm.common import materialize, n_words, shield, table, without
 
 #: Weights of the sources in order, repeating, and the mix's size and copy limit (fixed by the contract).
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 BINS = 65_536
+ROUNDS = 2
 SEED = "mix-1"
 
 
@@ -72,28 +74,71 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def plan(docs: DataFrame, goals: DataFrame) -> DataFrame:
-    """Per source: target and the last Pareto rank (q, doc_id, size) taken once more.
+    """Per source: target and, per round, the words missing before it and the
+    last Pareto rank (q, doc_id, size) it takes; then one best fitting rank.
 
     ``docs``: doc_id, source, size, u; ``goals``: from :func:`targets`."""
-    d, g = docs.alias("d"), goals.alias("g")
-    rows = _ranked(d.join(g, _same(F.col("d.source"), F.col("g.source")))
-                   .select("d.doc_id", "d.source", "d.size", "d.u", "g.source_size", "g.target"))
-    rows = rows.filter("p > 0").withColumn("bin", F.least(F.floor(F.col("q") / (1 + F.col("q")) * BINS), F.lit(BINS - 1)).cast("int"))
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
+    cut = goals
+    for k in range(ROUNDS):
+        cut = materialize(_round(_joined(docs, cut), cut, k), "mix-cut")
+    rest = (_joined(docs, cut).withColumn("missing", F.col("need") - F.col(f"words{ROUNDS - 1}"))
+            .filter((F.col("p") > 0) & ~_taken() & (F.abs(F.col("size") - F.col("missing")) < F.col("missing")))
+            .groupBy("source").agg(F.min_by(_rank(), F.struct(F.abs(F.col("size") - F.col("missing")), _rank())).alias("extra")))
+    return _keyed(cut, rest, "extra")
+
+
+def _joined(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """Documents with what is known of their source (a row per source: small)."""
+    names = [f"d.`{c}`" for c in docs.columns]
+    return _ranked(docs.alias("d").join(cut.alias("c"), _same(F.col("d.source"), F.col("c.source")))
+                   .select(*names, *[f"c.`{c}`" for c in cut.columns if c != "source"]))
+
+
+def _keyed(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:
+    return (left.alias("l").join(right.alias("r"), _same(F.col("l.source"), F.col("r.source")), "left")
+            .select("l.*", *[f"r.{n}" for n in names]))
+
+
+def _round(rows: DataFrame, cut: DataFrame, k: int) -> DataFrame:
+    """One pass down the Pareto order: take documents until one does not fit.
+
+    Round 0 sees all; a later one, those left that are no longer than what is missing."""
+    before = F.col(f"words{k - 1}") if k else F.lit(0)
+    rows = rows.withColumn("missing", F.col("need") - before).filter("p > 0 AND missing > 0")
+    if k:
+        rows = rows.filter(~_taken(k) & (F.col("size") <= F.col("missing")))
+    rows = rows.withColumn("bin", _bin())
+    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
     upto = Window.partitionBy("source").orderBy("bin")  # at most BINS rows of a source
     bins = bins.withColumn("start", F.sum("words").over(upto) - F.col("words"))
-    edge = (bins.filter("start < need").groupBy("source")
-            .agg(F.max("bin").alias("bin"), F.max_by("start", "bin").alias("start")))
-    edge = materialize(edge, "mix-edge")
-    near = rows.alias("r").join(edge.alias("e"), _same(F.col("r.source"), F.col("e.source")) & (F.col("r.bin") == F.col("e.bin"))).select("r.*", "e.start")
+    edge = materialize(bins.filter("start < missing").groupBy("source")
+                       .agg(F.max("bin").alias("bin"), F.max_by("start", "bin").alias("start")), "mix-edge")
+    near = (rows.alias("r").join(edge.alias("e"), _same(F.col("r.source"), F.col("e.source")) & (F.col("r.bin") == F.col("e.bin")))
+            .select("r.*", "e.start"))
     order = Window.partitionBy("source").orderBy("q", F.col("doc_id").asc_nulls_last(), "size")
-    near = near.withColumn("words", F.col("start") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    last = (near.filter(2 * F.col("words") - F.col("size") <= 2 * F.col("need")).groupBy("source")
-            .agg(F.max(F.struct("q", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "size")).alias("last")))
-    # Without a document of the edge bin, everything in the bins before it.
-    return (goals.alias("g").join(edge.alias("e"), _same(F.col("g.source"), F.col("e.source")), "left")
-            .join(last.alias("l"), _same(F.col("g.source"), F.col("l.source")), "left")
-            .select("g.source", "g.source_size", "g.target", F.col("e.bin").alias("edge_bin"), F.col("l.last").alias("last")))
+    near = near.withColumn("upto", F.col("start") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    last = (near.filter("upto <= missing").groupBy("source").agg(F.max(_rank()).alias(f"last{k}"), F.max("upto").alias("upto")))
+    out = _keyed(_keyed(cut, edge.withColumnRenamed("bin", f"edge{k}"), f"edge{k}", "start"), last, f"last{k}", "upto")
+    return out.withColumn(f"words{k}", F.coalesce("upto", "start", F.lit(0)) + before).drop("start", "upto")
+
+
+def _rank() -> Column:
+    return F.struct(F.col("q"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.col("size"))
+
+
+def _bin() -> Column:
+    return F.least(F.floor(F.col("q") / (1 + F.col("q")) * BINS), F.lit(BINS - 1)).cast("int")
+
+
+def _taken(rounds: int = ROUNDS) -> Column:
+    """Taken in one of the first rounds: in a bin before its edge, or up to its last rank."""
+    out = F.lit(False)
+    for k in range(rounds):
+        here = (_bin() < F.col(f"edge{k}")) | (_rank() <= F.col(f"last{k}"))
+        if k:
+            here = here & (F.col("size") <= F.col("need") - F.col(f"words{k - 1}"))
+        out = out | F.coalesce(here, F.lit(False))
+    return out
 
 
 def take(docs: DataFrame, goals: DataFrame | None = None) -> DataFrame:
@@ -104,31 +149,23 @@ def take(docs: DataFrame, goals: DataFrame | None = None) -> DataFrame:
     repeated rows draw alike, and such ties are all in or all out when they
     share the last rank; an empty table stays empty; extra columns named like an
     output are replaced.  Reruns agree."""
-    docs = without(docs, "size", "source_size", "target", "copies", "taken")
+    docs, own = shield(without(docs, "size", "source_size", "target", "copies", "taken"), "doc_id", "source", "text")
     keys = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform().alias("u"))
     keys = materialize(keys, "mix-sizes")  # the texts are read once for the plan
     goals = materialize(goals if goals is not None else targets(keys), "mix-targets")
     cut = materialize(plan(keys, goals), "mix-plan")
-    return _apply(docs.withColumns({"size": n_words(F.col("text")), "u": uniform()}), cut)
-
-
-def _apply(docs: DataFrame, cut: DataFrame) -> DataFrame:
-    names = [f"d.`{c}`" for c in docs.columns]
-    rows = _ranked(docs.alias("d").join(cut.alias("c"), _same(F.col("d.source"), F.col("c.source")))
-                   .select(*names, "c.source_size", "c.target", "c.edge_bin", "c.last"))
-    me = F.struct(F.col("q"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.col("size"))
-    mine = F.least(F.floor(F.col("q") / (1 + F.col("q")) * BINS), F.lit(BINS - 1)).cast("int")
-    more = F.coalesce((F.col("p") > 0) & ((mine < F.col("edge_bin")) | (me <= F.col("last"))), F.lit(False))
+    rows = _joined(docs.withColumns({"size": n_words(F.col("text")), "u": uniform()}), cut)
+    more = (F.col("p") > 0) & (_taken() | F.coalesce(_rank() == F.col("extra"), F.lit(False)))
     rows = rows.withColumn("copies", F.col("certain") + more.cast("long"))
-    return (rows.withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("u", "due", "certain", "p", "need", "q", "edge_bin", "last"))
+    return rows.select(*own, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, goals: DataFrame | None = None) -> DataFrame:
     """The mixed table: each row as often as it is taken, with its own columns."""
-    out = take(docs, goals)
+    safe, own = shield(docs, "doc_id", "source", "text")
+    out = take(safe, goals)
     return (out.withColumn("__copy", F.explode(F.expr("CASE WHEN copies > 0 THEN sequence(1L, copies) ELSE array() END")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*own))
 
 
 def query(spark, sf_dir):
@@ -169,9 +206,21 @@ q AS (
     CASE WHEN due > floor(due) THEN (u / (1 - u)) / ((due - floor(due)) / (1 - (due - floor(due)))) END AS q
   FROM r),
 k AS (
-  SELECT *, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY q, doc_id NULLS LAST, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words FROM q)
-SELECT doc_id, size, source_size, target, (size * (certain + CASE WHEN p > 0
-    AND 2 * words - size <= 2 * (target - certain * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM k
+  SELECT *, target - certain * source_size AS need, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY q, doc_id NULLS LAST, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words FROM q),
+m AS (
+  SELECT *, need - coalesce(max(CASE WHEN p > 0 AND words <= need THEN words END) OVER (PARTITION BY source), 0) AS missing FROM k),
+n AS (
+  SELECT *, p > 0 AND words > need AND size <= missing AS again, sum(size) OVER (PARTITION BY source, p > 0 AND words > need
+    AND size <= missing ORDER BY q, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS more FROM m),
+o AS (
+  SELECT *, (p > 0 AND words <= need) OR (again AND more <= missing) AS taken_once,
+    missing - coalesce(max(CASE WHEN again AND more <= missing THEN more END) OVER (PARTITION BY source), 0) AS gap FROM n),
+x AS (
+  SELECT *, CASE WHEN p > 0 AND NOT taken_once AND abs(size - gap) < gap THEN
+    row_number() OVER (PARTITION BY source, p > 0 AND NOT taken_once AND abs(size - gap) < gap
+      ORDER BY abs(size - gap), q, doc_id NULLS LAST, size) END AS pick FROM o)
+SELECT doc_id, size, source_size, target,
+  (size * (certain + CASE WHEN taken_once OR pick = 1 THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM x
 """
