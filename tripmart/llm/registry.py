@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripmart.llm import mixing, quality, sharding, urls
+from tripmart.llm import bpe, mixing, quality, sharding, urls
 
 QUERIES = {
     "op1_decision_list": quality.query,
     "op2_pareto_mix": mixing.query,
     "op3_feistel_shards": sharding.query,
     "op6_bloom_cascade_urls": urls.query,
+    "op7_tree_bpe": bpe.query,
 }
 
 ORACLES: dict[str, str] = {
