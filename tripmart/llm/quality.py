@@ -33,7 +33,8 @@ SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS] + [T.Stru
 #: At most so many labelled documents are fitted on (those with the least hash).
 SAMPLE_ROWS = 20_000
 MAX_RULES, MAX_LITERALS, CUTS = 16, 4, 64
-MIN_PRECISION, MIN_COVER = 0.9, 5
+#: A rule stays if it is this precise on all left and on the pruning third, and covers so many there.
+MIN_PRECISION, MIN_HELD_PRECISION, MIN_COVER = 0.95, 0.8, 2
 
 _UPPER, _LOWER, _DIGIT = (np.array([chr(i) in s for i in range(256)]) for s in
                           ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"))
@@ -154,7 +155,8 @@ def learn(x: np.ndarray, bad: np.ndarray, hold: np.ndarray, names=FEATURES) -> l
             break
         literals = literals[:max(range(1, len(literals) + 1), key=worth)]
         c = _covers(xh, literals)
-        if c.sum() < MIN_COVER or bh[c].mean() < MIN_PRECISION:
+        every = _covers(x[left], literals)
+        if c.sum() < MIN_COVER or bh[c].mean() < MIN_HELD_PRECISION or bad[left][every].mean() < MIN_PRECISION:
             break
         rules.append(Rule(tuple((names[j], above, at) for j, above, at in literals)))
         left &= ~_covers(x, literals)
@@ -164,12 +166,13 @@ def learn(x: np.ndarray, bad: np.ndarray, hold: np.ndarray, names=FEATURES) -> l
 def fit(measured: DataFrame, labels: DataFrame) -> list[Rule]:
     """Learn from the documents of ``measured`` (doc_id and SCHEMA) that are labelled.
 
-    A document with any label quality 0 is bad.  The sample is bounded by
+    A document with any label quality 0 is bad; those that fail the base limits
+    have nothing to teach.  The sample is bounded by
     SAMPLE_ROWS, so what the driver holds does not grow.  Without labels, or
     without bad ones, the list is empty and rejects nothing."""
     wanted = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     wanted = wanted.withColumn("__h", F.xxhash64("doc_id")).orderBy("__h", "doc_id").limit(SAMPLE_ROWS)
-    rows = (measured.join(wanted, "doc_id").groupBy("doc_id", "__h", "quality")
+    rows = (measured.filter(~base_failed()).join(wanted, "doc_id").groupBy("doc_id", "__h", "quality")
             .agg(F.min(F.struct(*FEATURES)).alias("s"))  # one row for a repeated doc_id
             .select("doc_id", "__h", "quality", "s.*").toPandas().sort_values(["__h", "doc_id"]))
     if rows.empty:
