@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, mixing, quality, sharding, urls
+from tripmart.llm import bpe, mixing, quality, sharding, token_counts, urls
 
 QUERIES = {
     "op1_decision_list": quality.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_feistel_shards": sharding.query,
     "op6_bloom_cascade_urls": urls.query,
     "op7_tree_bpe": bpe.query,
+    "op8_trie_token_counts": token_counts.query,
 }
 
 ORACLES: dict[str, str] = {
