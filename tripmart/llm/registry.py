@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, html_text, mixing, neighbours, quality, sharding, token_counts, urls
+from tripmart.llm import bpe, html_text, mixing, neardup, neighbours, quality, sharding, token_counts, urls
 
 QUERIES = {
     "op1_decision_list": quality.query,
     "op2_pareto_mix": mixing.query,
     "op3_feistel_shards": sharding.query,
     "op4_tag_path_ratios": html_text.query,
+    "op5_icws_near_duplicates": neardup.query,
     "op6_bloom_cascade_urls": urls.query,
     "op7_tree_bpe": bpe.query,
     "op8_trie_token_counts": token_counts.query,
