@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, html_text, mixing, neardup, neighbours, quality, sharding, token_counts, urls
+from tripmart.llm import bpe, html_text, mixing, neardup, neighbours, privacy, quality, sharding, token_counts, urls
 
 QUERIES = {
     "op1_decision_list": quality.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_bloom_cascade_urls": urls.query,
     "op7_tree_bpe": bpe.query,
     "op8_trie_token_counts": token_counts.query,
+    "op9_disclosure_spans": privacy.query,
     "op10_projection_forest": neighbours.query,
 }
 
