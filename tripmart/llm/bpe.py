@@ -36,6 +36,7 @@ BLOCK = 4096  # ids decoded at once
 OUT = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                     T.StructField("decoded_sha256", T.StringType())])
 IDS = T.ArrayType(T.IntegerType())
+ALL = T.StructType([T.StructField("ids", IDS), *OUT.fields])
 
 
 class Bounded(dict):
@@ -243,16 +244,19 @@ def _udf(spark, path: str | None, pattern: str | None, kind: str):
     def codec() -> Codec:
         return _Shared.get(ranks, pattern)
 
-    if kind == "digest":
-        @F.pandas_udf(OUT)
+    if kind in ("digest", "all"):
+        out = OUT if kind == "digest" else ALL
+
+        @F.pandas_udf(out)
         def digest(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             c = codec()
             for part in texts:
                 rows = []
                 for text in part:
                     ids = c.encode(text)
-                    rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
-                yield pd.DataFrame(rows, columns=OUT.names)
+                    own = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest())
+                    rows.append(own if out is OUT else (ids.astype(np.int32), *own))
+                yield pd.DataFrame(rows, columns=out.names)
 
         return digest
     if kind == "encode":
@@ -286,9 +290,17 @@ def decode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Every row with the number of its ids, their digest and the decoded digest."""
-    safe, own = shield(without(docs, *OUT.names), "text")
-    out = safe.withColumn("__d", _udf(docs.sparkSession, path, pattern, "digest")("text"))
-    return out.select(*own, "__d.*")
+    return _added(docs, path, pattern, "digest", OUT)
+
+
+def tokenised(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """The same with the ids themselves, encoded once."""
+    return _added(docs, path, pattern, "all", ALL)
+
+
+def _added(docs: DataFrame, path: str | None, pattern: str | None, kind: str, out: T.StructType) -> DataFrame:
+    safe, own = shield(without(docs, *out.names), "text")
+    return safe.withColumn("__d", _udf(docs.sparkSession, path, pattern, kind)("text")).select(*own, "__d.*")
 
 
 def query(spark, sf_dir):
