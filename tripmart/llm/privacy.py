@@ -30,7 +30,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: What a text must hold to be searched at all.
-HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{4,}"
 NEAR = 160  # code points on either side of an entity
 #: Different surroundings in which a term must meet an entity.
@@ -96,8 +96,7 @@ def base_spans(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     kinds = []
     for kind in KINDS:
-        hint = HINTS[kind]
-        may = F.contains(text, F.lit(hint)) if hint else F.rlike(text, F.lit("[0-9][ -]?[0-9]"))
+        may = F.rlike(text, F.lit(HINTS[kind]))
         found = F.filter(_matches(text, PATTERNS[kind], kind), _validity(kind))
         kinds.append(F.when(may, found).otherwise(F.array().cast(f"array<{SPAN}>")))
     return F.concat(*kinds)
