@@ -33,6 +33,7 @@ RECALL = 0.96
 #: A leaf with more vectors is cut into parts by hash.
 PART = 4096
 ASKED = 256  # queries compared with a part at once
+HELD = 200_000  # rows a task holds before it keeps only the nearest
 SEED = 7
 
 
@@ -213,6 +214,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted: the vectors of a leaf's part, then its queries."""
         key, v, ids = None, [], []
+        held: list[pd.DataFrame] = []
         for batch in batches:
             for here, g in batch.groupby(["tree", "leaf", "part"], sort=False):
                 if here != key:
@@ -226,8 +228,14 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL
                 for at in range(0, len(q), ASKED):
                     some = q.iloc[at:at + ASKED]
                     qi, vi, score = best(_matrix(some["vector"], d), block, first, k + 1)
-                    yield pd.DataFrame({"h1": some["h1"].to_numpy()[qi], "h2": some["h2"].to_numpy()[qi], "score": score,
-                                        "first": first[vi], "ids": [ids[j] for j in vi]})
+                    held.append(pd.DataFrame({"h1": some["h1"].to_numpy()[qi], "h2": some["h2"].to_numpy()[qi], "score": score,
+                                              "first": first[vi], "ids": [ids[j] for j in vi]}))
+            if sum(map(len, held)) > HELD:
+                held = [_nearest(held, k)]
+                if len(held[0]) > HELD // 2:
+                    yield held.pop()
+        if held:
+            yield _nearest(held, k)
 
     found = met.mapInPandas(meet, "h1 long, h2 long, score double, first long, ids array<long>")
     # A vector met in several trees has one score; keep each query's k + 1 best vectors.
@@ -241,6 +249,12 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _nearest(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """Each query's k + 1 nearest vectors among those met in a task so far."""
+    rows = pd.concat(parts).drop_duplicates(["h1", "h2", "first"])
+    return rows.sort_values(["h1", "h2", "score", "first"], ascending=[True, True, False, True]).groupby(["h1", "h2"]).head(k + 1)
+
+
 def nearest_by_scan(queries: pd.DataFrame, vectors: DataFrame, d: int, k: int) -> pd.DataFrame:
     """The true k nearest vectors of a bounded set of queries: one scan in blocks."""
     q = vectors.sparkSession.sparkContext.broadcast((queries[["h1", "h2"]].to_numpy(np.int64), _matrix(queries["vector"], d)))
