@@ -23,7 +23,7 @@ from tripmart.operators import facts, quality, staging  # noqa: E402
 from tripmart.plans import pipeline, sinks  # noqa: E402
 from tripmart.plans.roundtrips import write_month_files, write_zones  # noqa: E402
 from tripmart.session import build_session  # noqa: E402
-from tripmart.streaming import incremental as inc  # noqa: E402
+from tripmart.incremental import loading as inc  # noqa: E402
 
 
 def _timed(results, name, fn):
@@ -46,13 +46,14 @@ def one_pass(spark, sf_dir, work):
     lk = facts.Lookups.build(spark, spark.read.parquet(layout.raw_zones).select(*schemas.RAW_ZONES.fieldNames()))
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
     stg = staging.stg_trips(pipeline.raw_trips_table(spark, layout))
-    _timed(res, "fact_trips", lambda: sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact,
-                                                            schemas.FACT_PARTITIONS))
+    _timed(res, "fact_trips", lambda: pipeline.write_fact(stg, lk, layout))
     fact = spark.read.parquet(layout.fact)
     _timed(res, "four_marts", lambda: pipeline.write_marts(spark, layout, fact))
 
+    models = [quality.STG_TRIPS, quality.STG_ZONES, quality.DIM, quality.FACT, *marts.MARTS]
+
     def dq():
-        report = quality.run_checks(pipeline.tables(spark, layout, stg, lk), quality.DECLARED_CHECKS,
+        report = quality.run_checks(pipeline.tables(spark, layout, stg, models), quality.DECLARED_CHECKS,
                                     {"vendor": lk.vendor, "rate_code": lk.rate_code,
                                      "payment_type": lk.payment_type})
         quality.gate(report, raise_on_error=False)

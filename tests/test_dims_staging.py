@@ -138,13 +138,78 @@ def test_schema_evolution_on_read(spark, tmp_path):
     assert staging.stg_trips(raw).count() == 2  # the staged projection ignores the new column
 
 
-def test_lookup_past_bound_is_not_broadcast(spark):
+def test_large_lookup_is_not_broadcast(spark):
+    """Spark's own byte threshold decides; the rows are the same either way."""
     from tripmart.operators import facts
     from tripmart.sources import fixture as fx
 
-    lk = facts.Lookups.build(spark, fx.zones_fixture(spark), max_rows=100)  # dim has 265 rows
-    assert lk.small["dim_location"] is False and lk.small["vendor"] is True
-    stg = staging.stg_trips(raw_df(spark, [trip()]))
-    plan = facts.fact_trips(stg, lk)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan  # seeds are map lookups; the dimension is past the bound
-    assert facts.fact_trips(stg, lk).count() == 1
+    stg = staging.stg_trips(raw_df(spark, [trip(), trip(VendorID=9)]))
+    lk = facts.Lookups.build(spark, fx.zones_fixture(spark))
+    small = facts.fact_trips(stg, lk)
+    rows = sorted(map(str, small.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = facts.fact_trips(stg, lk)
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, large.collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _seed_dir(tmp_path, **replaced):
+    import shutil
+
+    from tripmart.sources import lookups
+
+    folder = tmp_path / "seeds"
+    shutil.copytree(lookups.SEED_DIR, folder)
+    for name, text in replaced.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_empty_seed_joins_to_nulls(spark, tmp_path):
+    from tripmart.operators import facts
+    from tripmart.sources import fixture as fx
+
+    lk = facts.Lookups.build(spark, fx.zones_fixture(spark), _seed_dir(tmp_path, vendor="vendor_id,vendor_name\n"))
+    row = facts.fact_trips(staging.stg_trips(raw_df(spark, [trip()])), lk).first()
+    assert row["vendor_name"] is None and row["payment_type_name"] is not None
+
+
+@pytest.mark.parametrize("rows", [3, 10_001])
+def test_two_null_keys_repeat_at_any_size(spark, rows):
+    from tripmart.sources import lookups
+
+    df = spark.range(rows).selectExpr("IF(id < 2, NULL, id) AS k")
+    with pytest.raises(lookups.LookupError_):
+        lookups.check_lookups({"big": (df, "k")})
+    lookups.check_lookups({"big": (df.filter("k IS NOT NULL").union(spark.sql("SELECT CAST(NULL AS BIGINT)")), "k")})
+
+
+def test_relationship_to_a_large_parent(spark):
+    from tripmart.operators import quality as q
+
+    child = spark.createDataFrame([(1,), (20_000,), (None,), (5,), (20_000,)], "k int")
+    check = q.Check("child", "k", q.RELATIONSHIPS, to_model="parent", to_field="id")
+    parents = {"parent": spark.range(10_001)}
+    assert [r["failures"] for r in q.run_checks({"child": child}, [check], parents).collect()] == [2]
+    assert [r["k"] for r in q.failing_rows(child, check, parents).collect()] == [20_000, 20_000]
+
+
+def test_quality_pass_expands_no_row(spark):
+    from tripmart.operators import quality as q
+    from tripmart.plans import registry
+
+    models, parents = registry.dq_models(spark, "/root/testdata/sf0.001")
+    plan = q.run_checks({q.FACT: models[q.FACT]}, q.DECLARED_CHECKS, {**parents, **models})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_tiny_distances_do_not_stop_the_vendor_mart(spark, lookups):
+    from tripmart.operators import facts, marts
+
+    raw = raw_df(spark, [trip(trip_distance=1e-9, fare_amount=50.0), trip(trip_distance=5e-324, fare_amount=50.0), trip()])
+    mart = marts.build_mart("agg_vendor_performance", facts.fact_trips(staging.stg_trips(raw), lookups))
+    assert mart.agg(F.sum("trip_count")).first()[0] == 3

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import raw_df, trip
 from tripmart.operators import facts, marts, staging
-from tripmart.streaming import incremental as inc
+from tripmart.incremental import loading as inc
 
 
 def _trips_on(days, month=1, zone=4):

@@ -9,13 +9,13 @@ from tripmart.operators import marts
 from tripmart.plans import pipeline, sinks
 from tripmart.plans.roundtrips import write_month_files, write_zones
 from tripmart.sources import fixture
-from tripmart.streaming import incremental as inc
+from tripmart.incremental import loading as inc
 from conftest import SF_SMALL
 
 
 def test_namespace_rule():
-    assert pipeline.namespace("KENT") == "KENT_CURATED"
-    assert pipeline.namespace("KENT", "mrt") == "KENT_MRT"
+    assert pipeline.namespace("DEV") == "DEV_CURATED"
+    assert pipeline.namespace("DEV", "mrt") == "DEV_MRT"
     assert pipeline.export_name(2025, 1) == "AGG_MONTHLY_ZONE_SUMMARY_2025_01"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import BASE, raw_df, trip
 from tripmart.operators import facts, marts, staging
-from tripmart.streaming import incremental as inc
+from tripmart.incremental import loading as inc
 from conftest import SF_SMALL
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

@@ -22,7 +22,7 @@ from tripmart.operators import facts, marts, quality, staging  # noqa: E402
 from tripmart.plans import pipeline  # noqa: E402
 from tripmart.plans.roundtrips import write_month_files, write_zones  # noqa: E402
 from tripmart.session import build_session  # noqa: E402
-from tripmart.streaming import incremental as inc  # noqa: E402
+from tripmart.incremental import loading as inc  # noqa: E402
 
 KEEP = re.compile(r"^(\s*[+:\- ]*\S.*(Scan|Join|Aggregate|Exchange|Filter|Project|Window|Union|Generate|"
                   r"BroadcastExchange|AdaptiveSparkPlan|Sort|Expand|Subquery)|PushedFilters|PartitionFilters|"

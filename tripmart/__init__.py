@@ -2,7 +2,7 @@
 
 Layers: ``sources`` (file scans, lookups, test fixture), ``functions``
 (column expressions), ``operators`` (staging, dimension, fact, marts, data
-quality), ``streaming`` (incremental loading), ``plans`` (sinks, pipeline,
+quality), ``incremental`` (incremental loading), ``plans`` (sinks, pipeline,
 registered queries).
 """
 

@@ -27,6 +27,7 @@ statistics can skip row groups).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,7 @@ from tripmart.plans import sinks
 
 REFERENCE, SAFE = "reference", "safe"
 FACT_KEY = ["trip_id"]
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL
 
 # Watermark of each incremental table: (target expression, source column).
 def _month_start() -> Column:
@@ -122,7 +124,7 @@ def months_of(df: DataFrame, year_col: str, month_col: str) -> DataFrame:
 def safe_rebuild_fact(stg: DataFrame, lk: facts.Lookups, months: DataFrame) -> DataFrame:
     """Fact rows of whole pickup months, rebuilt from every staged row."""
     fact = facts.fact_trips(stg, lk)
-    return fact.join(F.broadcast(months), list(schemas.FACT_PARTITIONS), "left_semi")
+    return fact.join(months, list(schemas.FACT_PARTITIONS), "left_semi")
 
 
 # --------------------------------------------------------------------------
@@ -141,9 +143,10 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Se
 
     Only partitions the source touches are read and rewritten (the keys
     determine the partition: a trip key fixes the pickup time, a mart key
-    its date/month).  The merged partitions are staged under the shared
-    checkpoint folder, then swapped in by dynamic partition overwrite, so
-    the table is never overwritten by a plan that reads it."""
+    its date/month).  The source is computed once, under the shared checkpoint
+    folder; the merged partitions are written once, beside the table, and
+    their folders moved in, so the table is never overwritten by a plan that
+    reads it."""
     target = sinks.read_table(spark, path)
     if target is None:
         sinks.write_partitions(source, path, partition_cols)
@@ -152,23 +155,22 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Se
 
     staged_src, src_path = sinks.stage(spark, source, "merge-source")
     touched = [tuple(r) for r in staged_src.select(*partition_cols).distinct().collect()]
-    if not touched:
-        fs.delete(spark, src_path)
-        return
-    cond = None
-    for values in touched:
-        c = None
-        for col, v in zip(partition_cols, values):
-            term = F.col(col).eqNullSafe(F.lit(v))
-            c = term if c is None else c & term
-        cond = c if cond is None else cond | c
-    target_part = target.filter(cond)
-    merged = merge_upsert(target_part, staged_src, keys, null_safe)
-    staged, merged_path = sinks.stage(spark, merged, "merge-result", partition_cols)
-    sinks.write_partitions(staged, path, partition_cols)
-    # the swap has committed: the staged copies are no longer read
+    if touched:
+        cond = None
+        for values in touched:
+            c = None
+            for col, v in zip(partition_cols, values):
+                term = F.col(col).eqNullSafe(F.lit(v))
+                c = term if c is None else c & term
+            cond = c if cond is None else cond | c
+        merged = merge_upsert(target.filter(cond), staged_src, keys, null_safe)
+        beside = f"{path.rstrip('/')}.merge-{uuid.uuid4().hex}"
+        merged.write.partitionBy(*partition_cols).parquet(beside)
+        for values in touched:
+            part = "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, values))
+            fs.swap_in(spark, f"{beside}/{part}", f"{path.rstrip('/')}/{part}")
+        fs.delete(spark, beside)
     fs.delete(spark, src_path)
-    fs.delete(spark, merged_path)
 
 
 def replace_months_in_table(spark: SparkSession, path: str, rebuilt: DataFrame,

@@ -18,9 +18,3 @@ def dim_location(stg_zones: DataFrame) -> DataFrame:
         Z.borough_group(b).alias("borough_group"),
         Z.manhattan_subregion(b, z).alias("manhattan_subregion"),
     )
-
-
-def zone_group_counts(dim: DataFrame) -> DataFrame:
-    """Zones per (borough_group, manhattan_subregion): a profile of the dimension."""
-    return (dim.groupBy("borough_group", "manhattan_subregion")
-            .agg(F.count(F.lit(1)).alias("zone_count")))

@@ -1,8 +1,9 @@
 """Curated trip fact: six lookup joins, derived measures, plausibility filter.
 
-Every join is a left join of the trip stream to a small lookup, so with the
-lookups broadcast the whole fact is one map-only stage over the trip scan:
-no shuffle, one whole-stage-codegen span.  The plausibility predicate is
+Every join is a left join of the trip stream to a lookup, without a hint: Spark
+broadcasts a side whose bytes are below its own threshold
+(spark.sql.autoBroadcastJoinThreshold) and shuffles beyond.  With the usual
+lookups the whole fact is one map-only stage over the trip scan.  The plausibility predicate is
 written after the joins (as the model reads) and Catalyst pushes it down to
 the scan side of every left join.
 """
@@ -17,12 +18,8 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.functions import expressions as X
 from tripmart.operators import dims, staging
-from tripmart.operators.lookup_join import DEFAULT_MAX_ROWS, hinted
 from tripmart.sources import lookups as L
 
-# Code lookups up to this size join as a literal map (no broadcast job).
-CODE_MAP_MAX_ROWS = 64
-
 # Plausibility bounds (seconds, miles).
 MAX_TRIP_SECONDS = 86400
 MAX_TRIP_MILES = 500
@@ -36,80 +33,29 @@ LOCATION_ATTRS = [
 
 @dataclass
 class Lookups:
-    """The five lookups of the fact; ``small`` records which passed the
-    broadcast bound."""
+    """The five lookups of the fact, each with a unique key."""
 
     vendor: DataFrame
     rate_code: DataFrame
     payment_type: DataFrame
     store_and_fwd_flag: DataFrame
     dim_location: DataFrame
-    small: dict | None = None  # lookup name -> proven small enough to broadcast
-    code_maps: dict | None = None  # seed name -> {key: name} for tiny seeds
 
     @classmethod
-    def build(cls, spark: SparkSession, raw_zones: DataFrame, seed_dir: str | None = None,
-              max_rows: int = DEFAULT_MAX_ROWS) -> "Lookups":
-        # Each check reads at most max_rows + 1 rows and fails past the
-        # bound, so passing it is the size proof for the broadcast.
+    def build(cls, spark: SparkSession, raw_zones: DataFrame, seed_dir: str | None = None) -> "Lookups":
         seeds = L.load_seeds(spark, seed_dir, check=False)
         dim = dims.dim_location(staging.stg_zones(raw_zones))
         checks = {n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}
-        checks["dim_location"] = (dim, "location_id")
-        counts = L.check_lookups(checks, max_rows)
-        tiny = {n: df for n, df in seeds.items() if counts[n] is not None and counts[n] <= CODE_MAP_MAX_ROWS}
-        return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"],
-                   seeds["store_and_fwd_flag"], dim, small={n: c is not None for n, c in counts.items()},
-                   code_maps=_collect_code_maps(tiny))
-
-    def side(self, name: str, df: DataFrame) -> DataFrame:
-        return hinted(df, bool((self.small or {}).get(name, False)))
-
-
-def _collect_code_maps(seeds: dict[str, DataFrame]) -> dict:
-    """Rows of the tiny, already size-checked seeds in one small job."""
-    if not seeds:
-        return {}
-    parts = [df.select(F.lit(n).alias("seed"), F.to_json(F.struct(*df.columns)).alias("row"))
-             for n, df in seeds.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    import json
-
-    out = {n: {} for n in seeds}
-    for r in union.collect():
-        key_col, _, value_col = schemas.SEEDS[r["seed"]]
-        row = json.loads(r["row"])
-        if row.get(key_col) is not None:
-            out[r["seed"]][row[key_col]] = row.get(value_col)
-    return out
-
-
-def _code_map(mapping: dict):
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
+        L.check_lookups({**checks, "dim_location": (dim, "location_id")})
+        return cls(seeds["vendor"], seeds["rate_code"], seeds["payment_type"], seeds["store_and_fwd_flag"], dim)
 
 
 def join_codes(trips: DataFrame, lk: Lookups) -> DataFrame:
-    """J1-J4: vendor, rate code, payment type and flag names (left joins).
-
-    A seed of a few rows with a unique key is joined as a literal map
-    lookup: the same result as the left join (NULL on a miss or a NULL key),
-    evaluated inside the scan's codegen stage with no broadcast job.  Larger
-    seeds use a (size-checked) broadcast join."""
+    """J1-J4: vendor, rate code, payment type and flag names (left joins)."""
     t = trips
-    maps = lk.code_maps or {}
-    for name, lookup, key in [("vendor", lk.vendor, "vendor_id"), ("rate_code", lk.rate_code, "rate_code_id"),
-                              ("payment_type", lk.payment_type, "payment_type_id"),
-                              ("store_and_fwd_flag", lk.store_and_fwd_flag, "store_and_fwd_flag")]:
-        value_col = schemas.SEEDS[name][2]
-        if name in maps:
-            t = t.withColumn(value_col, _code_map(maps[name])[F.col(key)].cast("string"))
-            continue
-        side = lk.side(name, lookup.withColumnRenamed(key, f"_{key}"))
+    for lookup, key in [(lk.vendor, "vendor_id"), (lk.rate_code, "rate_code_id"),
+                        (lk.payment_type, "payment_type_id"), (lk.store_and_fwd_flag, "store_and_fwd_flag")]:
+        side = lookup.withColumnRenamed(key, f"_{key}")
         t = t.join(side, t[key] == side[f"_{key}"], "left").drop(f"_{key}")
     return t
 
@@ -120,7 +66,7 @@ def join_locations(trips: DataFrame, lk: Lookups) -> DataFrame:
     Both roles join the same projected dimension (under two aliases) and
     rename after the join, so the two build sides are one plan and Spark
     broadcasts the dimension once (ReusedExchange)."""
-    dim = lk.side("dim_location", lk.dim_location.select("location_id", *[src for src, _ in LOCATION_ATTRS]))
+    dim = lk.dim_location.select("location_id", *[src for src, _ in LOCATION_ATTRS])
     t = trips
     for role, key in [("pickup", "pickup_location_id"), ("dropoff", "dropoff_location_id")]:
         d = dim.alias(f"_{role}")

@@ -4,7 +4,7 @@ Each is one ``groupBy().agg()``; Spark plans partial aggregation before the
 shuffle, so a zone, vendor or hour holding a third of all trips still sends
 one partial row per task per group.  Money sums and averages stay decimal
 (exact); per-trip speed and fare-per-mile are doubles rounded to cents, and
-are averaged as DECIMAL(12,2) so the result does not depend on the order
+are averaged as wide decimals so the result does not depend on the order
 partial sums are combined in.
 """
 
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.expressions import count_if, pct_of_count
 
-AVG_SCALE_TYPE = "decimal(12,2)"
+# Holds every per-trip ratio below 1e26; larger ones (a fare over a distance
+# near zero) have no meaning in cents and are left out of the average.
+AVG_SCALE_TYPE = "decimal(28,2)"
 
 DAILY_KEYS = ["pickup_date", "pickup_year", "pickup_month", "pickup_day_of_week", "is_weekend",
               "pickup_borough", "pickup_zone", "pickup_service_zone", "pickup_borough_group",
@@ -45,7 +47,7 @@ def _r2(col: Column) -> Column:
 
 def _avg_cents(name: str) -> Column:
     """round(avg(x), 2) of a per-trip value already rounded to cents."""
-    return _r2(F.avg(_c(name).cast(AVG_SCALE_TYPE)))
+    return _r2(F.avg(_c(name).try_cast(AVG_SCALE_TYPE)))
 
 
 def _trips() -> Column:
@@ -154,22 +156,6 @@ def build_mart(name: str, fact: DataFrame) -> DataFrame:
     return fact.groupBy(*keys).agg(*metrics())
 
 
-def agg_daily_zone_summary(fact: DataFrame) -> DataFrame:
-    return build_mart("agg_daily_zone_summary", fact)
-
-
-def agg_hourly_demand(fact: DataFrame) -> DataFrame:
-    return build_mart("agg_hourly_demand", fact)
-
-
-def agg_monthly_zone_summary(fact: DataFrame) -> DataFrame:
-    return build_mart("agg_monthly_zone_summary", fact)
-
-
-def agg_vendor_performance(fact: DataFrame) -> DataFrame:
-    return build_mart("agg_vendor_performance", fact)
-
-
 def grain_violations(mart_name: str, mart: DataFrame) -> DataFrame:
     """Merge keys carried by more than one mart row (should be empty)."""
     keys = MERGE_KEYS[mart_name]

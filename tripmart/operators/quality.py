@@ -7,11 +7,11 @@ counts follow the usual SQL test conventions: failing rows for not_null and
 relationships, failing distinct values for unique and accepted_values; NULL
 passes accepted_values and relationships.
 
-Cost at scale: per model, all not_null, accepted_values and
-relationships-to-a-small-parent checks share ONE aggregate pass (parent keys
-of a bounded lookup become an IN list); each unique check is one partially
-aggregated groupBy; a relationship to an unbounded parent is a pre-aggregated
-left-anti join.  The report is a handful of rows; only the gate collects it.
+Cost at scale: per model, all not_null and relationships checks share ONE
+aggregate pass; accepted_values filters on the column (the scan prunes by
+statistics) and each unique check is one partially aggregated groupBy.  The
+report is a handful of rows; only the gate collects it.  ``failing_rows``
+returns the rows behind a count.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS = "not_null", "unique", "accepted_values", "relationships"
 ERROR, WARN = "error", "warn"
-INLINE_PARENT_MAX_KEYS = 10_000
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
@@ -109,51 +108,22 @@ def _rows(model: str, checks: Sequence[Check], counts: DataFrame) -> DataFrame:
                       F.coalesce(F.col("failures"), F.lit(0).cast("bigint")).alias("failures"))
 
 
-def parent_key_sets(pairs: Sequence[tuple[DataFrame, str]]) -> dict:
-    """Distinct keys of several parents in ONE job, each read through a
-    bounded limit; a parent past ``INLINE_PARENT_MAX_KEYS`` maps to None."""
-    import json
-
-    out, parts = {}, []
-    for i, (parent, field_) in enumerate(pairs):
-        keys = parent.select(F.col(field_).alias("k")).distinct().limit(INLINE_PARENT_MAX_KEYS + 1)
-        parts.append(keys.agg(F.count(F.lit(1)).alias("n"), F.to_json(F.collect_list("k")).alias("keys"))
-                     .select(F.lit(i).alias("i"), "n", "keys"))
-    if not parts:
-        return out
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    for r in union.collect():
-        parent, field_ = pairs[r["i"]]
-        out[(id(parent), field_)] = None if r["n"] > INLINE_PARENT_MAX_KEYS else json.loads(r["keys"])
-    return out
-
-
-def _inline_parent_keys(parent: DataFrame, field_: str, cache: dict):
-    """Parent keys as a Python list when the parent is provably small, else None."""
-    tag = (id(parent), field_)
-    if tag not in cache:
-        cache.update(parent_key_sets([(parent, field_)]))
-    return cache[tag]
-
-
 def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
-                 parents: Mapping[str, DataFrame], cache: dict) -> tuple[DataFrame | None, list[Check]]:
-    """One aggregate over ``df`` for every check that needs no shuffle by key."""
+                 parents: Mapping[str, DataFrame]) -> tuple[DataFrame | None, list[Check]]:
+    """One aggregate over ``df`` for every check on single rows.
+
+    A parent's distinct keys come in by a left join (Spark broadcasts a small
+    side and shuffles a large one); a child row without a match fails."""
     aggs, done, rest = [], [], []
     for c in checks:
         col = F.col(c.column)
         if c.test == NOT_NULL:
             agg = F.count_if(col.isNull())
-        elif c.test == ACCEPTED:
-            agg = F.count_distinct(F.when(~col.isin(list(c.values)), col))
         elif c.test == RELATIONSHIPS:
-            keys = _inline_parent_keys(parents[c.to_model], c.to_field, cache)
-            if keys is None:
-                rest.append(c)
-                continue
-            agg = F.count_if(col.isNotNull() & ~col.isin(keys)) if keys else F.count_if(col.isNotNull())
+            k, hit = f"_k{len(done)}", f"_hit{len(done)}"
+            keys = parents[c.to_model].select(F.col(c.to_field).alias(k)).distinct().withColumn(hit, F.lit(True))
+            df = df.join(keys, df[c.column] == keys[k], "left")
+            agg = F.count_if(col.isNotNull() & F.col(hit).isNull())
         else:
             rest.append(c)
             continue
@@ -171,19 +141,35 @@ def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
     return _rows(model, done, df.agg(*aggs)), rest
 
 
-def _keyed(model: str, df: DataFrame, c: Check, parents: Mapping[str, DataFrame]) -> DataFrame:
+def failing_rows(df: DataFrame, c: Check, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows of the tested model that fail check ``c``: with a NULL, with a
+    value that is not accepted, without a parent, or with a repeated key."""
+    col = F.col(c.column)
+    if c.test == NOT_NULL:
+        return df.filter(col.isNull())
+    if c.test == ACCEPTED:
+        return df.filter(col.isNotNull() & ~col.isin(list(c.values)))
+    if c.test == RELATIONSHIPS:
+        keys = (parents or {})[c.to_model].select(F.col(c.to_field).alias("_k"))
+        return df.filter(col.isNotNull()).join(keys, df[c.column] == keys["_k"], "left_anti")
+    if c.test == UNIQUE:
+        keys = (df.filter(col.isNotNull()).groupBy(col.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > 1).select("_k"))
+        return df.join(keys, F.col(c.column) == F.col("_k"), "left_semi")
+    raise ValueError(f"unknown test {c.test}")
+
+
+def _keyed(model: str, df: DataFrame, c: Check) -> DataFrame:
+    """A check on values: a filter that the scan can prune, then a groupBy."""
     col = F.col(c.column)
     if c.test == UNIQUE:
-        dup = (df.filter(col.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        bad = (df.filter(col.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
                .filter(F.col("n") > 1))
-        counts = dup.agg(F.count(F.lit(1)).alias("_c0"))
-    elif c.test == RELATIONSHIPS:
-        parent = parents[c.to_model].select(F.col(c.to_field).alias("_k")).distinct()
-        child = df.filter(col.isNotNull()).groupBy(col.alias("_k")).agg(F.count(F.lit(1)).alias("n"))
-        counts = child.join(parent, "_k", "left_anti").agg(F.sum("n").alias("_c0"))
+    elif c.test == ACCEPTED:
+        bad = failing_rows(df, c).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     else:
         raise ValueError(f"unknown test {c.test}")
-    return _rows(model, [c], counts)
+    return _rows(model, [c], bad.agg(F.count(F.lit(1)).alias("_c0")))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = tuple(DECLARED_CHECKS),
@@ -192,17 +178,14 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = tuple(
     parents = dict(parents or {})
     parents.update(models)
     parts = []
-    rel = {(id(parents[c.to_model]), c.to_field): (parents[c.to_model], c.to_field)
-           for c in checks if c.test == RELATIONSHIPS and c.model in models}
-    cache = parent_key_sets(list(rel.values()))
     for model, df in models.items():
         mine = [c for c in checks if c.model == model]
         if not mine:
             continue
-        single, rest = _single_pass(model, df, mine, parents, cache)
+        single, rest = _single_pass(model, df, mine, parents)
         if single is not None:
             parts.append(single)
-        parts.extend(_keyed(model, df, c, parents) for c in rest)
+        parts.extend(_keyed(model, df, c) for c in rest)
     if not parts:
         spark = next(iter(models.values())).sparkSession
         return spark.createDataFrame([], REPORT_SCHEMA)

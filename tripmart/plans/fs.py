@@ -6,6 +6,9 @@ driver only lists, renames and deletes -- no data flows through it.
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -25,13 +28,42 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move ``src`` to ``dst``; a refused move is an error."""
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)
     parent = d.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
-    return bool(fs.rename(s, d))
+    if not fs.rename(s, d):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
+def swap_in(spark: SparkSession, src: str, dst: str) -> None:
+    """Put ``src`` in the place of ``dst``.
+
+    What ``dst`` held is set aside first and deleted last; if ``src`` can not be
+    moved it is put back, so a failure leaves the old content readable.  Between
+    the two moves ``dst`` is missing: stores without renames are not atomic."""
+    aside = f"{dst.rstrip('/')}.old-{uuid.uuid4().hex}" if exists(spark, dst) else None
+    if aside:
+        rename(spark, dst, aside)
+    try:
+        rename(spark, src, dst)
+    except Exception:
+        if aside:
+            rename(spark, aside, dst)
+        raise
+    if aside:
+        delete(spark, aside)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """Scheme, authority and path without ``.`` and ``..``."""
+    fs, p = _fs(spark, path)
+    uri = fs.makeQualified(p).toUri()
+    where = posixpath.normpath(uri.getPath())
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{where}"
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:

@@ -1,5 +1,5 @@
 """End-to-end monthly run: ingest -> staging -> dimension -> fact -> marts ->
-data-quality gate -> export.
+export, with data-quality gates between them.
 
 Only the dimension, fact and marts are materialised; staging stays a lazy
 plan over the raw table so Catalyst fuses it with each consumer.  Tables are
@@ -16,12 +16,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.operators import facts, marts, quality, staging
 from tripmart.plans import fs, sinks
 from tripmart.sources import lookups, trips
-from tripmart.streaming import incremental as inc
+from tripmart.incremental import loading as inc
 
 # Export file name pattern and layer labels.
 EXPORT_NAME = "AGG_MONTHLY_ZONE_SUMMARY_{year:04d}_{month:02d}"
@@ -55,6 +56,16 @@ class Layout:
         """(trip_year, trip_month) -> pickup months present in that raw partition."""
         return self._p("EDL", "yellow_taxi_trips_pickup_months")
 
+    @property
+    def pending_months(self) -> str:
+        """Pickup months whose trips changed and that no build has rebuilt yet."""
+        return self._p("EDL", "yellow_taxi_trips_pending_months")
+
+    @property
+    def rejected_at_ingest(self) -> str:
+        """Rows of the source files that an ingest cast rejected, as JSON."""
+        return self._p("EDL", "yellow_taxi_trips_rejected_at_ingest")
+
     @property
     def quarantine(self) -> str:
         """Raw rows a staging cast rejected (cast_mode='try')."""
@@ -93,50 +104,95 @@ def _months_of(df: DataFrame, ts_col: str) -> set[tuple[int, int]]:
 
 
 def ingest_month(spark: SparkSession, layout: Layout, source_path: str, year: int, month: int,
-                 source_file_size_mb: float | None = None, reset: bool = False) -> set[tuple[int, int]]:
+                 source_file_size_mb: float | None = None, reset: bool = False,
+                 cast_mode: str = "ansi") -> set[tuple[int, int]]:
     """S1 + P1-P3 + K1: load one monthly file into its raw partition.
 
     Returns the pickup months whose trips changed: months present in the old
-    content of the partition and in the new file (safe mode rebuilds them)."""
+    content of the partition and in the new file (safe mode rebuilds them).
+    They are written down as pending, and the month index is widened to them,
+    before the raw partition changes: a run that dies anywhere leaves months to
+    rebuild that the next build finds.  ``cast_mode='try'`` sets rows that an
+    ingest cast rejects aside instead of failing."""
+    partition = {"trip_year": int(year), "trip_month": int(month)}
     if reset:
-        sinks.reset_table(spark, layout.raw_trips, layout.root)
+        reset_raw(spark, layout)
     raw = trips.read_trip_month(spark, source_path)
+    if cast_mode == "try":
+        raw, rejected = trips.split_bad_rows(raw)
+        sinks.replace_partition(spark, rejected, layout.rejected_at_ingest, partition)
     size = source_file_size_mb
     if size is None:
         size = _size_mb(spark, source_path)
     normalised = trips.normalise_raw_trips(raw, year, month, execution_id=str(uuid.uuid4()),
                                            source_file=os.path.basename(source_path.rstrip("/")),
                                            source_file_size_mb=size)
-    partition = {"trip_year": int(year), "trip_month": int(month)}
-    touched = _old_pickup_months(spark, layout, partition)
+    touched = _old_pickup_months(spark, layout, partition) | _months_of(raw, "tpep_pickup_datetime")
+    _write_months(spark, layout.pending_months, partition, touched | _months_in(spark, layout.pending_months, partition))
+    _write_months(spark, layout.raw_month_index, partition, touched)
     # the write job observes the pickup months of the new content
     new_months = sinks.replace_partition(spark, normalised.drop("trip_year", "trip_month"), layout.raw_trips,
                                          partition, observe_months_of="tpep_pickup_datetime")
-    _write_month_index(spark, layout, partition, new_months)
-    return touched | new_months
+    _write_months(spark, layout.raw_month_index, partition, new_months)
+    return touched
+
+
+def reset_raw(spark: SparkSession, layout: Layout) -> None:
+    """K4: drop the raw trips with their month index and rejected rows.  What
+    the dropped partitions held stays pending, so that a build clears it."""
+    if fs.has_data(spark, layout.raw_month_index):
+        held = spark.read.parquet(layout.raw_month_index).select("pickup_year", "pickup_month").distinct().collect()
+        months = {(r["pickup_year"], r["pickup_month"]) for r in held}
+        everywhere = {"trip_year": 0, "trip_month": 0}
+        _write_months(spark, layout.pending_months, everywhere, months | _months_in(spark, layout.pending_months, everywhere))
+    for path in (layout.raw_trips, layout.raw_month_index, layout.quarantine, layout.rejected_at_ingest):
+        sinks.reset_table(spark, path, layout.root)
+
+
+def _months_in(spark: SparkSession, table: str, partition: dict) -> set[tuple[int, int]]:
+    """Pickup months that a month table holds for one raw partition."""
+    folder = f"{table.rstrip('/')}/" + "/".join(f"{k}={v}" for k, v in partition.items())
+    if not fs.has_data(spark, folder):
+        return set()
+    rows = spark.read.parquet(folder).collect()
+    return {(r["pickup_year"], r["pickup_month"]) for r in rows if r["pickup_year"] is not None}
+
+
+def pending_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
+    """Changed months that no build has finished with."""
+    if not fs.has_data(spark, layout.pending_months):
+        return set()
+    rows = spark.read.parquet(layout.pending_months).select("pickup_year", "pickup_month").distinct().collect()
+    return {(r["pickup_year"], r["pickup_month"]) for r in rows}
+
+
+def indexed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
+    """All pickup months that the raw partitions hold."""
+    if not fs.has_data(spark, layout.raw_month_index):
+        return _months_of(raw_trips_table(spark, layout), "tpep_pickup_datetime")
+    rows = spark.read.parquet(layout.raw_month_index).select("pickup_year", "pickup_month").distinct().collect()
+    return {(r["pickup_year"], r["pickup_month"]) for r in rows if r["pickup_year"] is not None}
 
 
 def _old_pickup_months(spark: SparkSession, layout: Layout, partition: dict) -> set[tuple[int, int]]:
     """Pickup months of a raw partition's current content: from the month
     index, else (no index yet) from a scan of the partition's pickup column."""
     suffix = f"trip_year={partition['trip_year']}/trip_month={partition['trip_month']}"
-    index_dir = f"{layout.raw_month_index.rstrip('/')}/{suffix}"
-    if fs.has_data(spark, index_dir):
-        rows = spark.read.parquet(index_dir).collect()
-        return {(r["pickup_year"], r["pickup_month"]) for r in rows if r["pickup_year"] is not None}
+    if fs.has_data(spark, f"{layout.raw_month_index.rstrip('/')}/{suffix}"):
+        return _months_in(spark, layout.raw_month_index, partition)
     part_dir = f"{layout.raw_trips.rstrip('/')}/{suffix}"
     return _months_of(spark.read.parquet(part_dir), "tpep_pickup_datetime") if fs.has_data(spark, part_dir) else set()
 
 
-def _write_month_index(spark: SparkSession, layout: Layout, partition: dict, months: set) -> None:
-    """Record which pickup months one raw partition holds (a few rows)."""
+def _write_months(spark: SparkSession, table: str, partition: dict, months: set) -> None:
+    """Record pickup months for one raw partition (a few rows)."""
     if months:
         values = ", ".join(f"({y}, {m})" for y, m in sorted(months))
         rows = spark.sql(f"SELECT CAST(y AS INT) AS pickup_year, CAST(m AS INT) AS pickup_month "
                          f"FROM VALUES {values} AS t(y, m)")
     else:
         rows = spark.sql("SELECT CAST(NULL AS INT) AS pickup_year, CAST(NULL AS INT) AS pickup_month").limit(0)
-    sinks.replace_partition(spark, rows.coalesce(1), layout.raw_month_index, partition)
+    sinks.replace_partition(spark, rows.coalesce(1), table, partition)
 
 
 def raw_partitions_for(spark: SparkSession, layout: Layout, months: Iterable[tuple[int, int]]):
@@ -169,14 +225,25 @@ def ingest_zones(spark: SparkSession, layout: Layout, csv_path: str) -> None:
 # --------------------------------------------------------------------------
 # Build
 
-def raw_trips_table(spark: SparkSession, layout: Layout) -> DataFrame:
+def raw_trips_table(spark: SparkSession, layout: Layout, parts: list[tuple[int, int]] | None = None) -> DataFrame:
+    """The raw trips, or only the given (trip_year, trip_month) partitions: then
+    no file of another partition is opened, not even for its schema."""
     # mergeSchema: files of later months may carry extra columns (K3)
-    return spark.read.option("mergeSchema", "true").parquet(layout.raw_trips)
+    reader = spark.read.option("mergeSchema", "true")
+    if parts is None and fs.has_data(spark, layout.raw_trips):
+        return reader.parquet(layout.raw_trips)
+    folders = [f"{layout.raw_trips.rstrip('/')}/trip_year={y}/trip_month={m}" for y, m in parts or []]
+    folders = [f for f in folders if fs.has_data(spark, f)]
+    if folders:
+        return reader.option("basePath", layout.raw_trips).parquet(*folders)
+    columns = [*schemas.RAW_TRIPS.fields, *[T.StructField(c, T.IntegerType()) for c in schemas.PARTITION_COLUMNS]]
+    return spark.createDataFrame([], T.StructType(columns))
 
 
 def month_ranges_filter(col: str, months: Iterable[tuple[int, int]]):
     """OR of half-open [month start, next month start) ranges on a timestamp
-    column: prunes Parquet row groups by their min/max statistics."""
+    column: prunes Parquet row groups by their min/max statistics.  No month,
+    no row."""
     cond = None
     for y, m in sorted(months):
         start = dt.datetime(y, m, 1)
@@ -184,7 +251,7 @@ def month_ranges_filter(col: str, months: Iterable[tuple[int, int]]):
         term = ((F.col(col) >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
                 & (F.col(col) < F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz")))
         cond = term if cond is None else cond | term
-    return cond
+    return cond if cond is not None else F.lit(False)
 
 
 MART_THREADS = 4
@@ -202,18 +269,28 @@ def run_concurrently(tasks: dict, max_workers: int = MART_THREADS) -> dict:
 
 
 def write_marts(spark: SparkSession, layout: Layout, fact: DataFrame,
-                months: Iterable[tuple[int, int]] | None = None) -> None:
-    """All four marts from ``fact``: whole tables, or whole ``months`` only."""
+                months: Iterable[tuple[int, int]] | None = None, names: Iterable[str] | None = None) -> None:
+    """The marts (all, or ``names``) from ``fact``: whole tables, or whole ``months`` only."""
+    names = list(names or marts.MARTS)
     if months is None:
         tasks = {n: (lambda n=n: sinks.overwrite_table(marts.build_mart(n, fact), layout.mart(n),
-                                                       schemas.FACT_PARTITIONS)) for n in marts.MARTS}
+                                                       schemas.FACT_PARTITIONS)) for n in names}
     else:
         months = sorted(months)
         tasks = {n: (lambda n=n: inc.replace_months_in_table(spark, layout.mart(n), marts.build_mart(n, fact),
-                                                             months)) for n in marts.MARTS}
+                                                             months)) for n in names}
     run_concurrently(tasks)
 
 
+def build_marts(spark: SparkSession, layout: Layout, names: Iterable[str]) -> None:
+    """One or some marts alone, whole, from the published fact."""
+    names = list(names)
+    unknown = set(names) - set(marts.MARTS)
+    if unknown:
+        raise ValueError(f"no such mart: {sorted(unknown)}")
+    write_marts(spark, layout, spark.read.parquet(layout.fact), names=names)
+
+
 def partition_filter(months: Iterable[tuple[int, int]], year_col: str = "pickup_year",
                      month_col: str = "pickup_month"):
     """Predicate on year/month partition columns (directory pruning)."""
@@ -224,64 +301,90 @@ def partition_filter(months: Iterable[tuple[int, int]], year_col: str = "pickup_
     return cond if cond is not None else F.lit(False)
 
 
+def write_fact(stg: DataFrame, lk: facts.Lookups, layout: Layout) -> None:
+    """The whole fact.  The 20 staged columns are spread by pickup month, not
+    the 52 of the fact: the lookups then run where the rows are written."""
+    spread = (stg.withColumns({"_y": F.year("pickup_datetime"), "_m": F.month("pickup_datetime")})
+              .hint("rebalance", "_y", "_m").drop("_y", "_m"))
+    sinks.overwrite_table(facts.fact_trips(spread, lk), layout.fact, schemas.FACT_PARTITIONS, rebalance=False)
+
+
 def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
           months: Iterable[tuple[int, int]] | None = None, full_refresh: bool = False,
           dup_policy: str = "keep", quality_gate: str = "raise", seed_dir: str | None = None,
           cast_mode: str = "ansi"):
-    """Transform stage: dimension, fact, four marts, then the quality gate.
+    """Transform stage: dimension, fact, four marts, each checked before what
+    depends on it is written.
 
     ``cast_mode='try'`` keeps the run alive on values a cast rejects: those
     raw rows are written to the quarantine table instead of failing the job.
     ``dup_policy='keep'`` leaves repeated trip keys to the fact's ``unique``
-    check (one shuffle of the key column of the written fact); ``'error'``
-    probes staging before the build, which recomputes the staging plan.
-
-    ``mode='safe'`` rebuilds whole pickup ``months`` (all months on a first
-    run or full refresh); ``mode='reference'`` applies the watermark + merge
-    rule literally.  Returns the quality report rows."""
+    check, which runs before the marts; ``'error'`` probes staging before the
+    build, which recomputes the staging plan.
+
+    ``mode='safe'`` rebuilds whole pickup ``months`` (None: all that raw holds),
+    and always those still pending from earlier runs; a first run or a full
+    refresh rebuilds everything.  ``mode='reference'`` applies the watermark +
+    merge rule literally.  With ``quality_gate='raise'`` a failed
+    error-severity check stops the run: failed staging checks leave fact and
+    marts, failed fact checks the marts, as they were, and the months stay
+    pending.  Returns the quality report rows."""
+    if mode not in (inc.SAFE, inc.REFERENCE):
+        raise ValueError(f"unknown mode {mode}")
     lk = facts.Lookups.build(spark, spark.read.parquet(layout.raw_zones).select(*schemas.RAW_ZONES.fieldNames()),
                              seed_dir)
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
 
-    raw = raw_trips_table(spark, layout)
     first_run = not fs.has_data(spark, layout.fact)
-    months = sorted(set(months or []))
-    whole = full_refresh or first_run or mode != inc.SAFE
-    raw_parts = None if whole else raw_partitions_for(spark, layout, months)
+    whole = full_refresh or first_run
+    months = sorted((indexed_months(spark, layout) if months is None else set(months)) | pending_months(spark, layout))
+    raw_parts = None if whole or mode != inc.SAFE else raw_partitions_for(spark, layout, months)
+    raw = raw_trips_table(spark, layout, raw_parts)
     if cast_mode == "try":
         # quarantine the raw partitions this run reads (all of them on a full load)
-        scope_raw = raw if raw_parts is None else raw.filter(
-            partition_filter(raw_parts, "trip_year", "trip_month"))
-        _, rejected = staging.quarantine_bad_casts(scope_raw)
+        good, rejected = staging.quarantine_bad_casts(raw)
         if raw_parts is None:
             sinks.overwrite_table(rejected, layout.quarantine, schemas.PARTITION_COLUMNS)
         else:  # replace (or clear) exactly the raw partitions read
             inc.replace_months_in_table(spark, layout.quarantine, rejected, raw_parts, schemas.PARTITION_COLUMNS)
-        raw, _ = staging.quarantine_bad_casts(raw)
+        raw = good
     stg = staging.stg_trips(raw, dup_policy)
-
-    if full_refresh or first_run:
-        sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact, schemas.FACT_PARTITIONS)
-        write_marts(spark, layout, spark.read.parquet(layout.fact))
+    if not whole and mode == inc.SAFE:
+        # exact: copies share a pickup time, so every row of these pickup
+        # months sits in the indexed raw partitions
+        stg = stg.filter(month_ranges_filter("pickup_datetime", months))
+    scope = months if not whole and mode == inc.SAFE else None
+
+    rows: list = []
+
+    def check(*models: str) -> None:
+        if quality_gate != "skip":
+            found = tables(spark, layout, stg, models, scope)
+            parents = {"vendor": lk.vendor, "rate_code": lk.rate_code, "payment_type": lk.payment_type,
+                       quality.DIM: lk.dim_location}
+            rows.extend(quality.gate(quality.run_checks(found, quality.DECLARED_CHECKS, parents),
+                                     raise_on_error=(quality_gate == "raise")))
+
+    check(quality.STG_TRIPS, quality.STG_ZONES, quality.DIM)
+    if whole:
+        write_fact(stg, lk, layout)
     elif mode == inc.SAFE:
         if months:
-            month_stg = stg
-            if raw_parts is not None:
-                # exact: copies share a pickup time, so every row of these
-                # pickup months sits in the indexed raw partitions
-                month_stg = staging.stg_trips(raw.filter(
-                    partition_filter(raw_parts, "trip_year", "trip_month")), dup_policy)
-            rebuilt = facts.fact_trips(month_stg.filter(month_ranges_filter("pickup_datetime", months)), lk)
-            inc.replace_months_in_table(spark, layout.fact, rebuilt, months)
-            write_marts(spark, layout, spark.read.parquet(layout.fact).filter(partition_filter(months)), months)
-    elif mode == inc.REFERENCE:
-        target = spark.read.parquet(layout.fact)
-        mark = inc.collect_watermark(target, "fact_yellow_taxi_trips")
+            inc.replace_months_in_table(spark, layout.fact, facts.fact_trips(stg, lk), months)
+    else:
+        mark = inc.collect_watermark(spark.read.parquet(layout.fact), "fact_yellow_taxi_trips")
         fresh = (stg.filter(F.col("pickup_datetime") > F.lit(str(mark)).cast("timestamp_ntz"))
                  if mark is not None else stg.limit(0))
         inc.merge_into_table(spark, layout.fact, facts.fact_trips(fresh, lk), inc.FACT_KEY)
-        fact = spark.read.parquet(layout.fact)
+    check(quality.FACT)
 
+    fact = spark.read.parquet(layout.fact)
+    if whole:
+        write_marts(spark, layout, fact)
+    elif mode == inc.SAFE:
+        if months:
+            write_marts(spark, layout, fact.filter(partition_filter(months)), months)
+    else:
         def merge_mart(name: str) -> None:
             path = layout.mart(name)
             target = sinks.read_table(spark, path)
@@ -292,40 +395,41 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
             src = fact.filter(F.col("pickup_date") > F.lit(mark)) if mark is not None else fact.limit(0)
             inc.merge_into_table(spark, path, marts.build_mart(name, src), marts.MERGE_KEYS[name])
         run_concurrently({n: (lambda n=n: merge_mart(n)) for n in marts.MARTS})
-    else:
-        raise ValueError(f"unknown mode {mode}")
-
-    if quality_gate == "skip":
-        return []
-    scope = None if whole else months
-    report = quality.run_checks(tables(spark, layout, stg, lk, scope), quality.DECLARED_CHECKS,
-                                {"vendor": lk.vendor, "rate_code": lk.rate_code,
-                                 "payment_type": lk.payment_type})
-    return quality.gate(report, raise_on_error=(quality_gate == "raise"))
+    check(*marts.MARTS)
+    if whole or mode == inc.SAFE:
+        fs.delete(spark, layout.pending_months)  # all of them are built
+    return rows
 
 
-def tables(spark: SparkSession, layout: Layout, stg: DataFrame, lk: facts.Lookups,
+def tables(spark: SparkSession, layout: Layout, stg: DataFrame | None, models: Iterable[str],
            months: list[tuple[int, int]] | None = None) -> dict[str, DataFrame]:
-    """The tested models.  With ``months``, trip-level models are limited to
+    """The tested ``models``.  With ``months``, fact and marts are limited to
     those pickup months (the rows this run rewrote); the lookups stay whole.
     Every declared check is per row or per trip key, and equal keys share a
     pickup month, so month-scoped checks are exact for the new data."""
-    def scoped(df: DataFrame, kind: str) -> DataFrame:
-        if months is None:
-            return df
-        if kind == "stg":
-            return df.filter(month_ranges_filter("pickup_datetime", months))
-        return df.filter(partition_filter(months))
-
-    out = {
-        quality.STG_TRIPS: scoped(stg, "stg"),
-        quality.STG_ZONES: staging.stg_zones(spark.read.parquet(layout.raw_zones)),
-        quality.DIM: spark.read.parquet(layout.dim_location),
-        quality.FACT: scoped(spark.read.parquet(layout.fact), "table"),
-    }
-    for name in marts.MARTS:
-        out[name] = scoped(spark.read.parquet(layout.mart(name)), "table")
-    return out
+    def of(name: str) -> DataFrame:
+        if name == quality.STG_TRIPS:
+            return stg
+        if name == quality.STG_ZONES:
+            return staging.stg_zones(spark.read.parquet(layout.raw_zones))
+        if name == quality.DIM:
+            return spark.read.parquet(layout.dim_location)
+        df = spark.read.parquet(layout.fact if name == quality.FACT else layout.mart(name))
+        return df if months is None else df.filter(partition_filter(months))
+
+    return {name: of(name) for name in models}
+
+
+def check_published(spark: SparkSession, layout: Layout, seed_dir: str | None = None,
+                    quality_gate: str = "raise") -> list:
+    """The declared checks over the tables as they are, without building."""
+    lk = facts.Lookups.build(spark, spark.read.parquet(layout.raw_zones).select(*schemas.RAW_ZONES.fieldNames()),
+                             seed_dir)
+    stg = staging.stg_trips(raw_trips_table(spark, layout))
+    models = tables(spark, layout, stg, [quality.STG_TRIPS, quality.STG_ZONES, quality.DIM, quality.FACT, *marts.MARTS])
+    report = quality.run_checks(models, quality.DECLARED_CHECKS,
+                                {"vendor": lk.vendor, "rate_code": lk.rate_code, "payment_type": lk.payment_type})
+    return quality.gate(report, raise_on_error=(quality_gate == "raise"))
 
 
 # --------------------------------------------------------------------------
@@ -359,24 +463,24 @@ def _single_file(spark: SparkSession, df: DataFrame, target: str, fmt: str) -> N
     parts = [f for f in fs.list_files(spark, tmp) if f.endswith(f".{fmt}") or f.rsplit("/", 1)[-1].startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {tmp}, found {len(parts)}")
-    if fs.exists(spark, target):
-        fs.delete(spark, target)
-    fs.rename(spark, parts[0], target)
+    fs.swap_in(spark, parts[0], target)
     fs.delete(spark, tmp)
 
 
 def run_month(spark: SparkSession, layout: Layout, source_path: str, year: int, month: int, *,
               zones_csv: str | None = None, mode: str = inc.SAFE, export: bool = True,
-              quality_gate: str = "raise", reset: bool = False, full_refresh: bool = False):
+              quality_gate: str = "raise", reset: bool = False, full_refresh: bool = False,
+              cast_mode: str = "ansi", dup_policy: str = "keep", seed_dir: str | None = None):
     """The monthly run: ingest the file, build everything, export the month.
 
     ``reset`` drops the raw trip table before loading (only under the
-    layout root); ``full_refresh`` rebuilds the fact and marts from all raw."""
+    layout root); ``full_refresh`` rebuilds the fact and marts from all raw;
+    the other parameters are those of :func:`build`."""
     if zones_csv:
         ingest_zones(spark, layout, zones_csv)
-    touched = ingest_month(spark, layout, source_path, year, month, reset=reset)
+    touched = ingest_month(spark, layout, source_path, year, month, reset=reset, cast_mode=cast_mode)
     report = build(spark, layout, mode=mode, months=touched, quality_gate=quality_gate,
-                   full_refresh=full_refresh or reset)
+                   full_refresh=full_refresh or reset, cast_mode=cast_mode, dup_policy=dup_policy, seed_dir=seed_dir)
     paths = []
     if export:
         paths = [export_month_slice(spark, layout, year, month)]

@@ -17,7 +17,7 @@ from tripmart import schemas
 from tripmart.operators import facts, marts, quality, staging
 from tripmart.plans import oracle_sql as O
 from tripmart.session import configure
-from tripmart.streaming import incremental as inc
+from tripmart.incremental import loading as inc
 from tripmart.sources import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -113,7 +113,9 @@ def q_stg_key_collisions(spark, sf_dir):
 
 
 def q_mart_grain_unique(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    # zone names that span boroughs, which the merge keys can not tell apart
+    span = F.concat(F.lit("Z"), (F.col("pickup_location_id") % 7).cast("string"))
+    fact = _fact(spark, sf_dir).withColumn("pickup_zone", span)
     parts = []
     for name in marts.MARTS:
         v = marts.grain_violations(name, marts.build_mart(name, fact))
@@ -126,11 +128,18 @@ def q_mart_grain_unique(spark, sf_dir):
     return out
 
 
-def dq_models(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The eight tested models built over the fixture, and the seed parents."""
+def dq_models(spark, sf_dir, tests=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The eight tested models built over the fixture, and the seed parents.
+
+    Where a test would find nothing, the input is spoilt: repeated trip keys
+    for unique, flags that follow from the vendor for accepted_values."""
     lk = lookups(spark)
-    stg = _stg(spark, sf_dir)
+    tests = tests or ()
+    stg = _stg(spark, sf_dir, collide=quality.UNIQUE in tests)
     fact = facts.fact_trips(stg, lk)
+    if quality.ACCEPTED in tests:
+        fact = fact.withColumn("store_and_fwd_flag", F.when(F.col("vendor_id") == 9, "X").when(F.col("vendor_id") == 7, "?")
+                               .otherwise(F.col("store_and_fwd_flag")))
     models = {
         quality.STG_TRIPS: stg,
         quality.STG_ZONES: staging.stg_zones(fixture.zones_fixture(spark)),
@@ -145,12 +154,29 @@ def dq_models(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]
 
 def _dq(tests: tuple[str, ...] | None) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models, parents = dq_models(spark, sf_dir)
+        models, parents = dq_models(spark, sf_dir, tests)
         checks = [c for c in quality.DECLARED_CHECKS if tests is None or c.test in tests]
         return quality.run_checks(models, checks, parents)
     return run
 
 
+FAILING = (quality.UNIQUE, quality.ACCEPTED, quality.RELATIONSHIPS)
+
+
+def q_dq_failing_rows(spark, sf_dir):
+    """The trips behind the failures of the fact's checks."""
+    models, parents = dq_models(spark, sf_dir, FAILING)
+    fact, parents = models[quality.FACT], {**parents, **models}
+    out = None
+    for c in quality.DECLARED_CHECKS:
+        if c.model == quality.FACT and c.test in FAILING:
+            rows = quality.failing_rows(fact, c, parents).select(
+                F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), "trip_id",
+                F.col(c.column).cast("string").alias("value"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 DQ_QUERIES = {
     "dq_not_null": (quality.NOT_NULL,),
     "dq_unique": (quality.UNIQUE,),
@@ -235,6 +261,7 @@ def spark_queries() -> dict[str, QueryFn]:
     q["mart_grain_unique"] = q_mart_grain_unique
     for name, tests in DQ_QUERIES.items():
         q[name] = _dq(tests)
+    q["dq_failing_rows"] = q_dq_failing_rows
     q["incr_fact_reference"] = q_incr_fact_reference
     for qname, mart in INCR_MARTS.items():
         q[qname] = _incr_mart(mart)
@@ -281,9 +308,10 @@ def _oracle_mart(name: str) -> str:
 
 def _oracle_mart_grain_unique() -> str:
     ctes = O.base_ctes()
+    ctes.append(("span", "  SELECT * REPLACE ('Z' || CAST(pickup_location_id % 7 AS VARCHAR) AS pickup_zone) FROM fact"))
     selects = []
     for name in marts.MARTS:
-        ctes.append((f"m_{name}", O.mart_sql(name)))
+        ctes.append((f"m_{name}", O.mart_sql(name, "span")))
         keys = ", ".join(marts.MERGE_KEYS[name])
         selects.append(
             f"SELECT '{name}' AS mart, CAST(count(*) AS BIGINT) AS duplicate_keys, "
@@ -306,9 +334,10 @@ def oracle_queries() -> dict[str, str]:
     q["mart_grain_unique"] = _oracle_mart_grain_unique()
     for name, tests in DQ_QUERIES.items():
         q[name] = _oracle_dq(tests)
-    q["incr_fact_reference"] = _oracle_incr_fact()
+    q["dq_failing_rows"] = _oracle_failing_rows()
+    q["incr_fact_reference"] = oracle_incr_fact()
     for qname, mart in INCR_MARTS.items():
-        q[qname] = _oracle_incr_mart(mart)
+        q[qname] = oracle_incr_mart(mart)
     q["incr_monthly_safe"] = _oracle_incr_monthly_safe()
     q["merge_upsert_single_key"] = _oracle_merge_single()
     q["merge_upsert_composite_key"] = _oracle_merge_composite()
@@ -339,7 +368,7 @@ def _fact2_ctes() -> list[tuple[str, str]]:
     ]
 
 
-def _oracle_incr_fact() -> str:
+def oracle_incr_fact() -> str:
     return O.with_sql(_fact2_ctes(), f"SELECT {O.fact_select(schemas.FACT_COLUMNS)} FROM fact2")
 
 
@@ -350,7 +379,7 @@ MART_MARK_SQL = {
 }
 
 
-def _oracle_incr_mart(name: str) -> str:
+def oracle_incr_mart(name: str) -> str:
     ctes = _fact2_ctes() + [
         ("m1", O.mart_sql(name, "b1_fact")),
         ("m_inc", O.mart_sql(name, f"(SELECT * FROM fact2 WHERE pickup_date > "
@@ -414,12 +443,35 @@ def _oracle_check(c: quality.Check) -> str:
     return head + body
 
 
+def _dq_ctes(tests) -> list[tuple[str, str]]:
+    ctes = O.base_ctes(collide="unique" in (tests or ()))
+    flag = ("CASE vendor_id WHEN 9 THEN 'X' WHEN 7 THEN '?' ELSE store_and_fwd_flag END"
+            if "accepted_values" in (tests or ()) else "store_and_fwd_flag")
+    ctes.append(("fact_dq", f"  SELECT * REPLACE ({flag} AS store_and_fwd_flag), {O.h_to_double('_min_h')} "
+                            "AS trip_duration_minutes FROM fact"))
+    return ctes
+
+
 def _oracle_dq(tests) -> str:
-    ctes = O.base_ctes()
-    ctes.append(("fact_dq", f"  SELECT *, {O.h_to_double('_min_h')} AS trip_duration_minutes FROM fact"))
+    ctes = _dq_ctes(tests)
     for name in marts.MARTS:
         ctes.append((f"m_{name}", O.mart_sql(name)))
     checks = [c for c in quality.DECLARED_CHECKS if tests is None or c.test in tests]
     ctes.append(("checks", "\nUNION ALL\n".join(_oracle_check(c) for c in checks)))
     return O.with_sql(ctes, "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
                             "ELSE 'fail' END AS status FROM checks")
+
+
+def _oracle_failing_rows() -> str:
+    """The fact's checks, spelt out."""
+    parts = ["SELECT 'trip_id' AS column_name, 'unique' AS test, trip_id, trip_id AS value FROM fact_dq "
+             "WHERE trip_id IN (SELECT trip_id FROM fact_dq GROUP BY trip_id HAVING count(*) > 1)"]
+    for column, values in (("pickup_day_of_week", "'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'"),
+                           ("store_and_fwd_flag", "'Y', 'N'"), ("trip_borough_type", "'Same Borough', 'Cross Borough'")):
+        parts.append(f"SELECT '{column}', 'accepted_values', trip_id, {column} FROM fact_dq WHERE {column} NOT IN ({values})")
+    for column, parent, key in (("vendor_id", "vendor", "vendor_id"), ("rate_code_id", "rate_code", "rate_code_id"),
+                                ("payment_type_id", "payment_type", "payment_type_id"),
+                                ("pickup_location_id", "dim", "location_id"), ("dropoff_location_id", "dim", "location_id")):
+        parts.append(f"SELECT '{column}', 'relationships', trip_id, CAST({column} AS VARCHAR) FROM fact_dq "
+                     f"WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)")
+    return O.with_sql(_dq_ctes(FAILING), "\nUNION ALL\n".join(parts))

@@ -5,16 +5,16 @@ the shared checkpoint folder of the session (``spark.checkpoint.dir``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart import schemas
+from tripmart.incremental import loading as inc
+from tripmart.operators import marts
 from tripmart.plans import fs, pipeline
 from tripmart.plans import oracle_sql as O
 from tripmart.plans.registry import present
 from tripmart.session import configure, staging_path
 from tripmart.sources import fixture, trips
-from tripmart.streaming import incremental as inc
-
-MONTHS = [(2025, 1), (2025, 2)]
 
 
 def _workdir(spark: SparkSession, name: str) -> str:
@@ -33,12 +33,11 @@ def write_month_files(spark: SparkSession, sf_dir: str, inbound: str, raw: DataF
     raw = raw.repartition(spark.sparkContext.defaultParallelism)
     raw.write.mode("overwrite").partitionBy("trip_year", "trip_month").parquet(parts)
     out = {}
-    for y, m in MONTHS:
-        src = f"{parts}/trip_year={y}/trip_month={m}"
-        dst = f"{inbound.rstrip('/')}/{trips.trip_file_name(y, m)}"
-        if fs.exists(spark, src):
-            fs.rename(spark, src, dst)
-            out[(y, m)] = dst
+    for year_dir in fs.list_files(spark, parts):
+        for src in fs.list_files(spark, year_dir) if "trip_year=" in year_dir else []:
+            y, m = int(year_dir.rpartition("=")[2]), int(src.rpartition("=")[2])
+            out[(y, m)] = f"{inbound.rstrip('/')}/{trips.trip_file_name(y, m)}"
+            fs.rename(spark, src, out[(y, m)])
     return out
 
 
@@ -94,6 +93,71 @@ def q_full_refresh_equals_incremental(spark, sf_dir):
     return present(spark.read.parquet(layout.mart("agg_daily_zone_summary")))
 
 
+def q_safe_path_monthly(spark, sf_dir):
+    """The third run touches January alone; February's partitions stay."""
+    layout = _three_runs(spark, sf_dir, "safe-path")
+    return present(spark.read.parquet(layout.mart("agg_monthly_zone_summary")))
+
+
+def _rerun_after_failure(spark, sf_dir):
+    """January is delivered without its late rows and with stray February trips,
+    and built; the complete January lands, but the run dies before the build;
+    the rerun ingests it again and builds."""
+    work = _workdir(spark, "rerun")
+    layout = pipeline.Layout(work + "/lake", "TEST")
+    full_raw = fixture.raw_trips_fixture(spark, sf_dir)
+    first, _ = fixture.raw_trips_batches(spark, sf_dir)
+    stray = full_raw.filter(F.col("trip_month") == 2).filter(F.col("VendorID") == 2).withColumn("trip_month", F.lit(1))
+    v1 = write_month_files(spark, sf_dir, work + "/inbound_v1", raw=first.unionByName(stray))[(2025, 1)]
+    v2 = write_month_files(spark, sf_dir, work + "/inbound")[(2025, 1)]
+    pipeline.ingest_zones(spark, layout, write_zones(spark, work + "/zones_csv"))
+    touched = pipeline.ingest_month(spark, layout, v1, 2025, 1, source_file_size_mb=0)
+    pipeline.build(spark, layout, months=touched, quality_gate="skip")
+    pipeline.ingest_month(spark, layout, v2, 2025, 1, source_file_size_mb=0)  # and the run dies here
+    touched = pipeline.ingest_month(spark, layout, v2, 2025, 1, source_file_size_mb=0)
+    pipeline.build(spark, layout, months=touched, quality_gate="skip")
+    return layout
+
+
+def _rerun_table(name):
+    def run(spark, sf_dir):
+        layout = _rerun_after_failure(spark, sf_dir)
+        return present(spark.read.parquet(layout.fact if name is None else layout.mart(name)))
+    return run
+
+
+def _reference_runs(spark, sf_dir, name):
+    """Reference mode over files: January as first delivered, then February and
+    the complete January."""
+    work = _workdir(spark, name)
+    layout = pipeline.Layout(work + "/lake", "TEST")
+    full = write_month_files(spark, sf_dir, work + "/inbound")
+    first, _ = fixture.raw_trips_batches(spark, sf_dir)
+    v1 = write_month_files(spark, sf_dir, work + "/inbound_v1", raw=first)
+    pipeline.ingest_zones(spark, layout, write_zones(spark, work + "/zones_csv"))
+    pipeline.ingest_month(spark, layout, v1[(2025, 1)], 2025, 1, source_file_size_mb=0)
+    pipeline.build(spark, layout, mode=inc.REFERENCE, quality_gate="skip")
+    for m in (2, 1):
+        pipeline.ingest_month(spark, layout, full[(2025, m)], 2025, m, source_file_size_mb=0)
+    pipeline.build(spark, layout, mode=inc.REFERENCE, quality_gate="skip")
+    return layout
+
+
+def q_path_reference_fact(spark, sf_dir):
+    return present(spark.read.parquet(_reference_runs(spark, sf_dir, "ref-fact").fact).select(*schemas.FACT_COLUMNS))
+
+
+def q_path_reference_daily(spark, sf_dir):
+    return present(spark.read.parquet(_reference_runs(spark, sf_dir, "ref-daily").mart("agg_daily_zone_summary")))
+
+
+def q_full_refresh_on_existing(spark, sf_dir):
+    """A full refresh of tables that lost the late rows brings them back."""
+    layout = _reference_runs(spark, sf_dir, "refresh")
+    pipeline.build(spark, layout, full_refresh=True, quality_gate="skip")
+    return present(spark.read.parquet(layout.fact).select(*schemas.FACT_COLUMNS))
+
+
 def _built_layout(spark, sf_dir, name):
     work = _workdir(spark, name)
     layout = pipeline.Layout(work + "/lake", "TEST")
@@ -127,6 +191,12 @@ def spark_queries() -> dict:
         "full_refresh_equals_incremental": q_full_refresh_equals_incremental,
         "export_month_slice": q_export_month_slice,
         "export_csv_roundtrip": q_export_csv_roundtrip,
+        "safe_path_monthly": q_safe_path_monthly,
+        "safe_rerun_after_failure": _rerun_table(None),
+        **{f"safe_rerun_{n}": _rerun_table(n) for n in marts.MARTS},
+        "path_reference_fact": q_path_reference_fact,
+        "path_reference_daily": q_path_reference_daily,
+        "full_refresh_on_existing": q_full_refresh_on_existing,
     }
 
 
@@ -138,7 +208,15 @@ def _raw_month(month_cond: str, extra: str = "") -> str:
             f"WHERE {month_cond}")
 
 
+def _january_ctes() -> list[tuple[str, str]]:
+    """One load of the complete January file alone."""
+    raw = f"  SELECT * EXCLUDE (trip_year, trip_month) FROM ({fixture.raw_trips_sql()}) WHERE trip_month = 1"
+    return O.staging_ctes(raw) + O.lookup_ctes() + O.fact_ctes()
+
+
 def oracle_queries() -> dict:
+    from tripmart.plans import registry
+
     monthly_jan = O.with_sql(O.base_ctes() + [("m", O.mart_sql("agg_monthly_zone_summary"))],
                              "SELECT * FROM m WHERE pickup_year = 2025 AND pickup_month = 1")
     return {
@@ -150,4 +228,10 @@ def oracle_queries() -> dict:
         "full_refresh_equals_incremental": O.with_sql(O.base_ctes(), O.mart_sql("agg_daily_zone_summary")),
         "export_month_slice": monthly_jan,
         "export_csv_roundtrip": monthly_jan,
+        "safe_path_monthly": O.with_sql(O.base_ctes(), O.mart_sql("agg_monthly_zone_summary")),
+        "safe_rerun_after_failure": O.with_sql(_january_ctes(), f"SELECT {O.fact_select(schemas.FACT_COLUMNS)} FROM fact"),
+        **{f"safe_rerun_{n}": O.with_sql(_january_ctes(), O.mart_sql(n)) for n in marts.MARTS},
+        "path_reference_fact": registry.oracle_incr_fact(),
+        "path_reference_daily": registry.oracle_incr_mart("agg_daily_zone_summary"),
+        "full_refresh_on_existing": O.with_sql(O.base_ctes(), f"SELECT {O.fact_select(schemas.FACT_COLUMNS)} FROM fact"),
     }

@@ -2,12 +2,13 @@
 
 Tables are Parquet directories.  Partition replacement relies on Spark's
 dynamic partition overwrite: only partitions present in the written rows are
-replaced, atomically per partition at job commit, so a failed or retried job
-leaves every other partition untouched and a rerun converges.
+replaced, one after the other when the job commits, so a job that fails
+before leaves the table as it was, and a rerun writes the same partitions.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +22,11 @@ class UnsafeReset(ValueError):
     """A reset was asked for a path outside the configured root."""
 
 
-def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], rebalance: bool = False) -> None:
+def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df``; keep all others.
 
     Monthly runs touch one or two partitions, so each task writes at most
-    that many files and no extra shuffle is spent on layout; ``rebalance``
-    adds a REBALANCE hint (AQE splits a hot partition into advisory-size
-    tasks) for writes spanning many partitions."""
-    if rebalance:
-        df = df.hint("rebalance", *partition_cols)
+    that many files and no extra shuffle is spent on layout."""
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
@@ -63,24 +60,29 @@ def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition:
     return {tuple(m) for m in (got.get("months") or [])}
 
 
-def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
+def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), rebalance: bool = True) -> None:
     """K2/K5: replace the whole table.
 
-    A partitioned full load first rebalances rows by partition (AQE splits a
+    The new table is written beside the old one and moved in its place when the
+    job has committed, so a failing write leaves the old table as it was.  A
+    partitioned full load first rebalances rows by partition (AQE splits a
     large month into advisory-size tasks): without it every task of the
-    preceding shuffle would write a small file into every month."""
-    if partition_cols:
+    preceding shuffle would write a small file into every month.  A caller that
+    has spread the rows already says so with ``rebalance=False``."""
+    if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+    w.parquet(new)
+    fs.swap_in(df.sparkSession, new, path)
 
 
 def reset_table(spark: SparkSession, path: str, root: str) -> None:
     """K4: drop a table's files, refusing anything outside ``root``."""
-    norm_root = root.rstrip("/") + "/"
-    if not path.startswith(norm_root):
+    inside = fs.qualified(spark, root).rstrip("/") + "/"
+    if not fs.qualified(spark, path).startswith(inside):
         raise UnsafeReset(f"{path} is not under {root}")
     fs.delete(spark, path)
 

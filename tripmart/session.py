@@ -61,13 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
     shared folder there) or the context's checkpoint folder.  Only when both
-    are unset -- local tests -- a fresh local folder is created and set as
-    the context's checkpoint folder.
+    are unset and driver and executors are one process -- local tests -- a
+    fresh local folder is made; on a cluster a machine-local folder would lose
+    rows, so that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -35,44 +35,12 @@ BATCH_SPLIT_DATE = "2025-02-01"
 
 # Fixed values of the rule-built zone fixture.
 FIXTURE_BOROUGHS = ["Queens", "Bronx", "Manhattan", "Brooklyn", "Staten Island"]
-FIXTURE_ZONE_NAMES = {
-    "Manhattan": [
-        "Midtown Center", "Midtown East", "Times Sq/Theatre District",
-        "Penn Station/Madison Sq West", "Garment District", "Financial District North",
-        "Financial District South", "TriBeCa/Civic Center", "Battery Park City", "Seaport",
-        "World Trade Center", "Upper East Side North", "Upper East Side South",
-        "Upper West Side North", "Upper West Side South", "Lenox Hill West", "Yorkville East",
-        "Lincoln Square East", "Central Park", "Central Harlem", "East Harlem South",
-        "Washington Heights North", "Inwood", "Hamilton Heights", "Manhattanville",
-        "Lower East Side", "Alphabet City", "Chinatown", "Greenwich Village North", "Gramercy",
-        "Murray Hill", "Kips Bay", "Chelsea", "Clinton West", "SoHo", "Little Italy/NoLiTa",
-        "Two Bridges/Seward Park", "Roosevelt Island", "Randalls Island",
-        "Stuy Town/Peter Cooper Village",
-    ],
-    "Queens": [
-        "Astoria", "Jamaica", "Flushing", "Long Island City/Queens Plaza", "Forest Hills",
-        "Jackson Heights", "Elmhurst", "Woodside", "Sunnyside", "Ridgewood", "Bayside",
-        "Rockaway Park", "Howard Beach", "Corona", "Kew Gardens", "Far Rockaway", "Steinway",
-        "Maspeth",
-    ],
-    "Bronx": [
-        "Allerton/Pelham Gardens", "Fordham South", "Mott Haven/Port Morris",
-        "Riverdale/North Riverdale/Fieldston", "Pelham Bay Park", "Co-Op City", "Hunts Point",
-        "Kingsbridge Heights", "Morrisania/Melrose", "Soundview/Castle Hill",
-        "Van Cortlandt Park", "Parkchester", "Throggs Neck", "Bronx Park",
-        "Williamsbridge/Olinville",
-    ],
-    "Brooklyn": [
-        "Park Slope", "Williamsburg (North Side)", "Bushwick South", "Bay Ridge",
-        "Brooklyn Heights", "Coney Island", "Crown Heights North", "Flatbush/Ditmas Park",
-        "Greenpoint", "Sunset Park West", "Red Hook", "DUMBO/Vinegar Hill", "Canarsie",
-        "Bensonhurst East", "East New York", "Brighton Beach", "Carroll Gardens", "Fort Greene",
-    ],
-    "Staten Island": [
-        "Great Kills", "Port Richmond", "Stapleton", "Saint George/New Brighton", "Oakwood",
-        "Todt Hill", "Arden Heights", "Westerleigh", "Freshkills Park", "Mariners Harbor",
-    ],
-}
+# One Manhattan name per sub-region pattern; every other name is "<borough> Zone <k>".
+FIXTURE_MANHATTAN = ["Midtown 1", "Times Sq 2", "Penn Station 3", "Garment 4", "Financial 5", "TriBeCa 6",
+                     "Battery Park 7", "Seaport 8", "World Trade 9", "Upper East 10", "Upper West 11",
+                     "Lenox Hill 12", "Yorkville 13", "Lincoln Square 14", "Central Park 15", "Harlem 16",
+                     "Washington Heights 17", "Inwood 18", "Hamilton 19", "Manhattanville 20"]
+FIXTURE_ZONES_PER_BOROUGH = {"Manhattan": 40, "Queens": 18, "Bronx": 15, "Brooklyn": 18, "Staten Island": 10}
 FIXTURE_SPECIAL_ZONES = {
     1: ("EWR", "Newark Airport", "EWR"),
     132: ("Queens", "JFK Airport", "Airports"),
@@ -97,8 +65,9 @@ def fixture_zone_rows() -> list[tuple[int, str, str, str]]:
             borough, zone, service = FIXTURE_SPECIAL_ZONES[loc]
         else:
             borough = FIXTURE_BOROUGHS[(loc - 2) % len(FIXTURE_BOROUGHS)]
-            names = FIXTURE_ZONE_NAMES[borough]
-            zone = names[((loc - 2) // len(FIXTURE_BOROUGHS)) % len(names)]
+            k = ((loc - 2) // len(FIXTURE_BOROUGHS)) % FIXTURE_ZONES_PER_BOROUGH[borough]
+            named = borough == "Manhattan" and k < len(FIXTURE_MANHATTAN)
+            zone = FIXTURE_MANHATTAN[k] if named else f"{borough} Zone {k + 1:02d}"
             service = "Yellow Zone" if borough == "Manhattan" else "Boro Zone"
         if loc % 17 == 0:
             zone = f"  {zone} "

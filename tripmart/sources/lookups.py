@@ -34,8 +34,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def read_seed(spark: SparkSession, name: str, path: str | None = None, check_unique: bool = True,
-              max_rows: int = 100_000) -> DataFrame:
+def read_seed(spark: SparkSession, name: str, path: str | None = None, check_unique: bool = True) -> DataFrame:
     """One seed lookup with its declared schema; fails on a repeated key.
 
     With a ``path`` (shared storage) the CSV reader loads it.  Without one
@@ -49,51 +48,33 @@ def read_seed(spark: SparkSession, name: str, path: str | None = None, check_uni
               .option("mode", "FAILFAST")
               .csv(path))
     if check_unique:
-        assert_unique_key(df, schemas.SEEDS[name][0], name, max_rows)
+        check_lookups({name: (df, schemas.SEEDS[name][0])})
     return df
 
 
-def load_seeds(spark: SparkSession, seed_dir: str | None = None, max_rows: int = 100_000,
-               check: bool = True) -> dict[str, DataFrame]:
-    """All four seeds, checked unique and at most ``max_rows`` rows each
-    (one job for all four).  ``seed_dir`` None uses the packaged seeds."""
+def load_seeds(spark: SparkSession, seed_dir: str | None = None, check: bool = True) -> dict[str, DataFrame]:
+    """All four seeds, their keys checked in one job.  ``seed_dir`` None uses
+    the packaged seeds."""
     seeds = {n: read_seed(spark, n, os.path.join(seed_dir, f"{n}.csv") if seed_dir else None,
                           check_unique=False) for n in SEED_NAMES}
     if check:
-        check_lookups({n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()}, max_rows)
+        check_lookups({n: (df, schemas.SEEDS[n][0]) for n, df in seeds.items()})
     return seeds
 
 
-def check_lookups(lookups: dict[str, tuple[DataFrame, str]], max_rows: int = 100_000) -> dict[str, int | None]:
-    """Key-uniqueness and size checks of several lookups in ONE bounded job.
-
-    Each lookup is read through ``limit(max_rows + 1)``; within the bound the
-    count is the size proof for broadcasting it and the same pass checks its
-    key.  A lookup past the bound maps to None (no broadcast) and its key is
-    checked by a distributed probe that stops at the first repeated key.
-    Returns the row count (or None) of each lookup."""
-    parts = []
-    for name, (df, key) in lookups.items():
-        parts.append(df.limit(max_rows + 1).agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
-            F.count_if(F.col(key).isNull()).alias("nulls")).select(F.lit(name).alias("name"), "n", "k", "nulls"))
+def check_lookups(lookups: dict[str, tuple[DataFrame, str]]) -> None:
+    """Raise if a lookup repeats its key.  One rule for any size: a key, NULL
+    among them, belongs to one row.  One job for all lookups: their keys are
+    counted by partially aggregated groupBys; one row each reaches the driver."""
+    parts = [df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.count_if(F.col("n") > 1).alias("repeated")).select(F.lit(name).alias("name"), "repeated")
+             for name, (df, key) in lookups.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    counts: dict[str, int | None] = {}
     for r in union.collect():
-        df, key = lookups[r["name"]]
-        if r["n"] > max_rows:
-            repeated = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-                        .filter(F.col("c") > 1).limit(1).count())
-            if repeated:
-                raise LookupError_(f"lookup {r['name']} repeats its key {key}")
-            counts[r["name"]] = None
-            continue
-        if r["k"] + r["nulls"] != r["n"] or r["nulls"] > 1:
-            raise LookupError_(f"lookup {r['name']} repeats its key {key}")
-        counts[r["name"]] = int(r["n"])
-    return counts
+        if r["repeated"]:
+            raise LookupError_(f"lookup {r['name']} repeats its key {lookups[r['name']][1]}")
 
 
 def seed_rows(name: str) -> list[tuple]:
@@ -118,17 +99,3 @@ def seed_values_sql(name: str, string_type: str = "VARCHAR") -> str:
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in seed_rows(name))
     return (f"(SELECT CAST({key} AS {kt}) AS {key}, CAST({value} AS {string_type}) AS {value} "
             f"FROM (VALUES {body}) AS v({key}, {value}))")
-
-
-def assert_unique_key(df: DataFrame, key: str, name: str, max_rows: int = 100_000) -> int:
-    """Raise if ``key`` repeats in a lookup; return its row count.  Bounded:
-    a lookup larger than ``max_rows`` is rejected rather than scanned in full,
-    so the count doubles as the size proof for broadcasting it."""
-    sample = df.limit(max_rows + 1)
-    stats = sample.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
-                       F.count_if(F.col(key).isNull()).alias("nulls")).first()
-    if stats["n"] > max_rows:
-        raise LookupError_(f"lookup {name} has more than {max_rows} rows")
-    if stats["k"] + stats["nulls"] != stats["n"] or stats["nulls"] > 1:
-        raise LookupError_(f"lookup {name} repeats its key {key}")
-    return int(stats["n"])

@@ -23,6 +23,17 @@ def read_trip_month(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows every ingest cast accepts, rejected rows as JSON with the names of
+    the columns at fault).  Both are filters of one scan."""
+    casts = {**dict.fromkeys(INT_COLUMNS, "int"), "airport_fee": "double"}
+    bad = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
+                                    for c, t in casts.items()]))
+    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    return (df.filter(F.size(bad) == 0),
+            df.filter(F.size(bad) > 0).select(bad.alias("rejected_columns"), row.alias("row")))
+
+
 def normalise_raw_trips(df: DataFrame, year: int, month: int, *, execution_id: str | None = None,
                         source_file: str | None = None, source_file_size_mb: float = 0.0,
                         with_audit: bool = True) -> DataFrame:
