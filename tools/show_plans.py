@@ -56,8 +56,7 @@ def main():
     stg = staging.stg_trips(raw)
     fact_tbl = spark.read.parquet(layout.fact)
     feb = [(2025, 2)]
-    month_raw = raw.filter(pipeline.partition_filter(pipeline.raw_partitions_for(spark, layout, feb),
-                                                     "trip_year", "trip_month"))
+    month_raw = pipeline.raw_trips_table(spark, layout, pipeline.raw_partitions_for(spark, layout, feb))
     sections = [
         ("Fact build from the raw table (full load)", facts.fact_trips(stg, lk)),
         ("Safe rebuild of one pickup month (raw partitions from the month index)",
