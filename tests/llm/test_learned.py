@@ -239,6 +239,15 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_roots_grow_with_new_links(spark):
+    r = random.Random(12)
+    edges = lambda n: spark.createDataFrame([(r.randrange(800), r.randrange(800)) for _ in range(n)], "a long, b long").filter("a <> b").cache()
+    first, second = edges(250), edges(200)
+    as_map = lambda df: {x.node: x.root for x in df.collect()}
+    grown = neardup._joined_roots(components.components(first), second)
+    assert as_map(grown) == as_map(components.components(first.union(second)))
+
+
 # --- BPE -------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
