@@ -194,6 +194,29 @@ def test_buckets_of_unlike_texts_lose_no_link(spark, docs_of, words):
     assert out == dict(zip((x[0] for x in rows), brute_classes(rows)))
 
 
+def test_pairs_that_meet_only_in_large_unlike_buckets(spark, docs_of, words):
+    """Unlike pairs at 0.75 to 0.79 by a shared passage, true pairs at 0.87 to 0.89: none is lost."""
+    def fresh(n, seed):  # words of no other text
+        return " ".join(f"w{seed}x{i}" for i in range(n))
+
+    rows, want = [], {}
+    for f, (own, length, same) in enumerate(((10, 79, 5), (10, 64, 5))):
+        passage = words(length, 9000 + f)
+        for k in range(800):
+            at, seed = 10_000 * f + 2 * k, 10 ** 6 * f + 3 * k
+            tail = fresh(own - same, seed)
+            rows.append((at, f"{fresh(same, seed + 1)} {tail} {passage}", "a"))
+            want[at] = at
+            if k < 100:
+                rows.append((at + 1, f"{fresh(same, seed + 2)} {tail} {passage}", "a"))
+                want[at + 1] = at
+    a, b, c = (sets(rows[i][1]) for i in (0, 1, 2))
+    assert len(a & b) / len(a | b) > 0.88 and 0.78 < len(a & c) / len(a | c) < 0.8
+    rows += [(50_000 + k, fresh(3, 10 ** 8 + k), "b") for k in range(2600)]  # the passages are in less than a third
+    want |= {i: i for i, _, _ in rows[-2600:]}
+    assert {x.doc_id: x.class_id for x in neardup.classes(docs_of(rows, extra=False)).collect()} == want
+
+
 def test_samples_agree_as_weighted_jaccard():
     """The share of equal samples estimates the weighted Jaccard similarity."""
     rng = np.random.default_rng(3)
