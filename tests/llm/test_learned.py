@@ -94,6 +94,26 @@ def test_page(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+STORY = "A long paragraph, with text; and more of it, really. It goes on."
+NAMED = {
+    f"<div class='layout has-sidebar'><article><p>{STORY}</p></article><div class='sidebar'>links</div></div>": STORY,
+    f"<body><div class='no-sidebar'><p>{STORY}</p></div></body>": STORY,
+    f"<section class='discussion'><p>{STORY}</p></section><p>x</p>": STORY,
+    f"<div class='comments'><article><p>{STORY}</p></article></div><p>short</p>": STORY,
+    f"<article><p>{STORY}</p><div class='comments'><p>{STORY * 9}</p></div></article>": STORY,
+    f"<article><p>{STORY}</p><p class='share-price'>It rose.</p></article>": STORY + " It rose.",
+    "<article><p>See <a href='/hidden/gems'>gems</a>, <a title='The hidden truth'>truth</a>, <b data-hidden='false'>b</b>, "
+    "<i data-id='share-7'>i</i>, <a href=/hidden/x>x</a>.</p><p hidden>no</p><p class=\"ad\">no</p></article>": "See gems, truth, b, i, x.",
+    f"<form id='aspnet'><article><p>{STORY}</p></article></form>": STORY,
+    f"<article><p>{STORY}</p><div class='ad-slot'>ad</div><div id='cookie-notice'>c</div></article>": STORY,
+}
+
+
+@pytest.mark.parametrize("page", NAMED)
+def test_names_do_not_drop_the_article(page):
+    assert html_text.main_text(page) == NAMED[page]
+
+
 def test_pages_of_the_tables(spark):
     from html import unescape
 

@@ -6,6 +6,7 @@ over number of texts and punctuation are aggregated, smoothed in page order and
 fused; paths at or above a threshold are content.  The article is the deepest
 element that holds the content: all blocks below it are kept, except those of
 elements that are never article text (menus, forms, notices, comments, ...).
+Elements left out by their names alone stay if they hold the article.
 """
 
 from __future__ import annotations
@@ -49,7 +50,11 @@ ARTICLE = frozenset(("article", "main"))
 KEPT = ARTICLE | frozenset("html body h1 h2 h3 h4 h5 h6".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|\Z)", re.S)
-ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
+ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.S)
+#: Words that say how something is arranged, not what it is; words of a state.
+FRAMES = frozenset("area bar block bottom box buttons col column container content group holder icons inner item items left links "
+                   "list outer panel right row section slot top unit wrap wrapper".split())
+STATES = frozenset("has have no not with without is show hide open closed".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？¿¡]")
 WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
@@ -57,20 +62,35 @@ SMOOTH = (1, 2, 1)  # weights of neighbouring paths
 THRESHOLD = 0.5  # of the standard deviation of the fused ratios
 
 
-def _marks(attrs: str) -> tuple[frozenset[str], str, bool]:
-    """(words of class, id and role; class; hidden) of a start tag."""
+def _surrounds(token: str) -> bool:
+    """A name of class, id or role says by its last word what an element is:
+    sidebar, reader-comments, ad-slot; not has-sidebar, share-price."""
+    words = WORDS.findall(token)
+    while len(words) > 1 and words[-1] in FRAMES:
+        words.pop()
+    return bool(words) and words[-1] in SURROUND and not STATES.intersection(words)
+
+
+def _marks(attrs: str) -> tuple[frozenset[str], bool, str, bool]:
+    """(words of class, id and role; one of them names surroundings; class;
+    hidden) of a start tag.  Of an attribute given twice the first counts."""
     if not attrs or attrs.isspace():
-        return frozenset(), "", False
+        return frozenset(), False, "", False
     words: set[str] = set()
-    cls, hidden = "", False
+    seen: set[str] = set()
+    cls, around, hidden = "", False, False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in seen:
+            continue
+        seen.add(name)
         if name in ("class", "id", "role"):
             words.update(WORDS.findall(value))
+            around = around or any(map(_surrounds, value.split()))
             cls = value if name == "class" else cls
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
             hidden = True
-    return frozenset(words), cls, hidden
+    return frozenset(words), around, cls, hidden
 
 
 class Page:
@@ -83,17 +103,44 @@ class Page:
         self.texts: list[tuple[int, int, int, str]] = []  # block, element, path, text
         self.parent, self.depth, self.path = [0], [0], [0]
         self.article = [0]  # outermost article element around (0: none)
+        self.aside = [0]  # innermost element around that its name leaves out (0: none)
         self.paths: dict[tuple[int, str], int] = {}
         self._read(html)
+        if any(self.aside):
+            self._settle()
 
-    def _open(self, above: int, label: str, main: bool) -> int:
+    def _open(self, above: int, label: str, main: bool, aside: bool) -> int:
         e = len(self.parent)
         self.parent.append(above)
         self.depth.append(self.depth[above] + 1)
         self.path.append(self.paths.setdefault((self.path[above], label), len(self.paths) + 1))
         self.article.append(self.article[above] or (e if main else 0))
+        self.aside.append(e if aside else self.aside[above])
         return e
 
+    def _settle(self) -> None:
+        """Leave out what elements named as surroundings hold.
+
+        If no article is named outside of them, one that holds most of the page's
+        text stays, or whose named articles are longer than all text outside."""
+        tops = sorted(set(self.aside) - {0})
+        held, named = dict.fromkeys([0, *tops], 0), dict.fromkeys([0, *tops], 0)
+        for _, e, _, text in self.texts:
+            n = len(text.strip())
+            held[self.aside[e]] += n
+            a = self.article[e]
+            if a and self.aside[a] == self.aside[e]:
+                named[self.aside[e]] += n
+        outside, article = held[0], named[0]
+        total = sum(held.values())
+        for e in reversed(tops):  # inner ones come after those around
+            held[self.aside[self.parent[e]]] += held[e]
+            named[self.aside[self.parent[e]]] += named[e]
+        stays = {0: True}
+        for e in tops:
+            stays[e] = stays[self.aside[self.parent[e]]] and not article and (2 * held[e] > total or named[e] > outside)
+        self.texts = [t for t in self.texts if stays[self.aside[t[1]]]]
+
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int, bool]] = []  # tag, element, dropped
         block = at = dropped = 0
@@ -152,12 +199,13 @@ class Page:
                 block += 1
             if tag in VOID:
                 continue
-            words, cls, hidden = _marks(m["attrs"])
-            out = tag in DROPPED or hidden or (tag not in KEPT and bool(words & SURROUND))
+            words, around, cls, hidden = _marks(m["attrs"])
+            aside = tag == "form" or (tag not in KEPT and around)
+            out = hidden or (tag in DROPPED and tag != "form")
             if m["attrs"].rstrip().endswith("/") and tag not in RAW:
                 continue
-            main = not out and (tag in ARTICLE or "main" in words or "article" in words)
-            stack.append((tag, self._open(stack[-1][1] if stack else 0, f"{tag}.{cls}" if cls else tag, main), out))
+            main = not out and not aside and (tag in ARTICLE or "main" in words or "article" in words)
+            stack.append((tag, self._open(stack[-1][1] if stack else 0, f"{tag}.{cls}" if cls else tag, main, aside), out))
             dropped += out
             if tag in RAW:
                 stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
