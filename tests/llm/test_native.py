@@ -208,6 +208,25 @@ def test_copies_and_repeats_disclose_nothing(spark, docs_of):
     assert all(r.terms is None for r in privacy.find(docs_of(rows)).collect())
 
 
+def test_entities_of_one_text_are_protected_too(spark, docs_of):
+    r = random.Random(4)
+    plain = [f"{a}{b}" for a in ("wor", "tex", "lin", "sen", "pla") for b in ("ders", "tual", "ings", "tence", "ces")]
+    rows = [(i, " ".join(r.choice(plain) for _ in range(300)), "a") for i in range(60)]
+    rows += [(100, f"{rows[0][1]} Solitary Wu told one@two.example {rows[1][1]}", "b")]
+    found = {x.doc_id: x.terms for x in privacy.find(docs_of(rows)).collect()}
+    assert {rows[-1][1][s.start:s.end] for s in found[100]} == {"Solitary", "Wu", "told"}
+    assert all(found[i] is None for i in range(60))
+
+
+def test_texts_that_share_a_passage_count_by_their_other_surroundings(spark, docs_of):
+    passage = " ".join(f"Zanzibar wrote from zap@zip.example on day {d}" + " and more" * 40 for d in range(20))
+    rows = [(i, f"{passage} {i} {'other things ' * i} Zanzibar again by zap@zip.example, {i} times", "a") for i in range(4)]
+    rows += [(50 + i, f"others wrote many plain words with number {i} " * 3, "a") for i in range(20)]
+    text = {i: t for i, t, _ in rows}
+    found = {x.doc_id: x.terms for x in privacy.find(docs_of(rows)).collect()}
+    assert all("Zanzibar" in {text[i][s.start:s.end] for s in found[i] or []} for i in range(4))
+
+
 def test_overlapping_spans_are_all_replaced(spark, docs_of):
     t = "call +4111 1111 1111 1111 now, or 10.0.0.1@a.b.c"
     new = privacy.sanitise(docs_of([(1, t, "a")])).first().text

@@ -7,7 +7,8 @@ that a term near it gives away is
 
     PMI(e; t) / IC(e) = 1 + ln(c(e, t) / c(t)) / -ln p(e),
 
-1 if the term occurs nowhere else.  Terms at or above a threshold are spans too:
+1 if the term occurs nowhere else.  Terms at or above a threshold are spans too,
+if they meet the entity in several texts or more often than chance would have it:
 generalised, or removed if they disclose almost everything.  All of it is
 DataFrame expressions; Python only builds the plan.
 """
@@ -31,10 +32,12 @@ PATTERNS = {
 }
 #: What a text must hold to be searched at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}{4,}"
+TERM = r"\p{L}+"
 NEAR = 160  # code points on either side of an entity
 #: Different surroundings in which a term must meet an entity.
 MIN_TOGETHER = 3  # (and texts)
+#: Or, in fewer: the chance that any word near an entity meets it so by accident.
+CHANCE = 0.05
 GENERALISE, REMOVE = 0.7, 0.9
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
@@ -134,24 +137,33 @@ def _near(found: DataFrame) -> DataFrame:
 def disclosures(docs: DataFrame, near: DataFrame, together: int = MIN_TOGETHER, least: float = GENERALISE) -> DataFrame:
     """(entity, term, share): the terms that disclose at least ``least`` of an entity.
 
-    Counts are of all occurrences in the corpus; pairs must meet in ``together``
-    different texts and there in different surroundings, so that copies and
-    repeated lines show nothing.  Pairs are as many as words near entities, and
+    Counts are of all occurrences in the corpus.  A pair counts by the texts it
+    meets in, those with the same surroundings all as one, so that copies and
+    repeated lines show nothing: in ``together`` of them, or in fewer if that many
+    meetings have a chance of at most ``CHANCE`` over all terms near the entity
+    (the likelihood of the term's share of occurrences near it, against the
+    entity's share of the corpus).  Pairs are as many as words near entities, and
     are summed before they are shuffled."""
-    often = (near.groupBy("entity", "term", "key").agg(F.count("*").alias("n"), F.min("around").alias("around"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count_distinct("around").alias("around"))
-             .filter(F.col("around") >= together))
+    met = (near.groupBy("entity", "term", "key", "around").agg(F.count("*").alias("n"))
+           .groupBy("entity", "term", "key").agg(F.sum("n").alias("n"), F.bit_xor("around").alias("around")))  # of a set, in any order
+    often = met.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count_distinct("around").alias("around"))
     often = materialize(often, "pii-pairs")
     if often.isEmpty():
         return often.select("entity", "term", F.lit(0.0).alias("share"))
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
     counts = words.groupBy("term").agg(F.count("*").alias("times")).join(often.select("term").distinct(), "term")
-    entities = near.groupBy("entity").agg(F.count_distinct("key", "around").alias("seen"))
+    entities = (near.groupBy("entity").agg(F.count_distinct("key", "around").alias("seen"))
+                .join(often.groupBy("entity").agg(F.count("*").alias("terms")), "entity"))
     places = docs.agg((F.coalesce(F.sum(F.char_length("text")), F.lit(0)) / (2 * NEAR) + 1).alias("places"))
     places = places.first()["places"]
     info = F.greatest(-F.log(F.least(F.col("seen") / F.lit(places), F.lit(1.0))), F.lit(1e-9))
-    share = 1 + F.log(F.least(F.col("both") / F.col("times"), F.lit(1.0))) / info
-    return (often.join(counts, "term").join(entities, "entity").select("entity", "term", share.alias("share"))
+    q = F.least(F.col("both") / F.col("times"), F.lit(1.0))
+    p = F.least(F.col("seen") / F.lit(places), F.lit(1 - 1e-9))
+    share = 1 + F.log(q) / info
+    # Logarithms of how much likelier a meeting, and the term's other places for each, are than by chance.
+    gain = F.log(q / p) + F.when(q < 1, (1 - q) / q * F.log((1 - q) / (1 - p))).otherwise(0.0)
+    sure = (F.col("around") >= together) | ((q > p) & (F.col("around") * gain >= F.log(F.col("terms") / CHANCE)))
+    return (often.join(counts, "term").join(entities, "entity").filter(sure).select("entity", "term", share.alias("share"))
             .filter(F.col("share") >= least))
 
 
