@@ -18,7 +18,7 @@ NATIVE = ("op2_pareto_mix", "op3_feistel_shards", "op6_bloom_cascade_urls", "op9
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     out = registry.QUERIES[name](spark, SF)
     want = con.execute(registry.ORACLES[name])
