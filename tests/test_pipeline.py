@@ -151,5 +151,5 @@ def test_cli_run_month(spark, tmp_path, files, capsys):
     assert main(["run-month", "--root", root, "--env", "CLI", "--file", full[(2025, 1)], "--year", "2025",
                  "--month", "1", "--zones", zones, "--quality", "report"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["checks"] == 60 and len(out["exported"]) == 2
+    assert out["checks"] == 64 and len(out["exported"]) == 2
     assert os.path.isfile(os.path.join(root, "CLI_EXPORT", "AGG_MONTHLY_ZONE_SUMMARY_2025_01.parquet"))

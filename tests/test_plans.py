@@ -45,6 +45,9 @@ def test_dedup_is_hash_aggregate_with_partial_step(spark):
 
 def test_mart_single_shuffle(spark, lookups):
     fact = facts.fact_trips(staging.stg_trips(fixture.raw_trips_fixture(spark, SF_SMALL)), lookups)
-    plan = _plan(marts.build_mart("agg_vendor_performance", fact))
+    plan = _plan(marts.build_mart("agg_hourly_demand", fact))
     # one exchange for the dedup, one for the mart grouping (plus the distinct-free aggregates)
     assert plan.count("Exchange hashpartitioning") == 2
+    # the ratio's bins first, then the vendors
+    plan = _plan(marts.build_mart("agg_vendor_performance", fact))
+    assert plan.count("Exchange hashpartitioning") == 3

@@ -82,9 +82,9 @@ def test_default_build_and_empty_month(spark, tmp_path, zones):
     pipeline.build(spark, layout)
     pipeline.ingest_month(spark, layout, _file(spark, tmp_path, "b", [_trip(month=2), _trip(month=2, fare=3.0)]), 2025, 2)
     report = pipeline.build(spark, layout)  # months: all that raw holds
-    assert set(_counts(spark, layout).values()) == {3} and len(report) == 60
+    assert set(_counts(spark, layout).values()) == {3} and len(report) == 64
     report, _ = pipeline.run_month(spark, layout, _file(spark, tmp_path, "c", []), 2025, 3, export=False)
-    assert set(_counts(spark, layout).values()) == {3} and len(report) == 60
+    assert set(_counts(spark, layout).values()) == {3} and len(report) == 64
     pipeline.run_month(spark, layout, _file(spark, tmp_path, "d", []), 2025, 2, export=False)
     assert set(_counts(spark, layout).values()) == {1}
 
@@ -159,7 +159,7 @@ def test_reset_covers_what_belongs_to_raw(spark, tmp_path, zones):
     pipeline.reset_raw(spark, layout)
     assert not any(os.path.exists(p) for p in (layout.raw_trips, layout.raw_month_index, layout.quarantine))
     report, _ = pipeline.run_month(spark, layout, _file(spark, tmp_path, "b", [_trip()]), 2025, 1, export=False, reset=True)
-    assert set(_counts(spark, layout).values()) == {1} and len(report) == 60
+    assert set(_counts(spark, layout).values()) == {1} and len(report) == 64
 
 
 def test_reset_resolves_dots(spark, tmp_path):
@@ -230,7 +230,7 @@ def test_cli_steps(spark, tmp_path, zones, capsys):
 
     path = _file(spark, tmp_path, "a", [_trip(), _trip(fare=5.0)])
     assert run("ingest", "--file", path, "--year", "2025", "--month", "1", "--zones", zones, "--casts", "try")["months"] == ["2025-01"]
-    assert run("build", "--quality", "report", "--duplicates", "first")["checks"] == 60
+    assert run("build", "--quality", "report", "--duplicates", "first")["checks"] == 64
     assert run("build", "--select", "agg_vendor_performance")["built"] == ["agg_vendor_performance"]
-    assert run("test", "--quality", "report")["checks"] == 60
+    assert run("test", "--quality", "report")["checks"] == 64
     assert len(run("export", "--year", "2025", "--month", "1")["exported"]) == 2

@@ -27,7 +27,6 @@ statistics can skip row groups).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,7 +38,6 @@ from tripmart.plans import sinks
 
 REFERENCE, SAFE = "reference", "safe"
 FACT_KEY = ["trip_id"]
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL
 
 # Watermark of each incremental table: (target expression, source column).
 def _month_start() -> Column:
@@ -136,61 +134,67 @@ def collect_watermark(target: DataFrame, table: str):
     return target.agg(F.max(target_expr()).alias("m")).first()["m"]
 
 
-def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                     partition_cols: Sequence[str] = tuple(schemas.FACT_PARTITIONS),
-                     null_safe: bool = False) -> None:
-    """Upsert ``source`` into the Parquet table at ``path``.
+def stage_merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                partition_cols: Sequence[str] = tuple(schemas.FACT_PARTITIONS), null_safe: bool = False) -> sinks.Staged:
+    """Upsert ``source`` into the Parquet table at ``path``, up to publication.
 
     Only partitions the source touches are read and rewritten (the keys
     determine the partition: a trip key fixes the pickup time, a mart key
     its date/month).  The source is computed once, under the shared checkpoint
-    folder; the merged partitions are written once, beside the table, and
-    their folders moved in, so the table is never overwritten by a plan that
-    reads it."""
-    target = sinks.read_table(spark, path)
-    if target is None:
-        sinks.write_partitions(source, path, partition_cols)
-        return
+    folder; the merged partitions are written once, beside the table, so the table
+    is never overwritten by a plan that reads it."""
     from tripmart.plans import fs
 
+    target = sinks.read_table(spark, path)
+    if target is None:
+        return sinks.stage_partitions(spark, source, path, partition_cols)
     staged_src, src_path = sinks.stage(spark, source, "merge-source")
     touched = [tuple(r) for r in staged_src.select(*partition_cols).distinct().collect()]
-    if touched:
-        cond = None
-        for values in touched:
-            c = None
-            for col, v in zip(partition_cols, values):
-                term = F.col(col).eqNullSafe(F.lit(v))
-                c = term if c is None else c & term
-            cond = c if cond is None else cond | c
-        merged = merge_upsert(target.filter(cond), staged_src, keys, null_safe)
-        beside = f"{path.rstrip('/')}.merge-{uuid.uuid4().hex}"
-        merged.write.partitionBy(*partition_cols).parquet(beside)
-        for values in touched:
-            part = "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, values))
-            fs.swap_in(spark, f"{beside}/{part}", f"{path.rstrip('/')}/{part}")
-        fs.delete(spark, beside)
+    cond = F.lit(False)
+    for values in touched:
+        c = F.lit(True)
+        for col, v in zip(partition_cols, values):
+            c = c & F.col(col).eqNullSafe(F.lit(v))
+        cond = cond | c
+    merged = merge_upsert(target.filter(cond), staged_src, keys, null_safe)
+    staged = sinks.stage_partitions(spark, merged, path, partition_cols)
     fs.delete(spark, src_path)
+    return staged
+
+
+def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                     partition_cols: Sequence[str] = tuple(schemas.FACT_PARTITIONS),
+                     null_safe: bool = False) -> None:
+    """``stage_merge``, then the merged partitions take the place of the old ones."""
+    stage_merge(spark, path, source, keys, partition_cols, null_safe).publish(spark)
 
 
 def replace_months_in_table(spark: SparkSession, path: str, rebuilt: DataFrame,
                             months: Sequence[tuple[int, int]],
                             partition_cols: Sequence[str] = tuple(schemas.FACT_PARTITIONS)) -> None:
-    """Safe mode: replace whole month partitions of the table at ``path``.
+    """Safe mode: replace whole month partitions of the table at ``path``; months of
+    ``months`` without rows are cleared (their trips disappeared from raw)."""
+    sinks.stage_partitions(spark, rebuilt, path, partition_cols, months).publish(spark)
 
-    ``rebuilt`` must not read ``path`` itself (the fact is rebuilt from raw,
-    a mart from the fact), so it is written straight in by dynamic partition
-    overwrite -- no staging copy.  The months that received rows are
-    observed during that same write job; months of ``months`` that got none
-    are cleared afterwards (their trips disappeared from raw)."""
-    from pyspark.sql import Observation
 
-    from tripmart.plans import fs
-
-    obs = Observation("written_months")
-    observed = rebuilt.observe(obs, F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("parts"))
-    sinks.write_partitions(observed, path, partition_cols)
-    written = {tuple(r) for r in (obs.get.get("parts") or [])}
-    for y, m in months:
-        if (y, m) not in written:
-            fs.delete(spark, f"{path.rstrip('/')}/{partition_cols[0]}={y}/{partition_cols[1]}={m}")
+# --------------------------------------------------------------------------
+# What a delivery changes
+
+def month_digests(raw: DataFrame) -> DataFrame:
+    """(pickup_year, pickup_month, digest) of raw trips: an order-free digest of the
+    multiset of rows (their 19 columns, NULLs told apart) of each pickup month."""
+    columns = [F.col(c) for c in schemas.RAW_TRIP_COLUMNS]
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    at = F.col("tpep_pickup_datetime")
+    rows = raw.select(F.year(at).alias("pickup_year"), F.month(at).alias("pickup_month"),
+                      F.xxhash64(*columns, nulls).alias("h")).filter("pickup_year IS NOT NULL")
+    return (rows.groupBy("pickup_year", "pickup_month")
+            .agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(F.col("h").cast("decimal(20,0)")).cast("string"),
+                             F.bit_xor("h").cast("string")).alias("digest")))
+
+
+def changed_months(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Pickup months whose digests differ (one side may lack the month)."""
+    pair = ["pickup_year", "pickup_month"]
+    both = old.withColumnRenamed("digest", "_old").join(new.withColumnRenamed("digest", "_new"), pair, "full")
+    return both.filter(~F.col("_old").eqNullSafe(F.col("_new")) | F.col("_old").isNull()).select(*pair)

@@ -1,5 +1,5 @@
 """Declarative data-quality checks: not_null, unique, accepted_values,
-relationships, with a severity gate.
+relationships, grain, with a severity gate.
 
 Checks are data (``Check``); results are a Spark DataFrame with one row per
 check: (model, column_name, test, severity, failures, status).  Failure
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS = "not_null", "unique", "accepted_values", "relationships"
+GRAIN = "grain"  # the columns (comma-separated) name one row
 ERROR, WARN = "error", "warn"
 
 REPORT_SCHEMA = T.StructType([
@@ -39,9 +40,13 @@ REPORT_SCHEMA = T.StructType([
 class DataQualityError(RuntimeError):
     """At least one error-severity check failed."""
 
-    def __init__(self, failed_rows):
+    def __init__(self, failed_rows, decided=()):
         self.failed = failed_rows
+        self.decisions = list(decided)
         lines = [f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed_rows]
+        blocked = [r["model"] for r in self.decisions if r["decision"] == BLOCKED]
+        if blocked:
+            lines.append("not built: " + ", ".join(blocked))
         super().__init__("data-quality checks failed:\n  " + "\n  ".join(lines))
 
 
@@ -96,6 +101,23 @@ DECLARED_CHECKS: list[Check] = [
     *not_null(VENDOR, "pickup_year", "pickup_month", "vendor_id", "trip_count"),
 ]
 
+# The marts are merged by keys narrower than their groups (a zone name spanning two
+# boroughs would make two rows of one key): asserted before a mart is public.
+GRAIN_CHECKS: list[Check] = [
+    Check(DAILY, "pickup_date,pickup_zone", GRAIN),
+    Check(MONTHLY, "pickup_year,pickup_month,pickup_zone", GRAIN),
+    Check(HOURLY, "pickup_date,pickup_hour,pickup_borough", GRAIN),
+    Check(VENDOR, "pickup_year,pickup_month,vendor_id", GRAIN),
+]
+ALL_CHECKS: list[Check] = DECLARED_CHECKS + GRAIN_CHECKS
+
+# What each model is built from.
+PARENTS_OF: dict[str, tuple[str, ...]] = {
+    STG_TRIPS: (), STG_ZONES: (), DIM: (STG_ZONES,), FACT: (STG_TRIPS, DIM),
+    DAILY: (FACT,), MONTHLY: (FACT,), HOURLY: (FACT,), VENDOR: (FACT,),
+}
+PASSED, FAILED, BLOCKED = "passed", "failed", "blocked"
+
 
 def _rows(model: str, checks: Sequence[Check], counts: DataFrame) -> DataFrame:
     """Turn a one-row DataFrame of counts (one column per check) into report rows."""
@@ -116,6 +138,9 @@ def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
     side and shuffles a large one); a child row without a match fails."""
     aggs, done, rest = [], [], []
     for c in checks:
+        if c.test == GRAIN:
+            rest.append(c)
+            continue
         col = F.col(c.column)
         if c.test == NOT_NULL:
             agg = F.count_if(col.isNull())
@@ -144,7 +169,7 @@ def _single_pass(model: str, df: DataFrame, checks: Sequence[Check],
 def failing_rows(df: DataFrame, c: Check, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The rows of the tested model that fail check ``c``: with a NULL, with a
     value that is not accepted, without a parent, or with a repeated key."""
-    col = F.col(c.column)
+    col = F.col(c.column) if c.test != GRAIN else None
     if c.test == NOT_NULL:
         return df.filter(col.isNull())
     if c.test == ACCEPTED:
@@ -152,6 +177,10 @@ def failing_rows(df: DataFrame, c: Check, parents: Mapping[str, DataFrame] | Non
     if c.test == RELATIONSHIPS:
         keys = (parents or {})[c.to_model].select(F.col(c.to_field).alias("_k"))
         return df.filter(col.isNotNull()).join(keys, df[c.column] == keys["_k"], "left_anti")
+    if c.test == GRAIN:
+        key = [F.col(k) for k in c.column.split(",")]
+        again = df.groupBy(F.struct(*key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        return df.join(again, F.struct(*key) == F.col("_k"), "left_semi")
     if c.test == UNIQUE:
         keys = (df.filter(col.isNotNull()).groupBy(col.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select("_k"))
@@ -161,6 +190,9 @@ def failing_rows(df: DataFrame, c: Check, parents: Mapping[str, DataFrame] | Non
 
 def _keyed(model: str, df: DataFrame, c: Check) -> DataFrame:
     """A check on values: a filter that the scan can prune, then a groupBy."""
+    if c.test == GRAIN:
+        bad = (df.groupBy(*c.column.split(",")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+        return _rows(model, [c], bad.agg(F.count(F.lit(1)).alias("_c0")))
     col = F.col(c.column)
     if c.test == UNIQUE:
         bad = (df.filter(col.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
@@ -196,11 +228,42 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = tuple(
                           .when(F.col("severity") == WARN, F.lit("warn")).otherwise(F.lit("fail")))
 
 
+def _ancestors() -> list[tuple[str, str]]:
+    """(model, model it depends on, directly or not)."""
+    def above(model: str) -> set[str]:
+        return set(PARENTS_OF[model]).union(*[above(p) for p in PARENTS_OF[model]])
+    return [(m, a) for m in PARENTS_OF for a in sorted(above(m))]
+
+
+def decisions(report: DataFrame) -> DataFrame:
+    """The gate as data: (model, decision, failed_checks, blocked_by, reason) of every
+    model.
+
+    A model with a failed check of its own is ``failed``; one below a failed model is
+    ``blocked`` and is not built or made public; warnings stop nothing.  ``blocked_by``
+    lists failed models above it, ``reason`` the failed checks that decide."""
+    spark = report.sparkSession
+    text = F.concat_ws(" ", F.concat_ws(".", "model", "column_name"), F.concat("test", F.lit(":")), F.col("failures").cast("string"))
+    failed = (report.filter(F.col("status") == "fail").groupBy(F.col("model").alias("_m"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.concat_ws("; ", F.sort_array(F.collect_list(text))).alias("_why")))
+    models = spark.createDataFrame([(m,) for m in PARENTS_OF], "model string")
+    above = spark.createDataFrame(_ancestors(), "below string, above string")
+    blocked = (above.join(failed, F.col("above") == F.col("_m")).groupBy("below")
+               .agg(F.concat_ws(",", F.sort_array(F.collect_list("above"))).alias("blocked_by"),
+                    F.concat_ws("; ", F.sort_array(F.collect_list("_why"))).alias("_above")))
+    out = (models.join(failed, F.col("model") == F.col("_m"), "left").join(blocked, F.col("model") == F.col("below"), "left"))
+    return out.select(
+        "model", F.when(F.col("blocked_by").isNotNull(), BLOCKED).when(F.col("_n").isNotNull(), FAILED).otherwise(PASSED).alias("decision"),
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("failed_checks"), "blocked_by",
+        F.coalesce("_above", "_why").alias("reason"))
+
+
 def gate(report: DataFrame, raise_on_error: bool = True) -> list:
     """Collect the (small) report; raise if an error-severity check failed.
     Warnings are returned, not raised."""
     rows = report.collect()
     failed = [r for r in rows if r["status"] == "fail"]
     if failed and raise_on_error:
-        raise DataQualityError(failed)
+        seen = report.sparkSession.createDataFrame([tuple(r[c] for c in REPORT_SCHEMA.fieldNames()) for r in failed], REPORT_SCHEMA)
+        raise DataQualityError(failed, decisions(seen).collect())
     return rows

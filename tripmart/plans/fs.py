@@ -76,3 +76,23 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and holds at least one data file or partition."""
     return any(not f.rsplit("/", 1)[-1].startswith(("_", ".")) for f in list_files(spark, path))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written beside, then renamed."""
+    fs, p = _fs(spark, path + ".part")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    rename(spark, path + ".part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()

@@ -268,8 +268,9 @@ def spark_queries() -> dict[str, QueryFn]:
     q["incr_monthly_safe"] = q_incr_monthly_safe
     q["merge_upsert_single_key"] = q_merge_upsert_single_key
     q["merge_upsert_composite_key"] = q_merge_upsert_composite_key
-    from tripmart.plans import roundtrips
+    from tripmart.plans import evidence, roundtrips
     q.update(roundtrips.spark_queries())
+    q.update(evidence.spark_queries())
     return q
 
 
@@ -341,8 +342,9 @@ def oracle_queries() -> dict[str, str]:
     q["incr_monthly_safe"] = _oracle_incr_monthly_safe()
     q["merge_upsert_single_key"] = _oracle_merge_single()
     q["merge_upsert_composite_key"] = _oracle_merge_composite()
-    from tripmart.plans import roundtrips
+    from tripmart.plans import evidence, roundtrips
     q.update(roundtrips.oracle_queries())
+    q.update(evidence.oracle_queries())
     return q
 
 

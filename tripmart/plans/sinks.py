@@ -1,82 +1,114 @@
 """Table writers: partition replace, full overwrite, keyed merge.
 
-Tables are Parquet directories.  Partition replacement relies on Spark's
-dynamic partition overwrite: only partitions present in the written rows are
-replaced, one after the other when the job commits, so a job that fails
-before leaves the table as it was, and a rerun writes the same partitions.
+Tables are Parquet directories.  New partitions and tables are written beside the
+table by one Spark job and moved in by ``moves``, which writes the moves down
+first: a job that fails leaves the table as it was, and a run killed between two
+moves is finished by whoever opens the table next.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripmart.plans import fs
+from tripmart.plans import fs, moves
 from tripmart.session import staging_path
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL
+
 
 class UnsafeReset(ValueError):
     """A reset was asked for a path outside the configured root."""
 
 
-def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Replace exactly the partitions present in ``df``; keep all others.
+@dataclass
+class Staged:
+    """New content of a table, written beside it and not yet public."""
+    table: str
+    folder: str
+    schema: T.StructType
+    moves: list[tuple[str | None, str]] = field(default_factory=list)
 
-    Monthly runs touch one or two partitions, so each task writes at most
-    that many files and no extra shuffle is spent on layout."""
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols)
-       .parquet(path))
+    def frame(self, spark: SparkSession) -> DataFrame:
+        if fs.has_data(spark, self.folder):
+            return spark.read.schema(self.schema).parquet(self.folder)
+        return spark.createDataFrame([], self.schema)
 
+    def publish(self, spark: SparkSession) -> None:
+        moves.publish(spark, self.table, self.moves)
+        if fs.exists(spark, self.folder):  # a whole table has been moved itself
+            fs.delete(spark, self.folder)
 
-def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition: dict[str, int],
-                      observe_months_of: str | None = None):
-    """K1: replace one partition (e.g. one year/month) with ``df``.
+    def drop(self, spark: SparkSession) -> None:
+        fs.delete(spark, self.folder)
+
+
+def partition_folder(columns: Sequence[str], values: Sequence) -> str:
+    return "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(columns, values))
 
-    Rows are pinned to the partition values first.  The write job itself
-    observes the row count (and, with ``observe_months_of``, the set of
-    year/month values of that timestamp column, returned).  An empty ``df``
-    clears the partition (dynamic overwrite alone would leave the old rows)."""
-    from pyspark.sql import Observation
 
+def stage_partitions(spark: SparkSession, df: DataFrame, path: str, partition_cols: Sequence[str],
+                     replaced: Sequence[tuple] = ()) -> Staged:
+    """Write the partitions present in ``df`` beside the table at ``path``; publishing
+    replaces them and clears those of ``replaced`` that got no row.
+
+    Monthly runs touch one or two partitions, so each task writes at most that many
+    files and no extra shuffle is spent on layout."""
+    moves.recover(spark, path)
+    path = path.rstrip("/")
+    staged = Staged(path, f"{path}.new-{uuid.uuid4().hex}", df.schema)
+    df.write.partitionBy(*partition_cols).parquet(staged.folder)
+    level = [staged.folder]
+    for column in partition_cols:
+        level = [f for folder in level for f in fs.list_files(spark, folder) if f.rsplit("/", 1)[-1].startswith(f"{column}=")]
+    written = ["/".join(f.rstrip("/").split("/")[-len(partition_cols):]) for f in level]
+    staged.moves = [(f"{staged.folder}/{part}", f"{path}/{part}") for part in written]
+    gone = [part for part in (partition_folder(partition_cols, v) for v in replaced) if part not in written]
+    staged.moves += [(None, f"{path}/{part}") for part in gone]
+    return staged
+
+
+def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Replace exactly the partitions present in ``df``; keep all others."""
+    stage_partitions(df.sparkSession, df, path, partition_cols).publish(df.sparkSession)
+
+
+def replace_partition(spark: SparkSession, df: DataFrame, path: str, partition: dict[str, int]) -> None:
+    """K1: replace one partition (e.g. one year/month) with ``df``.
+
+    Rows are pinned to the partition values first; an empty ``df`` clears the
+    partition."""
     pinned = df.withColumns({k: F.lit(v).cast("int") for k, v in partition.items()})
-    obs = Observation("replace_partition")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if observe_months_of:
-        ts = F.col(observe_months_of)
-        metrics.append(F.collect_set(F.when(ts.isNotNull(), F.struct(F.year(ts), F.month(ts)))).alias("months"))
-    (pinned.observe(obs, *metrics).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition.keys())
-     .parquet(path))
-    got = obs.get
-    if not got.get("rows"):
-        part_dir = path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in partition.items())
-        fs.delete(spark, part_dir)
-    return {tuple(m) for m in (got.get("months") or [])}
+    stage_partitions(spark, pinned, path, list(partition), [tuple(partition.values())]).publish(spark)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), rebalance: bool = True) -> None:
-    """K2/K5: replace the whole table.
+def stage_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), rebalance: bool = True) -> Staged:
+    """Write a whole new table beside the one at ``path``.
 
-    The new table is written beside the old one and moved in its place when the
-    job has committed, so a failing write leaves the old table as it was.  A
-    partitioned full load first rebalances rows by partition (AQE splits a
+    A partitioned full load first rebalances rows by partition (AQE splits a
     large month into advisory-size tasks): without it every task of the
     preceding shuffle would write a small file into every month.  A caller that
     has spread the rows already says so with ``rebalance=False``."""
+    moves.recover(df.sparkSession, path)
     if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
-    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    path = path.rstrip("/")
+    new = f"{path}.new-{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(new)
-    fs.swap_in(df.sparkSession, new, path)
+    return Staged(path, new, df.schema, [(new, path)])
+
+
+def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), rebalance: bool = True) -> None:
+    """K2/K5: replace the whole table; a failing write leaves the old one as it was."""
+    stage_table(df, path, partition_cols, rebalance).publish(df.sparkSession)
 
 
 def reset_table(spark: SparkSession, path: str, root: str) -> None:
@@ -84,6 +116,7 @@ def reset_table(spark: SparkSession, path: str, root: str) -> None:
     inside = fs.qualified(spark, root).rstrip("/") + "/"
     if not fs.qualified(spark, path).startswith(inside):
         raise UnsafeReset(f"{path} is not under {root}")
+    moves.recover(spark, path)
     fs.delete(spark, path)
 
 
@@ -100,4 +133,5 @@ def stage(spark: SparkSession, df: DataFrame, name: str, partition_cols: Sequenc
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    moves.recover(spark, path)
     return spark.read.parquet(path) if fs.has_data(spark, path) else None
