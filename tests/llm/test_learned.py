@@ -458,3 +458,56 @@ def test_run_and_registry(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
     assert privacy.KINDS == ("email", "ip", "card", "phone")
+
+
+# --- buckets beyond the bound of one task, and the fixed-size filter -----------------
+
+def test_large_buckets_take_the_other_exact_way(spark, docs_of, words, monkeypatch):
+    """With a bound of five texts a bucket, stars and the prefix filter find the same classes."""
+    r = random.Random(21)
+    common, rows = words(150, 5), []
+    for k in range(40):
+        t = f"{common} {words(110, 100 + k)}"
+        rows += [(2 * k, t, "a"), (2 * k + 1, edited(t, r, 2), "a")]
+    family = words(200, 78)
+    rows += [(1000 + j, edited(family, r, 2), "hot") for j in range(40)]
+    monkeypatch.setattr(neardup, "MOST_TEXTS", 5)
+    out = {x.doc_id: x.class_id for x in neardup.classes(docs_of(rows)).collect()}
+    assert out == dict(zip((x[0] for x in rows), brute_classes(rows)))
+
+
+def test_common_shingles_past_the_broadcast_bound(spark, docs_of, words, monkeypatch):
+    line = words(8, 1)
+    texts = docs_of([(i, f"{line} {words(30, i)}" if i % 2 else words(30, i), "a") for i in range(600)]).select("text")
+    plain = neardup.common_shingles(texts)
+    monkeypatch.setattr(neardup, "MAX_COMMON", 0)
+    joined = neardup.common_shingles(texts)
+    assert (plain["hash"] == joined["hash"]).all() and plain["idf"] == pytest.approx(joined["idf"]) and len(plain["hash"]) == 4
+
+
+def test_weighted_similarity_of_a_bucket():
+    """Packed sets with weights give the weighted Jaccard similarity by hand."""
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    pool = np.sort(rng.integers(1, 1 << 63, 400, dtype=np.uint64))
+    texts = [np.sort(rng.choice(pool, n, replace=False)) for n in (200, 210, 3, 1)]
+    weight = [rng.choice([0.5, 1.0, 2.0], len(t)) for t in texts]
+    rows = pd.DataFrame({"key": [bytes([i]) for i in range(4)], "s": [neardup._pack(t) for t in texts], "w": weight, "sketch": [bytes(512)] * 4})
+    bucket = neardup._Bucket(rows, np.zeros((4, 16), np.int64))
+    got = bucket.similarities(0, np.array([1, 2, 3]))
+    for k, j in enumerate((1, 2, 3)):
+        a, b = dict(zip(texts[0].tolist(), weight[0])), dict(zip(texts[j].tolist(), weight[j]))
+        both = sum(min(a.get(x, 0), b.get(x, 0)) for x in a.keys() | b.keys())
+        assert got[k] == pytest.approx(both / sum(max(a.get(x, 0), b.get(x, 0)) for x in a.keys() | b.keys()))
+
+
+def test_bloom_lets_every_key_pass(spark):
+    from tripmart.llm.bloom import Bloom
+
+    keys = spark.range(-500, 3000).select(F.xxhash64("id").alias("h"))
+    for bits in (1 << 15, 1 << 20):
+        bloom = Bloom(keys, bits)
+        assert keys.filter(~bloom.may_hold(F.col("h"))).count() == 0
+    assert spark.range(10_000, 20_000).filter(bloom.may_hold(F.xxhash64("id"))).count() < 100
+    assert spark.range(50).filter(Bloom(keys.limit(0)).may_hold(F.xxhash64("id"))).count() == 0
