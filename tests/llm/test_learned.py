@@ -511,3 +511,25 @@ def test_bloom_lets_every_key_pass(spark):
         assert keys.filter(~bloom.may_hold(F.col("h"))).count() == 0
     assert spark.range(10_000, 20_000).filter(bloom.may_hold(F.xxhash64("id"))).count() < 100
     assert spark.range(50).filter(Bloom(keys.limit(0)).may_hold(F.xxhash64("id"))).count() == 0
+
+
+def test_vectors_of_several_lengths(spark):
+    """Each length is searched among its own, the rarer ones too."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8 if i % 3 else 5).tolist()) for i in range(120)] + [(900, [1.0]), (950, [2.0]), (1000, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in neighbours.search(df, F.col("vec_id") % 50 == 0, k=3).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    for q, v in rows:
+        if q % 50 == 0 and v:
+            a = np.array(v)
+            near = sorted((-(a @ np.array(u)) / np.linalg.norm(a) / np.linalg.norm(u), i) for i, u in rows if i != q and len(u) == len(v))[:3]
+            assert [i for _, i, _ in sorted(got[q])] == [i for _, i in near]
+    assert 1000 not in got and got[900] == [(1, 950, 1.0)]
+
+
+def test_token_counts_keep_columns_named_like_its_own(spark, docs_of):
+    df = docs_of([(1, "a few words", "a"), (2, None, "a")]).withColumn("__c", F.lit("mine")).withColumn("n_pretokens", F.lit("replaced"))
+    out = token_counts.token_counts(df)
+    assert [r["__c"] for r in out.collect()] == ["mine", "mine"] and dict(out.dtypes)["n_pretokens"] == "bigint"

@@ -56,7 +56,18 @@ def test_shards_even_gapless_and_computable(spark, docs_of):
     again = sharding.shard(df.repartition(5), ["doc_id", "text"], 8).collect()
     key = lambda r: (r.doc_id is None, r.doc_id, str(r.text), r.shard, r.slot)
     assert sorted(map(key, out)) == sorted(map(key, again))
-    assert out[0]["__b"] == "mine" if "__b" in out[0] else True
+    assert all(r["__b"] == r["size"] == "mine" for r in out)
+
+
+def test_shards_keep_columns_named_like_its_own(spark, docs_of):
+    df = docs_of([(i, f"t{i}", "a") for i in range(40)] + [(7, "hot", "a")] * 60)
+    for name in ("__b", "__k", "__first", "__n", "__l", "__r", "__p", "__to", "row_number"):
+        df = df.withColumn(name, F.lit("mine"))
+    out = sharding.shard(df, ["doc_id", "text"], 4)
+    assert out.columns == [c for c in df.columns if c not in ("row_number", "shard", "slot")] + ["row_number", "shard", "slot"]
+    rows = out.collect()
+    assert all(r[c] == "mine" for r in rows for c in ("__b", "__k", "__first", "__n", "__l", "__r", "__p", "__to"))
+    assert sorted((r.shard, r.slot) for r in rows) == [(k, n) for k in range(4) for n in range(25)]
 
 
 def test_shard_empty(spark, docs_of):
@@ -244,3 +255,48 @@ def test_query_digests(spark):
         said = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest() and r.spans.startswith(said)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for k, _, _ in want) for x in privacy.KINDS)
+
+
+def test_many_matches_in_one_text(spark, docs_of):
+    """Thousands of spans in one text, over many blocks, with terms between some of them."""
+    r = random.Random(5)
+    words, spans, at = [], [], 0
+    for i in range(4000):
+        w = f"user{i}@mail{i % 7}.example" if r.random() < 0.7 else r.choice(["é" * 30, "plain", "x" * 700, "\n", "+49 30 1234567"])
+        if "@" in w:
+            spans.append(("email", at, at + len(w)))
+        elif w[0] == "+":
+            spans.append(("phone", at, at + len(w)))
+        words.append(w)
+        at += len(w) + 3
+    text = " / ".join(words)
+    long_ = f"{'a' * 6000}@b.cd secretly known near it " + text
+    rows = docs_of([(1, text, "a"), (2, long_, "a"), (3, text, "a")], extra=False)
+    found = {x.doc_id: x for x in privacy.find(rows).collect()}
+    got = sorted((s.kind, s.start, s.end) for s in found[1].base if s.kind != "ip")
+    assert [g for g in got if g[0] == "email"] == [s for s in sorted(spans) if s[0] == "email"] and found[1].base == found[3].base
+    assert sum(g[0] == "phone" for g in got) == sum(s[0] == "phone" for s in spans)
+    assert found[2].base[0].end == 6005
+    clean = {x.doc_id: x.text for x in privacy.sanitise(rows).collect()}
+    assert clean[1] == clean[3] and "@" not in clean[1] + clean[2] and clean[1].count("[EMAIL]") == sum(s[0] == "email" for s in spans)
+
+
+def test_terms_near_spans_do_not_depend_on_blocks(spark, docs_of, monkeypatch):
+    """The same terms with blocks of a few places and with one for each text."""
+    r = random.Random(6)
+    name = lambda i: "".join(chr(97 + (i * 7 + k * 3) % 26) for k in range(5)) + "w" * (i % 4)
+    rows = []
+    for i in range(40):
+        words = [name(r.randrange(900)) for _ in range(r.randint(5, 300))]
+        for _ in range(r.randint(0, 4)):
+            words.insert(r.randrange(len(words)), f"only{chr(97 + i % 9) * 3} box{i % 9}@same.org")
+        rows.append((i, " ".join(words), "a"))
+    rows += rows[:5]
+    df = docs_of(rows, extra=False)
+    seen = []
+    for block, long_ in ((4096, 512), (64, 20), (512, 4)):
+        monkeypatch.setattr(privacy, "BLOCK", max(block, long_ + privacy.NEAR + 2))
+        monkeypatch.setattr(privacy, "LONG", long_)
+        monkeypatch.setattr(privacy, "MARGIN", long_ + privacy.NEAR + 2)
+        seen.append(sorted((x.doc_id, str(x.base), str(x.terms)) for x in privacy.find(df).collect()))
+    assert seen[0] == seen[1] == seen[2] and any(t != "None" for *_, t in seen[0])

@@ -223,11 +223,12 @@ def default_tokenizer() -> tuple[str, str]:
 
 class _Shared:
     """One codec per Python worker, built from a broadcast rank table."""
-    codecs: dict[int, Codec] = {}
+    codecs: dict[tuple[str, str], Codec] = {}
 
     @classmethod
-    def get(cls, ranks, pattern: str) -> Codec:
-        key = hash((pattern, len(ranks.value), id(ranks.value)))
+    def get(cls, ranks, digest: str, pattern: str) -> Codec:
+        """``digest`` knows the vocabulary; an address could be used again."""
+        key = digest, pattern
         if key not in cls.codecs:
             cls.codecs.clear()
             cls.codecs[key] = Codec(dict(ranks.value), pattern)
@@ -239,10 +240,12 @@ def _udf(spark, path: str | None, pattern: str | None, kind: str):
     the file, whatever the data."""
     default = default_tokenizer() if path is None or pattern is None else (None, None)
     pattern = pattern or default[1]
-    ranks = spark.sparkContext.broadcast(list(read_ranks(path or default[0]).items()))
+    table_ = list(read_ranks(path or default[0]).items())
+    known = hashlib.sha256(repr(table_).encode()).hexdigest()
+    ranks = spark.sparkContext.broadcast(table_)
 
     def codec() -> Codec:
-        return _Shared.get(ranks, pattern)
+        return _Shared.get(ranks, known, pattern)
 
     if kind in ("digest", "all"):
         out = OUT if kind == "digest" else ALL

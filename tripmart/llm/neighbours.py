@@ -157,16 +157,26 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL
     """(query_id, rank, vec_id, score): the k nearest found of each query row.
 
     ``rows``: vec_id and embedding.  Null ids, and vectors that are null, empty,
-    zero, hold null or non-finite components, or differ in length from most
-    others, take no part.  Repeated vectors are indexed once and all returned in
+    zero or hold null or non-finite components take no part; vectors of another
+    length have no cosine with a query, so each length is a search of its own.  Repeated vectors are indexed once and all returned in
     id order; ties go to the smaller id; an empty table gives no rows."""
-    spark = rows.sparkSession
     rows = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), is_query.alias("__q"))
     rows = rows.filter(F.col("vec_id").isNotNull() & _usable(F.col("vector")))
-    size = (rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect())
-    d = size[0]["d"] if size else 1
+    sizes = [r["d"] for r in rows.filter("__q").select(F.size("vector").alias("d")).distinct().orderBy("d").collect()]
+    found = [_search_size(rows.filter(F.size("vector") == d), d, k, recall) for d in sizes]
+    if not found:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _search_size(rows: DataFrame, d: int, k: int, recall: float) -> DataFrame:
+    """``search`` among vectors of length ``d``."""
+    spark = rows.sparkSession
     flat = F.transform("vector", lambda x: x + 0.0)  # one zero, whatever its sign
-    rows = rows.filter(F.size("vector") == d).withColumns({"h1": F.xxhash64(flat, F.lit(1)), "h2": F.xxhash64(flat, F.lit(2))})
+    rows = rows.withColumns({"h1": F.xxhash64(flat, F.lit(1)), "h2": F.xxhash64(flat, F.lit(2))})
     vectors = materialize(_distinct(rows.select("vec_id", "vector", "h1", "h2"), k), "ann-vectors")
     total = vectors.count()
     asked = rows.filter("__q").select(F.col("vec_id").alias("query_id"), "h1", "h2")

@@ -42,6 +42,38 @@ GENERALISE, REMOVE = 0.7, 0.9
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
+CHUNK = 256  # elements folded together
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: named in a lambda, not repeated."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _fold(items: Column, state: Column, kind: str, step) -> Column:
+    """struct(state, out) after all ``items``: ``step(state, item)`` gives the next state
+    and an array to append.
+
+    An array that grows by one element per step is copied each time; folded chunk
+    by chunk, many thousand elements cost little."""
+    nothing = F.array().cast(f"array<{kind}>")
+
+    def chunks(found: Column) -> Column:
+        def one(acc: Column, k: Column) -> Column:
+            def grow(a: Column, item: Column) -> Column:
+                after, more = step(a["state"], item)
+                return F.struct(after.alias("state"), F.concat(a["out"], more).alias("out"))
+
+            some = F.aggregate(F.slice(found, k * CHUNK + 1, CHUNK), F.struct(acc["state"].alias("state"), nothing.alias("out")), grow)
+            return _bound(some, lambda x: F.struct(x["state"].alias("state"), F.concat(acc["out"], x["out"]).alias("out")))
+
+        # the last number may be of an empty chunk
+        return F.aggregate(F.sequence(F.lit(0), F.floor(F.size(found) / CHUNK).cast("int")),
+                           F.struct(state.alias("state"), nothing.alias("out")), one)
+
+    return _bound(items, chunks)
+
+
 def _matches(text: Column, pattern: str, kind: str) -> Column:
     """array<SPAN> of all matches, leftmost and non-overlapping, with code point
     offsets: the lengths of what lies between the matches and of the matches."""
@@ -50,14 +82,12 @@ def _matches(text: Column, pattern: str, kind: str) -> Column:
     # Paired first: an expression inside a lambda would be computed per element.
     pairs = F.filter(F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.char_length(g).alias("gap"))), lambda p: p["m"].isNotNull())
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + p["gap"]
+    def step(at: Column, p: Column) -> tuple[Column, Column]:
+        start = at + p["gap"]
         end = start + F.char_length(p["m"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), p["m"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+        return end, F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), p["m"].alias("value")))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(pairs, empty, step, lambda acc: acc["out"])
+    return _fold(pairs, F.lit(0), SPAN, step)["out"]
 
 
 def _digits(value: Column) -> Column:
@@ -114,24 +144,68 @@ def _digest(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
-def _near(found: DataFrame) -> DataFrame:
-    """(key, entity, around, term, start, end): terms within NEAR of each entity.
+BLOCK, LONG = 4096, 512  # code points of a block of text; longer spans are looked at in the whole text
+MARGIN = LONG + NEAR + 2
+
+
+def _blocks(text: Column) -> Column:
+    """The text in pieces of ``BLOCK`` code points, in one pass."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+
 
-    ``found``: key, text and base spans.  Words cut by the edge of the
-    surroundings, and words of base spans, are not terms."""
-    one = found.select("key", "text", "spans", F.explode("spans").alias("s"))
+def _part(blocks: Column, start: Column, end: Column) -> Column:
+    """The text between two places, from the blocks it lies in: no count from the
+    text's beginning."""
+    i, j = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    within = lambda n: F.coalesce(F.get(blocks, n), F.lit(""))
+    one = F.substring(within(i), start % BLOCK + 1, end - start)
+    many = F.concat(F.substring(within(i), start % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+                    F.substring(within(j), F.lit(1), end % BLOCK))
+    return F.when(i == j, one).otherwise(many)
+
+
+def _near(found: DataFrame) -> DataFrame:
+    """(key, entity, around, term, start, end, copies): terms within NEAR of each entity.
+
+    ``found``: key, text and base spans of each text once, and its copies.  Words cut by the edge of the
+    surroundings, and words of base spans, are not terms.  A text is cut into blocks
+    with margins first, so that a span meets the text and the spans around it, not
+    all of them; only spans of more than ``LONG`` code points take the whole text
+    along."""
+    short = F.filter("spans", lambda s: s["end"] - s["start"] <= LONG)
+    blocks = found.filter(F.size(short) > 0).select("key", "copies", _blocks(F.col("text")).alias("blocks"))
+    with_margins = _bound(F.col("blocks"), lambda b: F.transform(b, lambda x, k: F.struct(
+        k.alias("k"), F.when(k > 0, F.substring(F.get(b, k - 1), F.lit(BLOCK - MARGIN + 1), F.lit(MARGIN))).otherwise("").alias("before"), x.alias("x"),
+        F.coalesce(F.substring(F.get(b, k + 1), 1, MARGIN), F.lit("")).alias("after"))))
+    blocks = blocks.select("key", "copies", F.explode(with_margins).alias("b")).select(
+        "key", "copies", "b.k", (F.col("b.k") * BLOCK - F.char_length("b.before")).alias("off"), F.concat("b.before", "b.x", "b.after").alias("text"))
+    # Each block's own spans and those that reach into what is around them.
+    each = found.select("key", F.explode("spans").alias("s"))
+    first = F.greatest(F.floor((F.col("s.start") - 2 * MARGIN) / BLOCK), F.lit(0))
+    each = each.select("key", "s", F.explode(F.sequence(first.cast("int"), F.floor((F.col("s.end") + 2 * MARGIN) / BLOCK).cast("int"))).alias("k"))
+    held = each.groupBy("key", "k").agg(F.collect_list("s").alias("spans"))  # of at most BLOCK + 4 * MARGIN places
+    own = F.filter("spans", lambda s: (F.floor(s["start"] / BLOCK) == F.col("k")) & (s["end"] - s["start"] <= LONG))
+    local = blocks.join(held, ["key", "k"]).withColumn("own", own)
+    whole = found.withColumn("own", F.filter("spans", lambda s: s["end"] - s["start"] > LONG)).withColumn("off", F.lit(0))
+    columns = ["key", "copies", "text", "off", "spans", "own"]
+    return _terms(local.select(*columns)).unionByName(_terms(whole.select(*columns)))
+
+
+def _terms(found: DataFrame) -> DataFrame:
+    """Terms near the ``own`` spans of texts that begin ``off`` places into the whole."""
+    one = found.select("key", "copies", "text", "off", "spans", F.explode("own").alias("s"))
     left_from = F.greatest(F.col("s.start") - NEAR, F.lit(0))
-    one = one.select("key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
+    one = one.select("key", "copies", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
                      F.filter("spans", lambda x: (x["end"] > F.col("s.start") - NEAR) & (x["start"] < F.col("s.end") + NEAR)).alias("spans"),
                      F.col("s.start").alias("from"), F.col("s.end").alias("to"), left_from.alias("lo"),
-                     F.substring("text", left_from + 1, F.col("s.end") - left_from + NEAR + 1).alias("around"))
+                     F.substring(F.col("text"), left_from - F.col("off") + 1, F.col("s.end") - left_from + NEAR + 1).alias("around"))
     terms = _matches(F.col("around"), TERM, "term")
     one = one.withColumn("t", F.explode(terms)).select(
-        "key", "entity", "spans", F.xxhash64("around").alias("around"), F.lower("t.value").alias("term"),
+        "key", "copies", "entity", "spans", F.xxhash64("around").alias("around"), F.lower("t.value").alias("term"),
         (F.col("lo") + F.col("t.start")).alias("start"), (F.col("lo") + F.col("t.end")).alias("end"),
         ((F.col("t.start") > 0) | (F.col("lo") == 0)).alias("whole"), (F.col("to") + NEAR).alias("edge"))
     apart = ~F.exists("spans", lambda x: (x["start"] < F.col("end")) & (F.col("start") < x["end"]))
-    return one.filter(F.col("whole") & (F.col("end") <= F.col("edge")) & apart).select("key", "entity", "around", "term", "start", "end")
+    return one.filter(F.col("whole") & (F.col("end") <= F.col("edge")) & apart).select("key", "entity", "around", "term", "start", "end", "copies")
 
 
 def disclosures(docs: DataFrame, near: DataFrame, together: int = MIN_TOGETHER, least: float = GENERALISE) -> DataFrame:
@@ -144,7 +218,7 @@ def disclosures(docs: DataFrame, near: DataFrame, together: int = MIN_TOGETHER,
     (the likelihood of the term's share of occurrences near it, against the
     entity's share of the corpus).  Pairs are as many as words near entities, and
     are summed before they are shuffled."""
-    met = (near.groupBy("entity", "term", "key", "around").agg(F.count("*").alias("n"))
+    met = (near.groupBy("entity", "term", "key", "around").agg(F.sum("copies").alias("n"))
            .groupBy("entity", "term", "key").agg(F.sum("n").alias("n"), F.bit_xor("around").alias("around")))  # of a set, in any order
     often = met.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count_distinct("around").alias("around"))
     often = materialize(often, "pii-pairs")
@@ -172,12 +246,15 @@ def find(docs: DataFrame, together: int = MIN_TOGETHER, least: float = GENERALIS
     its text (null if none) with the greatest share disclosed.
 
     A null text is empty; repeated rows and copies get equal spans; empty texts
-    and an empty table give no span."""
+    and an empty table give no span.  Whole texts count, however long, and spans cost
+    time in proportion to their number.  Columns of ``docs`` other than doc_id and
+    text do not matter, whatever their names."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns({"key": _digest(F.col("text")), "base": base_spans(F.col("text"))})
     # One pass of patterns; only texts with base spans are kept, for their surroundings.
     narrow = materialize(rows.select("doc_id", "key", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-base")
-    texts = narrow.filter(F.col("text").isNotNull()).select("key", "text", F.col("base").alias("spans"))
+    texts = (narrow.filter(F.col("text").isNotNull()).groupBy("key")
+             .agg(F.first("text").alias("text"), F.first("base").alias("spans"), F.count("*").alias("copies")))
     near = materialize(_near(texts), "pii-near")
     shown = materialize(disclosures(rows, near, together, least), "pii-shown")
     terms = (near.select("key", "entity", "term", "start", "end").join(shown, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("share").alias("share"))
@@ -189,22 +266,26 @@ def find(docs: DataFrame, together: int = MIN_TOGETHER, least: float = GENERALIS
 def _replaced(text: Column, spans: Column) -> Column:
     """The text with its spans (struct<start,end,put>) put in, the outer one of
     overlapping spans first."""
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        apart = (F.size(acc) == 0) | (s["start"] >= last["end"])
+    kind = "struct<start:int,end:int,put:string>"
+    none = F.lit(None).cast(kind)
+
+    def merge(last: Column, s: Column) -> tuple[Column, Column]:
+        apart = last.isNull() | (s["start"] >= last["end"])
         wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["put"].alias("put"))
-        return F.when(apart, F.array_append(acc, s)).otherwise(F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), wider))
+        return F.when(apart, s).otherwise(wider), F.when(apart & last.isNotNull(), F.array(last)).otherwise(F.array().cast(f"array<{kind}>"))
+
+    merged = _fold(F.array_sort(spans.cast(f"array<{kind}>")), none, kind, merge)
+    merged = _bound(merged, lambda m: F.concat(m["out"], F.array(m["state"])))
 
-    kind = "array<struct<start:int,end:int,put:string>>"
-    merged = F.aggregate(F.array_sort(spans.cast(kind)), F.array().cast(kind), merge)
-    # Each span with the text before it, and at last the text after all.
-    def put(acc: Column, s: Column) -> Column:
-        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(s["end"].alias("at"), F.array_append(F.array_append(acc["out"], before), s["put"]).alias("out"))
+    # What stays lies between the spans.
+    def pieces(blocks: Column, m: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(m, lambda s: s["end"]))
+        starts = F.concat(F.transform(m, lambda s: s["start"]), F.array(F.char_length(text)))
+        return F.zip_with(F.zip_with(ends, starts, lambda a, z: _part(blocks, a, z)), F.transform(m, lambda s: s["put"]),
+                          lambda kept, put: F.concat(kept, F.coalesce(put, F.lit(""))))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(merged, empty, put, lambda acc: F.array_join(
-        F.array_append(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))), "")))
+    out = _bound(_blocks(text), lambda b: F.array_join(_bound(merged, lambda m: pieces(b, m)), ""))
+    return F.when(F.size(spans) == 0, text).otherwise(out)
 
 
 def sanitise(docs: DataFrame, together: int = MIN_TOGETHER, least: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
@@ -217,17 +298,18 @@ def sanitise(docs: DataFrame, together: int = MIN_TOGETHER, least: float = GENER
     safe, own = shield(docs, "doc_id", "text", "n_chars")
     terms = find(safe, together, least).filter("terms IS NOT NULL").select("key", "terms").dropDuplicates(["key"])
     terms = materialize(terms, "pii-found")
-    rows = safe.withColumn("__key", _digest(F.col("text")))
-    rows = rows.join(terms.withColumnRenamed("key", "__key"), "__key", "left")
-    base = F.transform(base_spans(F.col("text")), lambda s: F.struct(
+    # Only texts with base spans can hold any: the others stay where they are.
+    rows = safe.withColumn("base", base_spans(F.col("text")))
+    plain, marked = rows.filter(F.size("base") == 0), rows.filter(F.size("base") > 0)
+    marked = marked.withColumn("__key", _digest(F.col("text"))).join(terms.withColumnRenamed("key", "__key"), "__key", "left")
+    base = F.transform("base", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
     more = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,share:double>>")), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= remove, "").otherwise("[TERM]").alias("put")))
-    rows = rows.withColumn("__spans", F.concat(base, more))
-    rows = rows.withColumn("__new", F.when(F.col("text").isNotNull(), _replaced(F.col("text"), F.col("__spans"))))
+    marked = marked.withColumn("__new", _replaced(F.col("text"), F.concat(base, more)))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("n_chars") == F.char_length("text"), F.char_length("__new").cast("long")).otherwise(F.col("n_chars")))
-    return rows.withColumn("text", F.col("__new")).select(*own)
+        marked = marked.withColumn("n_chars", F.when(F.col("n_chars") == F.char_length("text"), F.char_length("__new").cast("long")).otherwise(F.col("n_chars")))
+    return plain.select(*own).unionByName(marked.withColumn("text", F.col("__new")).select(*own))
 
 
 def query(spark, sf_dir):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripmart.llm.common import materialize, table, without
+from tripmart.llm.common import materialize, shield, table, without
 
 ROUNDS = 6
 #: Walks tried inside one expression; the bound is proven for n < 256 (a walk is
@@ -77,12 +77,12 @@ def shard(df: DataFrame, keys: list[str], shards: int, seed: int = 20_250_101) -
 
     Counts differ by one at most.  Nulls in ``keys`` are ordinary values;
     repeated rows get slots of their own; an empty table stays empty; extra
-    columns named like an output are replaced."""
+    columns stay, whatever their names, but those named like an output are replaced."""
     n = df.count()
-    df = without(df, "row_number", "shard", "slot")
-    df = permute(number_rows(df, keys, "row_number", n), "row_number", n, seed, "__to")
-    return df.withColumns({"shard": F.pmod("__to", F.lit(shards)).cast("int"),
-                           "slot": F.expr(f"__to div {shards}L")}).drop("__to")
+    safe, own = shield(without(df, "row_number", "shard", "slot"), *keys)
+    safe = permute(number_rows(safe, keys, "row_number", n), "row_number", n, seed, "__to")
+    return safe.select(*own, "row_number", F.pmod("__to", F.lit(shards)).cast("int").alias("shard"),
+                       F.expr(f"__to div {shards}L").alias("slot"))
 
 
 def write_shards(df: DataFrame, keys: list[str], shards: int, path: str, seed: int = 20_250_101) -> None:

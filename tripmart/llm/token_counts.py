@@ -9,6 +9,7 @@ of tokens on their best path; a document's count is the sum over its pre-tokens.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable, Iterator
 from os.path import commonprefix
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.common import table, without
+from tripmart.llm.common import shield, table, without
 
 MARK = "▁"  # begins a word in the vocabulary
 #: Pre-tokens kept counted in a worker between batches, and scored in one trie.
@@ -161,28 +162,31 @@ class Model:
 
 class _Shared:
     """One model per Python worker."""
-    models: dict[int, Model] = {}
+    models: dict[str, Model] = {}
 
     @classmethod
-    def get(cls, scores) -> Model:
-        if id(scores.value) not in cls.models:
+    def get(cls, scores, digest: str) -> Model:
+        """``digest`` knows the vocabulary; an address could be used again."""
+        if digest not in cls.models:
             cls.models.clear()
-            cls.models[id(scores.value)] = Model(dict(scores.value))
-        return cls.models[id(scores.value)]
+            cls.models[digest] = Model(dict(scores.value))
+        return cls.models[digest]
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Every row with n_tokens and n_pretokens of its whole text.
 
-    Rows stay in their partitions; a null or empty text counts 0; repeated rows
+    Rows stay in their partitions; whole texts count, however long; a null or empty text counts 0; repeated rows
     count alike; an empty table stays empty; extra columns stay, but those named
     like an output are replaced.  The vocabulary is read by the driver and
     broadcast; its size is that of the file."""
-    scores = docs.sparkSession.sparkContext.broadcast(list(piece_scores(read_ranks(path or default_path())).items()))
+    pieces = list(piece_scores(read_ranks(path or default_path())).items())
+    digest = hashlib.sha256(repr(pieces).encode()).hexdigest()
+    scores = docs.sparkSession.sparkContext.broadcast(pieces)
 
     @F.pandas_udf(OUT)
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = _Shared.get(scores)
+        model = _Shared.get(scores, digest)
         for part in texts:
             values, rows, chars = part.tolist(), [], 0
             chunk: list = []
@@ -195,8 +199,8 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
             rows += model.count(chunk)
             yield pd.DataFrame(rows, columns=OUT.names)
 
-    docs = without(docs, *OUT.names)
-    return docs.withColumn("__c", counted("text")).select(*[F.col(f"`{c}`") for c in docs.columns], "__c.*")
+    safe, own = shield(without(docs, *OUT.names), "text")
+    return safe.withColumn("__c", counted("text")).select(*own, "__c.*")
 
 
 def query(spark, sf_dir):
