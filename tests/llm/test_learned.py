@@ -487,14 +487,15 @@ def test_common_shingles_past_the_broadcast_bound(spark, docs_of, words, monkeyp
 
 def test_weighted_similarity_of_a_bucket():
     """Packed sets with weights give the weighted Jaccard similarity by hand."""
-    import pandas as pd
+    import pyarrow as pa
 
     rng = np.random.default_rng(9)
     pool = np.sort(rng.integers(1, 1 << 63, 400, dtype=np.uint64))
     texts = [np.sort(rng.choice(pool, n, replace=False)) for n in (200, 210, 3, 1)]
     weight = [rng.choice([0.5, 1.0, 2.0], len(t)) for t in texts]
-    rows = pd.DataFrame({"key": [bytes([i]) for i in range(4)], "s": [neardup._pack(t) for t in texts], "w": weight, "sketch": [bytes(512)] * 4})
-    bucket = neardup._Bucket(rows, np.zeros((4, 16), np.int64))
+    rows = pa.table({"key": [bytes([i]) for i in range(4)], "s": [neardup._pack(t) for t in texts], "w": [x.tolist() for x in weight],
+                     "sketch": [bytes(512)] * 4, "bands": [[0] * 16] * 4})
+    bucket = neardup._Bucket(rows)
     got = bucket.similarities(0, np.array([1, 2, 3]))
     for k, j in enumerate((1, 2, 3)):
         a, b = dict(zip(texts[0].tolist(), weight[0])), dict(zip(texts[j].tolist(), weight[j]))
