@@ -11,6 +11,9 @@ from tripmart.session import staging_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -19,10 +22,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
     Cuts lineage in a way that survives the loss of any executor, and gives
-    the optimizer the true size of small results."""
+    the optimizer the true size of small results.  Rows of whole texts reach Python
+    workers in batches of ``BATCH_ROWS``, so that a worker stays small."""
     spark = df.sparkSession
     path = staging_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
