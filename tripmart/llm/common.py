@@ -14,6 +14,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For what this session runs from now on: at most ``BATCH_ROWS`` rows at once to
+    a Python worker, whose memory is then a few texts' and not ten thousand texts'."""
+    now = int(spark.conf.get(BATCH_CONF))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
