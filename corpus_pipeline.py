@@ -4,6 +4,11 @@ source mixing, byte-level BPE.
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir),
 docs being what the stage before kept, and returns a DataFrame.  All but the last
 return the columns of ``documents``.
+
+Null ids, texts and sources, empty and very long texts, ties, repeated rows, empty
+tables and extra columns of any name have the results that the operators state:
+``quality.keep``, ``neardup.keep_one``, ``privacy.sanitise``, ``mixing.mix`` and
+``bpe.tokenised``.
 """
 
 from __future__ import annotations
@@ -11,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import bpe, mixing, neardup, privacy, quality
-from tripmart.llm.common import materialize, table
+from tripmart.llm.common import materialize, small_batches, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base limits or the learned decision list reject go.
 
     The list is learned from the labels of the documents that came in."""
+    small_batches(spark)
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row: doc_id, source, token ids, their number, and digests of the ids
     and of the decoded bytes."""
+    small_batches(spark)
     return bpe.tokenised(docs.select("doc_id", "source", "text")).drop("text")
 
 
