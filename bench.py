@@ -50,6 +50,8 @@ def one_pass(spark, sf_dir, work):
     fact = spark.read.parquet(layout.fact)
     _timed(res, "four_marts", lambda: pipeline.write_marts(spark, layout, fact))
 
+    # the full load above is what a first build does: nothing is pending after it
+    pipeline.clear_pending(spark, layout, pipeline.pending_records(spark, layout))
     models = [quality.STG_TRIPS, quality.STG_ZONES, quality.DIM, quality.FACT, *marts.MARTS]
 
     def dq():

@@ -226,13 +226,13 @@ def _open_pending(spark: SparkSession, layout: Layout, run: str, partition: dict
 
 def _close_pending(spark: SparkSession, layout: Layout, run: str, partition: dict, months) -> None:
     """After it: what earlier, dead ingests of the partition left open is closed too."""
-    left = [p for p in _pending(spark, layout) if p[1] == "open" and p[2:4] == (partition["trip_year"], partition["trip_month"])]
+    left = [p for p in pending_records(spark, layout) if p[1] == "open" and p[2:4] == (partition["trip_year"], partition["trip_month"])]
     _write_pending(spark, layout, run, "closed", partition, set(months) | {p[4:6] for p in left})
     for dead in {p[0] for p in left}:
         fs.delete(spark, _pending_folder(layout, dead, "open"))
 
 
-def _pending(spark: SparkSession, layout: Layout) -> list[tuple]:
+def pending_records(spark: SparkSession, layout: Layout) -> list[tuple]:
     """(run, stage, trip_year, trip_month, pickup_year, pickup_month) of every record."""
     if not fs.has_data(spark, layout.pending_months):
         return []
@@ -242,10 +242,10 @@ def _pending(spark: SparkSession, layout: Layout) -> list[tuple]:
 
 def pending_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
     """Changed months that no build has finished with."""
-    return {p[4:6] for p in _pending(spark, layout)}
+    return {p[4:6] for p in pending_records(spark, layout)}
 
 
-def _clear_pending(spark: SparkSession, layout: Layout, rebuilt: list[tuple]) -> None:
+def clear_pending(spark: SparkSession, layout: Layout, rebuilt: list[tuple]) -> None:
     """Drop the records that a build read at its start, and no others: an ingest that
     came in between stays pending."""
     for run in sorted({p[0] for p in rebuilt if p[1] == "closed"}):
@@ -439,7 +439,7 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
                              seed_dir)
     first_run = not fs.has_data(spark, layout.fact)
     whole = full_refresh or first_run
-    pending = _pending(spark, layout)
+    pending = pending_records(spark, layout)
     months = sorted((indexed_months(spark, layout) if months is None else set(months)) | {p[4:6] for p in pending})
     raw_parts = None if whole or mode != inc.SAFE else raw_partitions_for(spark, layout, months)
     raw = raw_trips_table(spark, layout, raw_parts)
@@ -513,7 +513,7 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
     for s in staged.values():
         s.publish(spark)
     if whole or mode == inc.SAFE:
-        _clear_pending(spark, layout, pending)
+        clear_pending(spark, layout, pending)
     return rows
 
 
