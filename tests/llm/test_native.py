@@ -159,6 +159,36 @@ def test_mix(spark, docs_of, words):
     assert mixed.count() == sum(x.copies for x in out) and mixed.filter("q <> 'mine'").count() == 0
 
 
+def test_mix_inclusion_follows_the_odds(spark, docs_of):
+    """Realised inclusion by length against p as the docstring gives it."""
+    kinds, each = (2, 10, 60), 6000  # a rate below has a standard deviation of about 0.006
+    rows = [(i, "w " * kinds[i % 3], s) for i in range(3 * each) for s in "abc"]
+    rows = [(n, t, s) for n, (_, t, s) in enumerate(rows)]
+    mean = sum(kinds) / 3
+    level = {k: 64 * k // (k + mean) for k in kinds}
+    centre = sum(level[k] * k for k in kinds) / sum(kinds)
+    seen = defaultdict(list)
+    for seed in ("one", "two"):
+        for x in mixing.take(docs_of(rows, extra=False), seed=seed).select("source", "size", "copies").collect():
+            seen[x.source, x.size].append(x.copies)
+    assert {c for k in kinds for c in seen["a", k]} == {2}  # at its stop
+    for source, due in (("b", 2.5 / 3), ("c", 5 / 3)):
+        f = due % 1
+        for k in kinds:
+            got = sum(seen[source, k]) / len(seen[source, k]) - due // 1
+            assert abs(got - (f + 0.5 * min(f, 1 - f) * (level[k] - centre) / 64)) < 0.025, (source, k)
+
+
+def test_mix_very_long_text(spark, docs_of):
+    rows = [(i, "w " * 5, "a") for i in range(200)] + [(500, "w " * 200_000, "a"), (501, "w " * 300, "b")]
+    out = {x.doc_id: x for x in mixing.take(docs_of(rows)).collect()}
+    assert out[500].size == 200_000 and out[500].taken in (0, 200_000, 400_000)
+    for s in "ab":
+        target = next(x.target for x in out.values() if x.source == s)
+        missed = sum(x.taken for x in out.values() if x.source == s) - target
+        assert abs(missed) <= 200_000 * (s == "a") + 300
+
+
 def test_mix_empty(spark, docs_of):
     assert mixing.take(docs_of([])).collect() == []
 

@@ -1,11 +1,14 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source has a word target.  A document of a source is due ``target /
-source size`` copies: the whole part is certain, the fraction is its inclusion
-probability p.  Documents are ranked by their random odds over their inclusion
-odds, q = (u / (1 - u)) / (p / (1 - p)) with u from a hash of the document, and
-the first of each source are taken once more as long as the words still missing
-allow.  A second pass down the order fills up with documents that still fit, and
+source size`` copies on average over the source's words: the whole part is certain for
+every document, the fraction f is shared out as inclusion probabilities p.  They lean
+by length: a document's level grows with size / (size + mean size of its source), and
+p = f + LEAN min(f, 1 - f) (level - mean level by words), so that the words expected
+are exactly those missing and 0 < p < 1.  Documents are ranked by their random odds
+over their inclusion odds, q = (u / (1 - u)) / (p / (1 - p)) with u from a hash of the
+document, and the first of each source are taken once more as long as the words still
+missing allow.  A second pass down the order fills up with documents that still fit, and
 one document whose size fits best ends it.  Nothing is sorted whole: a histogram of
 q finds the one bin per source in which the order matters.
 """
@@ -20,6 +23,9 @@ from tripmart.llm.common import materialize, n_words, shield, table, without
 
 #: Weights of the sources in order, repeating, and the mix's size and copy limit (fixed by the contract).
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
+#: Steps of a document's level, and how far the odds lean to long documents (-1 to 1; 0: all alike).
+LEVELS, LEAN = 64, 0.5
+SURE = 1 - 1e-12  # no p reaches 1 by rounding
 BINS = 65_536
 ROUNDS = 2
 SEED = "mix-1"
@@ -52,18 +58,36 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return per.select("source", "source_size", target.alias("target"))
 
 
-def uniform() -> Column:
+def uniform(seed: str = SEED) -> Column:
     """A number in (0, 1) that follows from doc_id (without one: from the text)."""
     who = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
-    digits = F.substring(F.md5(F.concat(F.lit(SEED + ":"), who).cast("binary")), 1, 12)
+    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), who).cast("binary")), 1, 12)
     return (F.conv(digits, 16, 10).cast("long") + 0.5) / float(1 << 48)
 
 
+def _level() -> Column:
+    """0 to LEVELS - 1: how long a document is beside the ``mean`` of its source."""
+    return F.when(F.col("size") > 0, F.floor(LEVELS * F.col("size") / (F.col("size") + F.col("mean")))).otherwise(0).cast("long")
+
+
+def leaning(docs: DataFrame, goals: DataFrame) -> DataFrame:
+    """``goals`` with the ``mean`` size of each source and its mean level by words, ``centre``."""
+    means = docs.groupBy("source").agg((F.sum("size") / F.count("*")).alias("mean"))
+    goals = _keyed(without(goals, "mean", "centre"), means, "mean")
+    level = (docs.alias("d").join(goals.alias("g"), _same(F.col("d.source"), F.col("g.source")))
+             .select("d.source", "d.size", "g.mean").withColumn("level", _level()))
+    words = level.groupBy("source").agg(F.sum("size").alias("words"), F.sum(F.col("level") * F.col("size")).alias("levels"))
+    centre = F.when(F.col("words") > 0, F.col("levels") / F.col("words")).otherwise(0.0)
+    return _keyed(goals, words.select("source", centre.alias("centre")), "centre")
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
     """Certain copies, words still missing and the Pareto rank of each document."""
     rows = rows.withColumn("due", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     rows = rows.withColumn("certain", F.floor("due"))
-    rows = rows.withColumn("p", F.col("due") - F.col("certain"))
+    f = F.col("due") - F.col("certain")
+    p = F.least(f + LEAN * F.least(f, 1 - f) * ((_level() - F.col("centre")) / LEVELS), F.lit(SURE))
+    rows = rows.withColumn("p", F.when(f > 0, p).otherwise(0.0))
     return rows.withColumns({
         "need": F.col("target") - F.col("certain") * F.col("source_size"),
         "q": F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p"))))})
@@ -77,7 +101,7 @@ def plan(docs: DataFrame, goals: DataFrame) -> DataFrame:
     """Per source: target and, per round, the words missing before it and the
     last Pareto rank (q, doc_id, size) it takes; then one best fitting rank.
 
-    ``docs``: doc_id, source, size, u; ``goals``: from :func:`targets`."""
+    ``docs``: doc_id, source, size, u; ``goals``: from :func:`leaning`."""
     cut = goals
     for k in range(ROUNDS):
         cut = materialize(_round(_joined(docs, cut), cut, k), "mix-cut")
@@ -141,20 +165,21 @@ def _taken(rounds: int = ROUNDS) -> Column:
     return out
 
 
-def take(docs: DataFrame, goals: DataFrame | None = None) -> DataFrame:
+def take(docs: DataFrame, goals: DataFrame | None = None, seed: str = SEED) -> DataFrame:
     """Every row with size, source_size, target, copies and taken (words).
 
     Needs doc_id, source and text.  A null text has size 0 and takes no words;
     null sources are one source, the last; a null doc_id draws by its text;
     repeated rows draw alike, and such ties are all in or all out when they
-    share the last rank; an empty table stays empty; extra columns named like an
+    share the last rank; a very long text is counted whole, one longer than what is
+    missing is passed over in the second pass; an empty table stays empty; extra columns named like an
     output are replaced.  Reruns agree."""
     docs, own = shield(without(docs, "size", "source_size", "target", "copies", "taken"), "doc_id", "source", "text")
-    keys = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform().alias("u"))
+    keys = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform(seed).alias("u"))
     keys = materialize(keys, "mix-sizes")  # the texts are read once for the plan
-    goals = materialize(goals if goals is not None else targets(keys), "mix-targets")
+    goals = materialize(leaning(keys, goals if goals is not None else targets(keys)), "mix-targets")
     cut = materialize(plan(keys, goals), "mix-plan")
-    rows = _joined(docs.withColumns({"size": n_words(F.col("text")), "u": uniform()}), cut)
+    rows = _joined(docs.withColumns({"size": n_words(F.col("text")), "u": uniform(seed)}), cut)
     more = (F.col("p") > 0) & (_taken() | F.coalesce(_rank() == F.col("extra"), F.lit(False)))
     rows = rows.withColumn("copies", F.col("certain") + more.cast("long"))
     return rows.select(*own, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
@@ -197,14 +222,24 @@ t AS (
     (total - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())::DOUBLE)
       / (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ())::DOUBLE * w END AS target
   FROM g),
+e AS (
+  SELECT *, CASE WHEN size > 0 THEN floor({LEVELS} * size::DOUBLE / (size::DOUBLE + (sum(size) OVER (PARTITION BY source))::DOUBLE
+    / (count(*) OVER (PARTITION BY source))::DOUBLE))::BIGINT ELSE 0 END AS level
+  FROM d),
+v AS (
+  SELECT source, CASE WHEN sum(size) > 0 THEN sum(level * size)::DOUBLE / sum(size)::DOUBLE ELSE 0::DOUBLE END AS centre
+  FROM e GROUP BY source),
 r AS (
-  SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target,
+  SELECT e.doc_id, e.size, e.u, e.level, v.centre, t.source, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size::DOUBLE ELSE 0::DOUBLE END AS due
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-q AS (
-  SELECT *, floor(due) AS certain, due - floor(due) AS p,
-    CASE WHEN due > floor(due) THEN (u / (1 - u)) / ((due - floor(due)) / (1 - (due - floor(due)))) END AS q
+  FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source JOIN v ON e.source IS NOT DISTINCT FROM v.source),
+i AS (
+  SELECT *, floor(due) AS certain, CASE WHEN due > floor(due) THEN
+    least((due - floor(due)) + {LEAN}::DOUBLE * least(due - floor(due), 1 - (due - floor(due))) * ((level - centre) / {LEVELS}::DOUBLE),
+      {SURE!r}::DOUBLE) ELSE 0::DOUBLE END AS p
   FROM r),
+q AS (
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM i),
 k AS (
   SELECT *, target - certain * source_size AS need, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY q, doc_id NULLS LAST, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words FROM q),
