@@ -74,6 +74,11 @@ class Codec:
         self.start = np.cumsum(self.length) - self.length
         self.flat = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(size)), np.uint8)
 
+    def forget(self) -> None:
+        """Empty the caches: a worker that waits for its next task holds the vocabulary alone."""
+        for cache in (self.leaves, self.seams, self.after_space):
+            cache.clear()
+
     def merge(self, piece: bytes) -> list[int]:
         """Merge the neighbours of least rank, leftmost first, until none is left."""
         if len(piece) > LONG:
@@ -260,6 +265,7 @@ def _udf(spark, path: str | None, pattern: str | None, kind: str):
                     own = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest())
                     rows.append(own if out is OUT else (ids.astype(np.int32), *own))
                 yield pd.DataFrame(rows, columns=out.names)
+            c.forget()
 
         return digest
     if kind == "encode":
@@ -268,6 +274,7 @@ def _udf(spark, path: str | None, pattern: str | None, kind: str):
             c = codec()
             for part in texts:
                 yield pd.Series([c.encode(t).astype(np.int32) for t in part], dtype=object)
+            c.forget()
 
         return encode
 
