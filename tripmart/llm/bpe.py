@@ -17,7 +17,6 @@ import heapq
 import sys
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,7 +30,7 @@ from tripmart.llm.common import shield, table, without
 LEAF, LONG = 8, 64
 NEVER = 1 << 60
 #: Bounds of a worker's caches: entries, and code points of a text piece kept.
-CACHED, CACHED_CHARS = 400_000, 64
+CACHED, CACHED_CHARS = 120_000, 64
 BLOCK = 4096  # ids decoded at once
 OUT = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                     T.StructField("decoded_sha256", T.StringType())])
@@ -40,21 +39,30 @@ ALL = T.StructType([T.StructField("ids", IDS), *OUT.fields])
 
 
 class Bounded(dict):
-    """A cache that computes what it misses and drops its older half when full."""
+    """A cache of two generations that computes what it misses.
+
+    When the younger one holds half of what may be kept it becomes the older one,
+    whose entries come back when asked for; those nobody asks for go with it."""
 
     def __init__(self, make, most: int = CACHED):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.make(key)
         if len(key) <= CACHED_CHARS:
-            if len(self) >= self.most:
-                for old in list(islice(self, self.most // 2)):
-                    del self[old]
+            if 2 * len(self) >= self.most:
+                self.older = dict(self)
+                super().clear()
             self[key] = value
         return value
 
+    def clear(self) -> None:
+        self.older = {}
+        super().clear()
+
 
 class Codec:
     """Encoder and decoder for one rank table."""
