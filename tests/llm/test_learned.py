@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,31 @@ def test_names_do_not_drop_the_article(page):
     assert html_text.main_text(page) == NAMED[page]
 
 
+UNNAMED = {
+    f"<body><div><h1>Head</h1><p><b>{STORY}</b></p></div></body>": f"Head {STORY}",
+    f"<body><div><h1>Head</h1><div><p>{STORY}</p><p>End.</p></div></div></body>": f"Head {STORY} End.",
+    f"<body><div><a>x</a></div><h1>Head</h1><p>{STORY}</p><ul><li>one</ul><div><a>y</a></div></body>": f"Head {STORY} one",
+    f"<table><tr><td><a>x</a></td><td><p>{STORY}</p><p>End.</p></td></tr></table>": f"{STORY} End.",
+}
+
+
+@pytest.mark.parametrize("page", UNNAMED)
+def test_ratios_find_an_unnamed_article(page):
+    assert html_text.main_text(page) == UNNAMED[page]
+
+
+def test_many_divisions_take_linear_time():
+    page = f"<body><p>{STORY}</p>" + "<div><a>x</a></div>" * 30000
+    assert html_text.main_text(page) == STORY
+
+
+def test_ratios_find_the_article_without_its_tag():
+    rows = pd.read_parquet(f"{SF.replace('sf0.001', 'sf0.01')}/pages.parquet").html
+    renamed = rows.str.replace(r"<(/?)article\b", r"<\1div", regex=True)
+    same = [html_text.main_text(a) == html_text.main_text(b) for a, b in zip(rows, renamed)]
+    assert "<article" not in "".join(renamed) and np.mean(same) >= 0.98
+
+
 def test_pages_of_the_tables(spark):
     from html import unescape
 

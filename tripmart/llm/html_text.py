@@ -6,6 +6,9 @@ over number of texts and punctuation are aggregated, smoothed in page order and
 fused; paths at or above a threshold are content.  The article is the deepest
 element that holds the content: all blocks below it are kept, except those of
 elements that are never article text (menus, forms, notices, comments, ...).
+Where no element is named an article, it is the deepest one around the content
+that is no text block itself, or the one around with the heading; if that is the
+page, its divisions without a content path are surroundings.
 Elements left out by their names alone stay if they hold the article.
 """
 
@@ -55,6 +58,11 @@ ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))
 FRAMES = frozenset("area bar block bottom box buttons col column container content group holder icons inner item items left links "
                    "list outer panel right row section slot top unit wrap wrapper".split())
 STATES = frozenset("has have no not with without is show hide open closed".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks of running text: an article is around them, not one of them.
+TEXTUAL = HEADINGS | frozenset("p pre blockquote".split())
+#: Elements of the whole page (the empty tag stands above all); its parts that may be surroundings.
+PAGE, DIVISIONS = frozenset(("", "html", "body")), frozenset("div section table".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？¿¡]")
 WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
@@ -101,7 +109,7 @@ class Page:
 
     def __init__(self, html: str):
         self.texts: list[tuple[int, int, int, str]] = []  # block, element, path, text
-        self.parent, self.depth, self.path = [0], [0], [0]
+        self.parent, self.depth, self.path, self.tag = [0], [0], [0], [""]
         self.article = [0]  # outermost article element around (0: none)
         self.aside = [0]  # innermost element around that its name leaves out (0: none)
         self.paths: dict[tuple[int, str], int] = {}
@@ -109,8 +117,9 @@ class Page:
         if any(self.aside):
             self._settle()
 
-    def _open(self, above: int, label: str, main: bool, aside: bool) -> int:
+    def _open(self, above: int, tag: str, label: str, main: bool, aside: bool) -> int:
         e = len(self.parent)
+        self.tag.append(tag)
         self.parent.append(above)
         self.depth.append(self.depth[above] + 1)
         self.path.append(self.paths.setdefault((self.path[above], label), len(self.paths) + 1))
@@ -205,7 +214,7 @@ class Page:
             if m["attrs"].rstrip().endswith("/") and tag not in RAW:
                 continue
             main = not out and not aside and (tag in ARTICLE or "main" in words or "article" in words)
-            stack.append((tag, self._open(stack[-1][1] if stack else 0, f"{tag}.{cls}" if cls else tag, main, aside), out))
+            stack.append((tag, self._open(stack[-1][1] if stack else 0, tag, f"{tag}.{cls}" if cls else tag, main, aside), out))
             dropped += out
             if tag in RAW:
                 stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
@@ -225,9 +234,32 @@ class Page:
                     e = self.parent[e]
         return max(out, 0)
 
-    def below(self, root: int, elements: set[int]) -> set[int]:
-        """Those of ``elements`` inside ``root``; each element on the way is asked once."""
-        known = {root: True, 0: root == 0}
+    def container(self, inside: set[int]) -> int:
+        """The unnamed article around the elements of the content."""
+        e = self.common(inside)
+        while self.tag[e] in INLINE or self.tag[e] in TEXTUAL:
+            e = self.parent[e]
+        heads = {h for h, t in enumerate(self.tag) if t in HEADINGS}
+        above = self.parent[e]
+        if (self.tag[e] not in PAGE and self.tag[above] not in PAGE and not self.below({e}, heads)
+                and any(self.parent[h] == above and h < e for h in heads)):
+            return above
+        return e
+
+    def surroundings(self, root: int, inside: set[int]) -> set[int]:
+        """Divisions right below the page that hold no content; none below another root."""
+        if self.tag[root] not in PAGE:
+            return set()
+        holds = {0}
+        for e in inside:
+            while e not in holds:
+                holds.add(e)
+                e = self.parent[e]
+        return {e for e, t in enumerate(self.tag) if t in DIVISIONS and self.tag[self.parent[e]] in PAGE and e not in holds}
+
+    def below(self, roots: set[int], elements: set[int]) -> set[int]:
+        """Those of ``elements`` inside one of ``roots``; each element on the way is asked once."""
+        known = {0: False} | dict.fromkeys(roots, True)
         for e in elements:
             way = []
             while e not in known:
@@ -272,7 +304,8 @@ def main_text(html: str | None) -> str:
     # A page may name its article: content outside it is surroundings.
     roots = {page.article[e] for e in inside} - {0} or {page.article[e] for _, e, _, t in texts if t.strip()} - {0}
     if not roots:
-        below = page.below(page.common(inside), {e for _, e, _, _ in texts})
+        root, every = page.container(inside), {e for _, e, _, _ in texts}
+        below = page.below({root}, every) - page.below(page.surroundings(root, inside), every)
     blocks: dict[int, list[str]] = {}
     for block, e, _, t in texts:
         if page.article[e] in roots if roots else e in below:
