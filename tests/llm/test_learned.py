@@ -283,6 +283,62 @@ def test_common_shingles_weigh_less(spark, docs_of, words):
     assert common["idf"] == pytest.approx([math.log(1 + 2) / math.log(1 + 3)] * 4)
 
 
+def weighted_classes(rows, least=0.8, rare=64):
+    """Classes by TF-IDF weighted Jaccard over all pairs."""
+    counts = []
+    for _, t, _ in rows:
+        w = t.lower().split()
+        counts.append(Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)))
+    df = Counter(x for c in counts for x in c)
+    idf = {x: math.log(1 + len(rows) / max(n, len(rows) / rare)) for x, n in df.items()}
+    weights = [{x: (1 + math.log(n)) * idf[x] for x, n in c.items()} for c in counts]
+    root = list(range(len(rows)))
+    for i, a in enumerate(weights):
+        for j in range(i):
+            both = sum(min(v, weights[j][x]) for x, v in a.items() if x in weights[j])
+            if both / (sum(a.values()) + sum(weights[j].values()) - both) >= least and root[i] != root[j]:
+                root = [root[j] if x == root[i] else x for x in root]
+    return [min(rows[j][0] for j in range(len(rows)) if root[j] == root[i]) for i in range(len(rows))]
+
+
+def test_classes_follow_the_weights(spark, docs_of, words):
+    """A passage in a quarter of the texts counts less than their own words: pairs that are
+    near only by it are no class, at weights a brute force finds by itself."""
+    passage, rows = words(44, 70), []
+    for k in range(50):
+        tail = words(40, 500 + k).split()
+        other = tail[:9] + [f"e{k}x{j}" for j in range(1 + k % 2 * 3)] + tail[10 + k % 2 * 3:]
+        rows += [(2 * k, f"{passage} {' '.join(tail)}", "a"), (2 * k + 1, f"{passage} {' '.join(other)}", "a")]
+    rows += [(1000 + k, words(30, 900 + k), "b") for k in range(300)]
+    want = weighted_classes(rows)
+    assert want[:4] == [0, 0, 2, 3] and brute_classes(rows)[:4] == [0, 0, 2, 2]
+    got = {x.doc_id: x.class_id for x in neardup.classes(docs_of(rows, extra=False)).collect()}
+    assert got == {r[0]: c for r, c in zip(rows, want)}
+
+
+def test_idf_falls_below_a_third_of_the_texts(spark, docs_of, words):
+    """Every shingle in more than a sixty-fourth of the texts has the idf of its share."""
+    lines = {n: words(8, n) for n in (2, 4, 10, 75)}
+    rows = [(i, " ".join([x for n, x in lines.items() if i % n == 0] + [words(150, 100 + i)]), "a") for i in range(600)]
+    common = neardup.common_shingles(docs_of(rows).select("text"))
+    found = dict(zip(common["hash"].tolist(), common["idf"].tolist()))
+    for n, line in lines.items():
+        for _, hashes in shingles.documents([line]):
+            want = math.log(1 + n) / math.log(4)
+            assert [found.get(int(h)) for h in hashes] == ([pytest.approx(want)] * 4 if n <= 64 else [None] * 4)
+            weight = neardup.weights(np.ones(4), hashes, common)
+            assert weight == pytest.approx([min(1, math.log(1 + n) / math.log(65))] * 4)
+
+
+def test_a_family_of_copies_keeps_its_text(spark, docs_of, words):
+    """Near copies are hardly more than one document to the idf of their shingles."""
+    r, family, line = random.Random(3), words(200, 5), words(8, 6)
+    rows = [(k, edited(family, r, 2), "a") for k in range(100)] + [(200 + k, f"{words(40, 300 + k)} {line}", "b") for k in range(100)]
+    common = neardup.common_shingles(docs_of(rows).select("text"))
+    of = {n: neardup.weights(np.ones(len(h)), h, common) for n, h in shingles.documents([family, line])}
+    assert of[0].min() > 0.8 and of[1] == pytest.approx([math.log(1 + 2) / math.log(65)] * 4)
+
+
 def test_shingle_hashes_of_batches():
     texts = ["a b c d e f", "A b  c\td e f", None, "", "a b", "b c d e f g", "x" * 2_000_000 + " y z"]
     got = dict(shingles.documents(texts))

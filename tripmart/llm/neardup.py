@@ -1,9 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling.
 
 Equal texts are one class to begin with, known by a digest.  A text is the set
-of its five-word shingles, weighted by TF-IDF: tf is 1 + ln(count), idf is 1 for
-shingles in up to ``COMMON`` of all documents and falls beyond, so that neither
-a frequent passage counts in full nor a family of copies devalues its own text.
+of its five-word shingles, weighted by TF-IDF: tf is 1 + ln(count), idf the smoothed
+ln(1 + documents / unlike documents with the shingle), exact for every shingle in more than
+``RARE`` of all documents and the same for the others.  Near copies are hardly more than one
+document here: a frequent passage counts less the more texts it is in, and a family of
+copies keeps its own text against its few edits.
 Improved consistent weighted sampling draws one (shingle, level) per hash
 function with a probability of agreement equal to the weighted Jaccard
 similarity.  Samples are banded, and texts that share a band meet in a bucket with
@@ -38,7 +40,7 @@ SKETCH = 512  # samples of a byte each that tell unlike texts of a bucket apart
 REFUTED = 0.09  # how far an estimate may lie below the similarity: five standard deviations
 #: A bucket compared within one task: texts, and shingles of them (5 bytes each).
 MOST_TEXTS, MOST_SHINGLES = 2048, 8_000_000
-COMMON = 1 / 3
+RARE = 1 / 64  # a shingle in a smaller share of all documents has the greatest idf
 GROUP = 256  # documents looked at together for common shingles
 MAX_COMMON = 4_000_000
 SLOTS = 18  # bits of the counters that tell frequent shingles from rare ones
@@ -95,12 +97,18 @@ class Sampler:
         return out.view(np.int64)
 
 
+def idf(share):
+    """Smoothed inverse document frequency, 1 for a shingle in a third of all documents."""
+    return np.log(1 + 1 / np.maximum(share, RARE)) / math.log(1 + 3)
+
+
 def weights(counts: np.ndarray, hashes: np.ndarray, common: dict[str, np.ndarray] | None) -> np.ndarray:
-    """TF-IDF of distinct shingles; ``common``: sorted hashes and their idf."""
+    """TF-IDF of distinct shingles over the greatest idf (the similarity knows no unit):
+    a rare shingle that occurs once weighs 1; ``common``: sorted hashes and their idf."""
     w = 1 + np.log(counts)
     if common is not None and len(common["hash"]):
         at = np.minimum(np.searchsorted(common["hash"], hashes), len(common["hash"]) - 1)
-        w = np.where(common["hash"][at] == hashes, w * common["idf"][at], w)
+        w = np.where(common["hash"][at] == hashes, w * (common["idf"][at] / idf(RARE)), w)
     return w
 
 
@@ -113,22 +121,24 @@ def _tables(texts: list[str | None], common) -> Iterator[tuple[int, np.ndarray,
 
 
 def common_shingles(texts: DataFrame) -> dict[str, np.ndarray]:
-    """Exact idf of the shingles that are in more than ``COMMON`` of all documents.
+    """Exact idf of the shingles that are in more than ``RARE`` of all documents; all
+    others have the greatest one.
 
     Such a shingle is as frequent in at least one group of documents (else it
-    could not be so overall), so the first pass names candidates group by group
-    and the second counts only those.  There are at most 1 / COMMON times as many
-    as a document has shingles on average, whatever the corpus."""
+    could not be so overall), so the first pass names candidates group by group,
+    the second counts only those and the third, of what is left, the unlike documents.
+    There are at most 1 / RARE times as many as a document has shingles on average,
+    whatever the corpus."""
     def name(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         n = 0
 
         def flush() -> pd.DataFrame:
             s, often = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0))
-            s = s[often > COMMON * len(held)]
+            s = s[often > RARE * len(held)]
             if len(s):  # repeats within a document do not count
                 _, each = np.unique(np.concatenate([np.intersect1d(s, np.unique(x)) for x in held]), return_counts=True)
-                s = s[each > COMMON * len(held)]
+                s = s[each > RARE * len(held)]
             return pd.DataFrame({"hash": s.view(np.int64), "n": 0})
 
         for part in parts:
@@ -151,7 +161,7 @@ def common_shingles(texts: DataFrame) -> dict[str, np.ndarray]:
     if wanted.isEmpty():
         return {"hash": np.zeros(0, np.uint64), "idf": np.zeros(0)}
     if wanted.count() > MAX_COMMON:
-        return _idf(_counted_by_join(texts, wanted), total)
+        return _idf(_unlike(texts, _above(_counted_by_join(texts, wanted), total)), total)
     asked = texts.sparkSession.sparkContext.broadcast(np.sort(wanted.toPandas()["hash"].to_numpy().view(np.uint64)))
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +173,7 @@ def common_shingles(texts: DataFrame) -> dict[str, np.ndarray]:
                 seen[np.unique(at[want[at] == x])] += 1
         yield pd.DataFrame({"hash": want.view(np.int64), "n": seen})[seen > 0]
 
-    return _idf(texts.mapInPandas(count, "hash long, n long"), total)
+    return _idf(_unlike(texts, _above(texts.mapInPandas(count, "hash long, n long"), total)), total)
 
 
 def _counted_by_join(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -178,12 +188,45 @@ def _counted_by_join(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInPandas(each, "hash long, n long").join(wanted, "hash", "left_semi")
 
 
+def _above(counts: DataFrame, total: int) -> np.ndarray:
+    """The shingles in more than ``RARE`` of all documents: at most 1 / RARE times a text's average."""
+    counted = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") > RARE * total).select("hash").toPandas()
+    return np.sort(counted["hash"].to_numpy(np.int64).view(np.uint64))
+
+
+def _unlike(texts: DataFrame, hashes: np.ndarray) -> DataFrame:
+    """(hash, n): the effective number of unlike documents with each shingle.
+
+    Documents that agree in ``ROWS`` plain samples are taken for copies of one another;
+    groups of n1, n2, ... such documents are (n1 + n2 + ...)^2 / (n1^2 + n2^2 + ...)
+    documents, which is their number if all are unlike."""
+    asked = texts.sparkSession.sparkContext.broadcast(hashes)
+
+    def met(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        want, sampler = asked.value, Sampler(1, ROWS, seed=13)
+        for part in parts if len(want) else ():
+            found, copies = [], []
+            for _, x in shingles.documents(part["text"].tolist()):
+                at = np.minimum(np.searchsorted(want, x), len(want) - 1)
+                at = np.unique(at[want[at] == x])
+                if len(at):
+                    key = sampler.band_hashes(sampler.samples(x, np.ones(len(x)), np.array([0])))[0, 0]
+                    found.append(want[at].view(np.int64))
+                    copies.append(np.full(len(at), key))
+            if found:
+                rows = pd.DataFrame({"hash": np.concatenate(found), "copies": np.concatenate(copies)})
+                yield rows.groupby(["hash", "copies"]).size().rename("n").reset_index()
+
+    rows = texts.mapInPandas(met, "hash long, copies long, n long").groupBy("hash", "copies").agg(F.sum("n").cast("double").alias("n"))
+    return rows.groupBy("hash").agg((F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))).alias("n"))
+
+
 def _idf(counts: DataFrame, total: int) -> dict[str, np.ndarray]:
-    """Of the common shingles alone: at most 1 / COMMON times a text's average."""
-    counted = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") > COMMON * total).toPandas()
+    """Of the common shingles alone."""
+    counted = counts.filter(F.col("n") > RARE * total).toPandas()
     hashes, n = counted["hash"].to_numpy(np.int64).view(np.uint64), counted["n"].to_numpy(float)
     order = np.argsort(hashes)
-    return {"hash": hashes[order], "idf": (np.log(1 + total / n) / math.log(1 + 1 / COMMON))[order]}
+    return {"hash": hashes[order], "idf": idf(n[order] / max(total, 1))}
 
 
 def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
