@@ -88,3 +88,28 @@ def test_stray_future_pickup_raises_the_mark(spark, lookups):
     daily2 = inc.incremental_mart("agg_daily_zone_summary", fact2, daily1)
     feb2 = daily2.filter(F.col("pickup_date") == F.lit("2025-02-02").cast("date")).collect()
     assert [r["trip_count"] for r in feb2] == [1]  # 2 February is never re-aggregated
+
+
+def _exchange_keys(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+
+
+def test_rows_are_not_dealt_by_month(spark, lookups):
+    """The months of a safe rebuild reach the rows by broadcast, whatever their estimated size:
+    dealt by month, two tasks would read all trips."""
+    old, new = raw_df(spark, _trips_on([3, 4])), raw_df(spark, _trips_on([3, 4, 5]) + _trips_on([6], month=2))
+    months = inc.months_of(new.select(F.year("tpep_pickup_datetime").alias("y"), F.month("tpep_pickup_datetime").alias("m")), "y", "m")
+    name, before = "agg_monthly_zone_summary", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rebuilt = inc.safe_rebuild_fact(staging.stg_trips(new), lookups, months)
+        plan = rebuilt._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [pickup_year" in plan
+        target = marts.build_mart(name, facts.fact_trips(staging.stg_trips(old), lookups))
+        both = inc.replace_grains(target, marts.build_mart(name, rebuilt), ["pickup_year", "pickup_month"])
+        assert "LeftAnti" in both._jdf.queryExecution().executedPlan().toString()
+        assert not any(k.startswith("coalesce(pickup_year") for k in _exchange_keys(both))
+        assert sorted((r.pickup_month, r.trip_count) for r in both.collect()) == [(1, 3), (2, 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -94,8 +94,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null
 
 def replace_grains(target: DataFrame, rebuilt: DataFrame, grain_cols: Sequence[str]) -> DataFrame:
     """Safe mode, lazily: drop every target grain (e.g. month) present in
-    ``rebuilt`` and add the rebuilt rows."""
-    kept = target.join(_renamed_keys(rebuilt, grain_cols), _key_match(target, grain_cols, True), "left_anti")
+    ``rebuilt`` and add the rebuilt rows.  The grains are few: they go to the target's rows."""
+    kept = target.join(F.broadcast(_renamed_keys(rebuilt, grain_cols)), _key_match(target, grain_cols, True), "left_anti")
     return kept.unionByName(rebuilt.select(*target.columns))
 
 
@@ -120,9 +120,11 @@ def months_of(df: DataFrame, year_col: str, month_col: str) -> DataFrame:
 
 
 def safe_rebuild_fact(stg: DataFrame, lk: facts.Lookups, months: DataFrame) -> DataFrame:
-    """Fact rows of whole pickup months, rebuilt from every staged row."""
+    """Fact rows of whole pickup months, rebuilt from every staged row.
+
+    The months go to the rows: dealt by month, a month's rows would meet in one task."""
     fact = facts.fact_trips(stg, lk)
-    return fact.join(months, list(schemas.FACT_PARTITIONS), "left_semi")
+    return fact.join(F.broadcast(months), list(schemas.FACT_PARTITIONS), "left_semi")
 
 
 # --------------------------------------------------------------------------
