@@ -113,3 +113,13 @@ def test_rows_are_not_dealt_by_month(spark, lookups):
         assert sorted((r.pickup_month, r.trip_count) for r in both.collect()) == [(1, 3), (2, 1)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_failing_rows_deduplicate_once(spark, tmp_path):
+    """The plans of the fact's failing rows read staged trips, not the trips' source again and again."""
+    from conftest import SF_SMALL
+    from tripmart.plans import registry
+
+    out = registry.q_dq_failing_rows(spark, SF_SMALL)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and out.count() > 0

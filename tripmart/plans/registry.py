@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tripmart import schemas
 from tripmart.operators import facts, marts, quality, staging
 from tripmart.plans import oracle_sql as O
+from tripmart.plans import sinks
 from tripmart.session import configure
 from tripmart.incremental import loading as inc
 from tripmart.sources import fixture
@@ -128,14 +129,17 @@ def q_mart_grain_unique(spark, sf_dir):
     return out
 
 
-def dq_models(spark, sf_dir, tests=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def dq_models(spark, sf_dir, tests=None, written=False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """The eight tested models built over the fixture, and the seed parents.
 
     Where a test would find nothing, the input is spoilt: repeated trip keys
-    for unique, flags that follow from the vendor for accepted_values."""
+    for unique, flags that follow from the vendor for accepted_values.  ``written``
+    stages the staged trips once, for callers that read them in several plans."""
     lk = lookups(spark)
     tests = tests or ()
     stg = _stg(spark, sf_dir, collide=quality.UNIQUE in tests)
+    if written:
+        stg, _ = sinks.stage(spark, stg, "dq-stg")
     fact = facts.fact_trips(stg, lk)
     if quality.ACCEPTED in tests:
         fact = fact.withColumn("store_and_fwd_flag", F.when(F.col("vendor_id") == 9, "X").when(F.col("vendor_id") == 7, "?")
@@ -165,7 +169,7 @@ FAILING = (quality.UNIQUE, quality.ACCEPTED, quality.RELATIONSHIPS)
 
 def q_dq_failing_rows(spark, sf_dir):
     """The trips behind the failures of the fact's checks."""
-    models, parents = dq_models(spark, sf_dir, FAILING)
+    models, parents = dq_models(spark, sf_dir, FAILING, written=True)
     fact, parents = models[quality.FACT], {**parents, **models}
     out = None
     for c in quality.DECLARED_CHECKS:
