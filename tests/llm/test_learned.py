@@ -538,7 +538,7 @@ def test_pipeline_stage_by_stage(spark):
 
 def test_run_and_registry(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert privacy.KINDS == ("email", "ip", "card", "phone")
 
 
