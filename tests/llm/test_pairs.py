@@ -213,6 +213,21 @@ def test_fim_digests(spark, docs_of):
     assert fim.digests(docs_of([])).collect() == []
 
 
+def test_fim_pieces_leave_in_small_batches(spark, docs_of):
+    """A batch of whole texts is never held as pieces as well."""
+    import pyarrow as pa
+
+    texts = ["word " * 5000] * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = list(fim._cut(True)(iter([batch])))
+    pieces = [b for b in out if b.num_rows and b.column("at")[0].as_py() >= 0]
+    assert max(b.num_rows for b in pieces) <= 256 and max(b.nbytes for b in pieces) < 3 << 20
+    assert sum(sum(len(t) for t in b.column("text").to_pylist() if t not in fim.MARKS) for b in pieces) == sum(len(t) for t in texts)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    fim.digests(docs_of([(1, "a b", "a")]))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
 def test_fim_outputs_and_restoration(spark, docs_of):
     rows = fim_rows()
     out = fim.transform(docs_of(rows))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import table
+from tripmart.llm.common import small_batches, table
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 PREFIX, SUFFIX, MIDDLE = MARKS = ("<P>", "<S>", "<M>")
@@ -29,6 +29,7 @@ PREFIX, SUFFIX, MIDDLE = MARKS = ("<P>", "<S>", "<M>")
 PART_OF = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 SEED, RATE, SPM_RATE = 42, 50, 80  # percent of texts cut, percent of those in the order spm
 CHUNK = 1024  # units of a piece
+ROWS, CHARS = 256, 1 << 20  # of pieces that leave a task at once
 
 _HEAD = "copies long, doc_id long, n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string"
 _PIECES = f"key binary, at long, text string, {_HEAD}"
@@ -43,8 +44,14 @@ def _batch(rows: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), _TYPES[k]) for c, k in zip(columns, kinds)], names=list(names))
 
 
+def _values(column: pa.Array) -> Iterator:
+    """One by one: a batch of whole texts is not held a second time."""
+    return (x.as_py() for x in column)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    return zip(*(c.to_pylist() for c in batch.columns))
+    for at in range(0, batch.num_rows, ROWS):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns))
 
 
 def _digest(text: str) -> str:
@@ -66,8 +73,8 @@ def _cut(move_plain: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, list] = {}
         for batch in batches:
-            out = []
-            for doc_id, text in _rows(batch):
+            out, chars = [], 0
+            for doc_id, text in zip(*(_values(c) for c in batch.columns)):
                 text = text or ""
                 key = hashlib.sha256(f"{doc_id}:{text}".encode("utf-8", "surrogatepass")).digest()
                 if key in seen:
@@ -88,6 +95,10 @@ def _cut(move_plain: bool):
                     for piece in (mark, *(text[ends[u]:ends[min(u + CHUNK, hi)]] for u in range(lo, hi, CHUNK))):
                         out.append((key, at, piece, *_NONE))
                         at += 1
+                        chars += len(piece)
+                        if len(out) >= ROWS or chars >= CHARS:
+                            yield _batch(out, _PIECES)
+                            out, chars = [], 0
             yield _batch(out, _PIECES)
         heads = list(seen.items())
         for at in range(0, len(heads), 10_000):
@@ -124,7 +135,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = PART_OF[text]
             else:
                 out.append((key, part, at, text, *_NONE))
-            if len(out) >= 256:
+            if len(out) >= ROWS:
                 yield _batch(out, _PLACED)
                 out = []
         if head[3] != "plain":
@@ -152,6 +163,7 @@ def _restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _moved(docs: DataFrame, move_plain: bool) -> DataFrame:
     """Pieces of the texts (marks included) and one head, at -1, per distinct row and
     task; all of a document together, by place in its output."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return rows.mapInArrow(_cut(move_plain), _PIECES).repartition("key").sortWithinPartitions("key", "at")
 
