@@ -339,6 +339,36 @@ def test_a_family_of_copies_keeps_its_text(spark, docs_of, words):
     assert of[0].min() > 0.8 and of[1] == pytest.approx([math.log(1 + 2) / math.log(65)] * 4)
 
 
+def unlike_documents(texts, wanted):
+    """The effective number of unlike documents of each shingle, pair by pair."""
+    sampler, found = neardup.Sampler(1, neardup.ROWS, seed=13), {}
+    for _, x in shingles.documents(texts):
+        if len(x):
+            key = int(sampler.band_hashes(sampler.samples(x, np.ones(len(x)), np.array([0])))[0, 0])
+            for h in np.intersect1d(x, wanted).tolist():
+                found.setdefault(h, Counter())[key] += 1
+    return {h: sum(c.values()) ** 2 / sum(n * n for n in c.values()) for h, c in found.items()}
+
+
+@pytest.mark.parametrize("pack, held", [(1024, 2_000_000), (7, 50)])
+def test_unlike_documents_move_once_each(spark, docs_of, words, monkeypatch, pack, held):
+    """The rows that count unlike documents do not grow with the shingles that near copies share."""
+    r, family, line = random.Random(4), words(120, 5), words(8, 6)
+    texts = [edited(family, r, 3) for _ in range(80)] + [family] * 40 + [f"{words(40, 300 + k)} {line}" for k in range(60)] + [None, "", "a b"]
+    wanted = np.unique(np.concatenate([h for _, h in shingles.documents([family, line])]))
+    monkeypatch.setattr(neardup, "PACK", pack)
+    monkeypatch.setattr(neardup, "MOST_HELD", held)
+    docs = docs_of([(i, t, "a") for i, t in enumerate(texts)]).select("text").repartition(3)
+    out = neardup._unlike(docs, wanted)
+    got = {int(np.int64(x["hash"]).view(np.uint64)): x["n"] for x in out.collect()}
+    want = unlike_documents(texts, wanted)
+    assert got == pytest.approx(want) and len(got) == 120
+    if pack == 1024:
+        first = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "at#" in first and "copies#" in first  # packed places by group, no row for each shingle
+        assert neardup._unlike(docs, wanted[:0]).collect() == []
+
+
 def test_shingle_hashes_of_batches():
     texts = ["a b c d e f", "A b  c\td e f", None, "", "a b", "b c d e f g", "x" * 2_000_000 + " y z"]
     got = dict(shingles.documents(texts))

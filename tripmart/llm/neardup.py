@@ -43,6 +43,8 @@ MOST_TEXTS, MOST_SHINGLES = 2048, 8_000_000
 RARE = 1 / 64  # a shingle in a smaller share of all documents has the greatest idf
 GROUP = 256  # documents looked at together for common shingles
 MAX_COMMON = 4_000_000
+PACK = 1024  # common shingles in one row of a group of copies
+MOST_HELD = 2_000_000  # common shingles held in a task before its groups move
 SLOTS = 18  # bits of the counters that tell frequent shingles from rare ones
 PART = 1024  # rows of a frequent shingle compared in one task's share
 _DRAWS = 1 << 16
@@ -199,26 +201,63 @@ def _unlike(texts: DataFrame, hashes: np.ndarray) -> DataFrame:
 
     Documents that agree in ``ROWS`` plain samples are taken for copies of one another;
     groups of n1, n2, ... such documents are (n1 + n2 + ...)^2 / (n1^2 + n2^2 + ...)
-    documents, which is their number if all are unlike."""
+    documents, which is their number if all are unlike.  A document's shingles move as
+    places in the sorted hashes, packed, one row for all documents of a task that agree."""
     asked = texts.sparkSession.sparkContext.broadcast(hashes)
 
     def met(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         want, sampler = asked.value, Sampler(1, ROWS, seed=13)
+        found: dict[int, list[np.ndarray]] = {}
+        held = 0
+
+        def flush() -> pd.DataFrame:
+            rows = []
+            for key, some in found.items():
+                at, n = np.unique(np.concatenate(some), return_counts=True)
+                rows += [(key, at[k:k + PACK].astype(np.int32).tobytes(), n[k:k + PACK].astype(np.int32).tobytes()) for k in range(0, len(at), PACK)]
+            return pd.DataFrame(rows, columns=["copies", "at", "n"])
+
         for part in parts if len(want) else ():
-            found, copies = [], []
             for _, x in shingles.documents(part["text"].tolist()):
                 at = np.minimum(np.searchsorted(want, x), len(want) - 1)
                 at = np.unique(at[want[at] == x])
                 if len(at):
                     key = sampler.band_hashes(sampler.samples(x, np.ones(len(x)), np.array([0])))[0, 0]
-                    found.append(want[at].view(np.int64))
-                    copies.append(np.full(len(at), key))
-            if found:
-                rows = pd.DataFrame({"hash": np.concatenate(found), "copies": np.concatenate(copies)})
-                yield rows.groupby(["hash", "copies"]).size().rename("n").reset_index()
-
-    rows = texts.mapInPandas(met, "hash long, copies long, n long").groupBy("hash", "copies").agg(F.sum("n").cast("double").alias("n"))
-    return rows.groupBy("hash").agg((F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))).alias("n"))
+                    found.setdefault(int(key), []).append(at.astype(np.int32))
+                    held += len(at)
+                if held > MOST_HELD:
+                    yield flush()
+                    found, held = {}, 0
+        if found:
+            yield flush()
+
+    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        want = asked.value
+        total, squares, here = np.zeros(len(want)), np.zeros(len(want)), np.zeros(len(want))
+        key, touched = None, []
+
+        def close() -> None:
+            at = np.unique(np.concatenate(touched))
+            total[at] += here[at]
+            squares[at] += here[at] ** 2
+            here[at] = 0
+
+        for part in parts:
+            for copies, at, n in zip(part["copies"], part["at"], part["n"]):
+                if copies != key and touched:
+                    close()
+                    touched = []
+                key = copies
+                touched.append(np.frombuffer(at, np.int32))
+                here[touched[-1]] += np.frombuffer(n, np.int32)
+        if touched:
+            close()
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"hash": want[at].view(np.int64), "total": total[at], "squares": squares[at]})
+
+    groups = texts.mapInPandas(met, "copies long, at binary, n binary").repartition("copies").sortWithinPartitions("copies")
+    sums = groups.mapInPandas(add, "hash long, total double, squares double").groupBy("hash").agg(F.sum("total").alias("n"), F.sum("squares").alias("squares"))
+    return sums.select("hash", (F.col("n") * F.col("n") / F.col("squares")).alias("n"))
 
 
 def _idf(counts: DataFrame, total: int) -> dict[str, np.ndarray]:
