@@ -153,3 +153,15 @@ def test_cli_run_month(spark, tmp_path, files, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["checks"] == 64 and len(out["exported"]) == 2
     assert os.path.isfile(os.path.join(root, "CLI_EXPORT", "AGG_MONTHLY_ZONE_SUMMARY_2025_01.parquet"))
+
+
+def test_month_files_are_written_without_a_shuffle(spark, tmp_path):
+    """Each task of the input writes its own rows: one partition, one file a month."""
+    rows = [(y, m, i) for i in range(40) for y, m in ((2024, 12), (2025, 1), (2025, 2))]
+    raw = spark.createDataFrame(rows + rows[:5], "trip_year int, trip_month int, n long").coalesce(1)
+    files = write_month_files(spark, "", str(tmp_path / "inbound"), raw=raw)
+    assert sorted(files) == [(2024, 12), (2025, 1), (2025, 2)]
+    for (y, m), path in files.items():
+        assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+        got = sorted(r["n"] for r in spark.read.parquet(path).collect())
+        assert got == sorted(n for yy, mm, n in rows + rows[:5] if (yy, mm) == (y, m))

@@ -25,12 +25,10 @@ def _workdir(spark: SparkSession, name: str) -> str:
 def write_month_files(spark: SparkSession, sf_dir: str, inbound: str, raw: DataFrame | None = None) -> dict:
     """Fixture trips as monthly source files named like the published ones.
 
-    One pass: write partitioned by file month, then rename each partition
-    folder to its file name."""
+    One pass without a shuffle: each task writes one file per month of its rows;
+    then each partition folder is renamed to its file name."""
     raw = raw if raw is not None else fixture.raw_trips_fixture(spark, sf_dir)
     parts = inbound.rstrip("/") + "/_parts"
-    # several files per month, as a published monthly file has several row groups
-    raw = raw.repartition(spark.sparkContext.defaultParallelism)
     raw.write.mode("overwrite").partitionBy("trip_year", "trip_month").parquet(parts)
     out = {}
     for year_dir in fs.list_files(spark, parts):
