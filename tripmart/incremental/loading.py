@@ -108,10 +108,13 @@ def incremental_fact(stg: DataFrame, lk: facts.Lookups, target: DataFrame | None
 
 
 def incremental_mart(name: str, fact: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Reference rule for a mart: watermark on the fact, regroup, merge on the mart key."""
+    """Reference rule for a mart: watermark on the fact, regroup, merge on the mart key.
+
+    The regrouped rows are staged: the merge reads them twice (keys and rows), and each
+    reading would run the fact's plan again."""
     if target is None:
         return marts.build_mart(name, fact)
-    fresh = marts.build_mart(name, above_watermark(fact, name, target))
+    fresh, _ = sinks.stage(fact.sparkSession, marts.build_mart(name, above_watermark(fact, name, target)), "fresh-mart")
     return merge_upsert(target, fresh, marts.MERGE_KEYS[name])
 
 
