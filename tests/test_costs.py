@@ -8,6 +8,11 @@ from tripmart.session import configure
 SF = "/root/testdata/sf0.001"
 
 
+def test_long_methods_fall_back(spark):
+    configure(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_incremental_mart_reads_its_inputs_once(spark):
     """The regrouped rows are read from a staged folder, not planned twice over lineitem."""
     configure(spark)

@@ -23,6 +23,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition-replace writes touch only the partitions present in the data.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot never compiles a method above 8000 bytes; such a stage runs as separate
+    # operators, whose code Spark splits, rather than interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
