@@ -1,5 +1,10 @@
 """What keeps the trip queries' cost per row down, and that the results stay."""
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tripmart.functions import expressions as X
 from tripmart.incremental import loading as inc
 from tripmart.operators import marts
 from tripmart.plans import registry
@@ -8,6 +13,21 @@ from tripmart.session import configure
 SF = "/root/testdata/sf0.001"
 
 
+def test_seconds_and_days_without_zoned_times(spark):
+    configure(spark)
+    times = [(dt.datetime(2025, 1, 1, 8, 0, 0, 900000), dt.datetime(2025, 1, 1, 8, 0, 1, 100000), 1, "Wed"),
+             (dt.datetime(1969, 12, 31, 23, 59, 59, 500000), dt.datetime(1970, 1, 1, 0, 0, 0, 400000), 1, "Wed"),
+             (dt.datetime(2025, 3, 9, 1, 59, 0), dt.datetime(2025, 3, 9, 3, 0, 0), 3660, "Sun"),
+             (dt.datetime(2025, 1, 6, 0, 0, 1), dt.datetime(2025, 1, 5, 23, 59, 59), -2, "Mon"),
+             (None, dt.datetime(2025, 1, 5), None, None)]
+    df = spark.createDataFrame(times, "a timestamp_ntz, b timestamp_ntz, secs bigint, day string")
+    got = df.select("secs", "day", X.seconds_between(F.col("a"), F.col("b")).alias("s"), X.day_abbrev(F.col("a")).alias("d"))
+    assert got.schema["s"].dataType.simpleString() == "bigint"
+    assert [(r["s"], r["d"]) for r in got.collect()] == [t[2:] for t in times]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc" not in plan and "timestampdiff" not in plan.lower() and "dayname" not in plan
+
+
 def test_long_methods_fall_back(spark):
     configure(spark)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

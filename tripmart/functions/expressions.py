@@ -12,9 +12,10 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Hour ranges and weekend day names that define the trip flags.
+# Hour ranges and day names that define the trip flags.
 RUSH_HOUR_RANGES = [(7, 9), (16, 19)]
 LATE_NIGHT_RANGE = (0, 5)
+DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 WEEKEND_DAYS = ["Sat", "Sun"]
 SAME_BOROUGH = "Same Borough"
 CROSS_BOROUGH = "Cross Borough"
@@ -24,14 +25,17 @@ def seconds_between(start: Column, end: Column) -> Column:
     """Number of second boundaries crossed from ``start`` to ``end``.
 
     Whole elapsed seconds would count 08:00:00.9 -> 08:00:01.1 as 0; the
-    mart counts boundaries (1), so both ends are truncated to the second first.
+    mart counts boundaries (1), the difference of the two whole seconds.  (``date_trunc``
+    and ``timestamp_diff`` would build a zoned time for each value, per row.)
     """
-    return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
+    whole = lambda ts: F.unix_seconds(ts.cast("timestamp"))
+    return whole(end) - whole(start)
 
 
 def day_abbrev(ts: Column) -> Column:
-    """Three-letter English day name (Mon..Sun)."""
-    return F.dayname(ts)
+    """Three-letter English day name (Mon..Sun); ``dayname`` builds a formatter per row."""
+    # element_at takes a NULL index for a value under ANSI, so NULL is kept apart
+    return F.when(ts.isNotNull(), F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.weekday(ts) + 1))
 
 
 def minutes_of(secs: Column) -> Column:
