@@ -438,6 +438,22 @@ def test_bpe_join_is_associative(codecs):
         assert mine.join(mine.join(a, b), c) == mine.join(a, mine.join(b, c)) == mine.merge_long(piece) == mine.reduce(piece)
 
 
+def test_bpe_words_with_marks_need_no_pattern(codecs):
+    """Nor does the garbage collector visit what the caches hold."""
+    mine, theirs = codecs
+    own = bpe.Codec(mine.ranks, bpe.default_tokenizer()[1])
+    words = [w + m for w in ("then", "Haanth", "schü") for m in ("!!", "$$$", "%%%", ".", "")]
+    found, own.find = own.find, lambda piece: seen.append(piece) or found(piece)
+    seen: list = []
+    text = " ".join(["a", *words])
+    assert own.encode(text).tolist() == theirs.encode_ordinary(text)
+    assert sorted(seen) == ["!!", "$$$", "%%%", ".", "a"]
+    kept = [v for cache in (own.leaves, own.seams) for v in cache.values() if v is not None]
+    assert kept and all(isinstance(v, tuple) for v in kept)
+    for odd in ("x  y", " x", "x ", "x!! ", "x \n y!!", "", " ", "x\t y"):
+        assert own.encode(odd).tolist() == theirs.encode_ordinary(odd), odd
+
+
 def test_bpe_rows(spark, docs_of, codecs):
     _, theirs = codecs
     rows = [(1, "Hello, world", "a"), (1, "Hello, world", "a"), (None, None, None), (2, "", "b"), (3, "word " * 20000, "b")]

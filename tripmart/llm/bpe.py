@@ -27,11 +27,13 @@ from pyspark.sql import types as T
 from tripmart.llm.common import shield, table, without
 
 #: Longest piece of bytes merged directly; beyond LONG bytes by a heap.
-LEAF, LONG = 8, 64
+LEAF, LONG = 6, 64
 NEVER = 1 << 60
+SWAPPED = sys.byteorder == "big"
 #: Bounds of a worker's caches: entries, and code points of a text piece kept.
 CACHED, CACHED_CHARS = 120_000, 64
 BLOCK = 4096  # ids decoded at once
+MARKS = ".,;:!?#$%&*"  # a run of them after a word is a piece of its own
 OUT = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                     T.StructField("decoded_sha256", T.StringType())])
 IDS = T.ArrayType(T.IntegerType())
@@ -76,7 +78,7 @@ class Codec:
         self.leaves = Bounded(self.merge)
         self.seams = Bounded(self._seam)
         self.after_space = Bounded(self._after_space)
-        self.marks = {c: self.ids(c) for c in ".,;:!?"}
+        self.marks = Bounded(self.ids)
         size = max(self.bytes_of, default=-1) + 1
         self.length = np.array([len(self.bytes_of.get(i, b"")) for i in range(size)], np.int64)
         self.start = np.cumsum(self.length) - self.length
@@ -84,11 +86,13 @@ class Codec:
 
     def forget(self) -> None:
         """Empty the caches: a worker that waits for its next task holds the vocabulary alone."""
-        for cache in (self.leaves, self.seams, self.after_space):
+        for cache in (self.leaves, self.seams, self.after_space, self.marks):
             cache.clear()
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Merge the neighbours of least rank, leftmost first, until none is left."""
+    def merge(self, piece: bytes) -> tuple[int, ...]:
+        """Merge the neighbours of least rank, leftmost first, until none is left.
+
+        Encodings are tuples: the garbage collector does not visit those of numbers."""
         if len(piece) > LONG:
             return self.merge_long(piece)
         get = self.ranks.get
@@ -105,9 +109,9 @@ class Codec:
                 pair[i - 1] = get(parts[i - 1] + both, NEVER)
             if i < len(pair):
                 pair[i] = get(both + parts[i + 1], NEVER)
-        return [self.ranks[p] for p in parts]
+        return tuple(map(self.ranks.__getitem__, parts))
 
-    def merge_long(self, piece: bytes) -> list[int]:
+    def merge_long(self, piece: bytes) -> tuple[int, ...]:
         """The same by a heap of (rank, place): for windows that had to grow."""
         get, n = self.ranks.get, len(piece)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
@@ -129,14 +133,14 @@ class Codec:
         while i < n:
             out.append(self.ranks[piece[i:end[i]]])
             i = end[i]
-        return out
+        return tuple(out)
 
-    def _seam(self, pair: tuple[int, int]) -> list[int] | None:
+    def _seam(self, pair: tuple[int, int]) -> tuple[int, ...] | None:
         """What the bytes of two neighbouring tokens encode to; None: to these two."""
-        both = self.leaves[self.bytes_of[pair[0]] + self.bytes_of[pair[1]]]
-        return None if both == [*pair] else both
+        both = self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]])
+        return None if both == pair else both
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
+    def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of the bytes of both, given the encodings of each."""
         seams = self.seams
         middle, i, j = seams[left[-1], right[0]], 1, 1  # i and j: tokens of the window on either side
@@ -151,7 +155,7 @@ class Codec:
             j = j if right_ok else min(len(right), 2 * j)
             middle = self.leaves[b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j]))]
 
-    def reduce(self, piece: bytes) -> list[int]:
+    def reduce(self, piece: bytes) -> tuple[int, ...]:
         """Encode the halves and join them."""
         n = len(piece)
         half = n // 2
@@ -165,18 +169,22 @@ class Codec:
         """Ids of one match, as little-endian 32-bit integers."""
         raw = match.encode("utf-8")
         whole = self.ranks.get(raw)  # a match that is a token is that token
-        return _bytes([whole] if whole is not None else self.reduce(raw))
+        return _bytes((whole,) if whole is not None else self.reduce(raw))
 
     def ids(self, piece: str) -> bytes:
         """Ids of each match of the pattern in turn."""
         return b"".join(map(self.match_ids, self.find(piece)))
 
-    def _after_space(self, piece: str) -> bytes:
-        """Ids of a space and a piece; a plain word, or one and a mark, needs no pattern."""
+    def _after_space(self, piece: str) -> bytes | None:
+        """Ids of a space and a piece; a plain word, or one and marks, needs no pattern.
+        None: the space has white space beside it, so no match need begin there."""
         if piece.isalpha():
             return self.match_ids(" " + piece)
-        if piece[-1] in self.marks and piece[:-1].isalpha():
-            return self.after_space[piece[:-1]] + self.marks[piece[-1]]
+        word = piece.rstrip(MARKS)
+        if word.isalpha():
+            return self.after_space[word] + self.marks[piece[len(word):]]
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
         return self.ids(" " + piece)
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -184,10 +192,12 @@ class Codec:
 
         A space between two other characters begins a match, so a text may be
         cut there and equal pieces encoded once."""
-        pieces = (text or "").split(" ")
-        if not all(p and not p[0].isspace() and not p[-1].isspace() for p in pieces):
-            pieces = _glued(pieces)
-        return np.frombuffer(self.ids(pieces[0]) + b"".join(map(self.after_space.__getitem__, pieces[1:])), "<u4")
+        first, *pieces = (text or "").split(" ")
+        found = list(map(self.after_space.__getitem__, pieces))
+        if None in found or not first or first[-1].isspace():
+            first, *pieces = _glued([first, *pieces])
+            found = [self.after_space[p] or self.ids(" " + p) for p in pieces]
+        return np.frombuffer(b"".join([self.ids(first), *found]), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Token bytes, gathered by blocks and concatenated up a tree."""
@@ -202,11 +212,12 @@ class Codec:
         return self.flat[shift + np.arange(len(shift))].tobytes()
 
 
-def _bytes(ids: list[int]) -> bytes:
-    out = array("I", ids)  # 4 bytes on every platform that Spark runs on
-    if sys.byteorder == "big":
+def _bytes(ids: tuple[int, ...]) -> bytes:
+    if SWAPPED:
+        out = array("I", ids)
         out.byteswap()
-    return out.tobytes()
+        return out.tobytes()
+    return array("I", ids).tobytes()  # 4 bytes on every platform that Spark runs on
 
 
 def _glued(pieces: list[str]) -> list[str]:
