@@ -4,10 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from helpers import raw_df, trip
+from tripmart import schemas
 from tripmart.functions import expressions as X
 from tripmart.incremental import loading as inc
 from tripmart.operators import marts
-from tripmart.plans import registry
+from tripmart.plans import pipeline, registry, roundtrips
 from tripmart.session import configure
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +45,46 @@ def test_incremental_mart_reads_its_inputs_once(spark):
     assert any("fresh-mart" in f for f in got.inputFiles()) and not any("lineitem" in f for f in got.inputFiles())
     lazy = marts.build_mart(name, registry._batches(spark, SF)[3])
     assert sorted(map(str, marts.build_mart(name, fact1).collect())) == sorted(map(str, lazy.collect()))
+
+
+def _lake(spark, root, months):
+    layout = pipeline.Layout(root, "TEST")
+    pipeline.ingest_zones(spark, layout, roundtrips.write_zones(spark, f"{root}/zones_csv"))
+    for m in range(1, months + 1):
+        at = dt.datetime(2025, m, 15, 8)
+        rows = [trip(VendorID=1 + k % 2, fare_amount=10.0 + k % 40, tpep_pickup_datetime=at + dt.timedelta(minutes=k),
+                     tpep_dropoff_datetime=at + dt.timedelta(minutes=k + 9)) for k in range(60)]
+        raw_df(spark, rows + rows[:5]).repartition(4).write.parquet(f"{root}/in/{m}")
+        pipeline.ingest_month(spark, layout, f"{root}/in/{m}", 2025, m, source_file_size_mb=0)
+    return layout
+
+
+def test_few_months_are_written_where_the_dedup_left_them(spark, tmp_path, monkeypatch):
+    configure(spark)
+    hints = []
+    real = type(spark.range(0)).hint
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda self, name, *a: hints.append((name, self.columns[-1])) or real(self, name, *a))
+    got = {}
+    for months in (pipeline.FEW_MONTHS, pipeline.FEW_MONTHS + 1):
+        layout = _lake(spark, f"{tmp_path}/{months}", months)
+        hints.clear()
+        pipeline.build(spark, layout, quality_gate="skip")
+        assert (("rebalance", "_m") in hints) == (months > pipeline.FEW_MONTHS)
+        fact = spark.read.parquet(layout.fact)
+        assert fact.count() == 60 * months
+        got[months] = sorted(map(str, fact.filter("pickup_month = 1").select(*schemas.FACT_COLUMNS).collect()))
+    assert len(set(map(str, got.values()))) == 1
+
+
+def test_month_digests_sum_whole_numbers(spark):
+    configure(spark)
+    rows = [trip(tip_amount=float(k), passenger_count=None if k % 3 else 1, RatecodeID=None if k % 2 else 1) for k in range(40)]
+    raw = raw_df(spark, rows)
+    digest = lambda df: {(r["pickup_year"], r["pickup_month"]): r["digest"] for r in inc.month_digests(df).collect()}
+    assert digest(raw) == digest(raw.repartition(5)) and len(digest(raw)) == 1
+    plan = inc.month_digests(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan.replace("decimal(10,2)", "")
+    moved = [{**r, "passenger_count": r["RatecodeID"], "RatecodeID": r["passenger_count"]} for r in rows]
+    for other in (rows[:-1], rows + rows[:1], rows[:-1] + rows[:1], moved):
+        assert digest(raw_df(spark, other)) != digest(raw)
+    assert digest(raw_df(spark, [trip(tpep_pickup_datetime=None)])) == {}

@@ -28,6 +28,7 @@ statistics can skip row groups).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,14 +188,20 @@ def replace_months_in_table(spark: SparkSession, path: str, rebuilt: DataFrame,
 
 def month_digests(raw: DataFrame) -> DataFrame:
     """(pickup_year, pickup_month, digest) of raw trips: an order-free digest of the
-    multiset of rows (their 19 columns, NULLs told apart) of each pickup month."""
+    multiset of rows (their 19 columns, NULLs told apart) of each pickup month.
+
+    The exact sum of the row hashes is kept as the sums of their lower, middle and upper
+    thirds: whole numbers, which 2^41 rows of a month do not exceed."""
     columns = [F.col(c) for c in schemas.RAW_TRIP_COLUMNS]
-    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    bit = lambda i: F.lit(1 << i).cast("bigint")
+    nulls = reduce(Column.__add__, [F.when(c.isNull(), bit(i)).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(columns)])
     at = F.col("tpep_pickup_datetime")
     rows = raw.select(F.year(at).alias("pickup_year"), F.month(at).alias("pickup_month"),
                       F.xxhash64(*columns, nulls).alias("h")).filter("pickup_year IS NOT NULL")
+    h, third = F.col("h"), F.lit((1 << 21) - 1).cast("bigint")
+    sums = [F.sum(h.bitwiseAND(third)), F.sum(F.shiftright(h, 21).bitwiseAND(third)), F.sum(F.shiftright(h, 42))]
     return (rows.groupBy("pickup_year", "pickup_month")
-            .agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(F.col("h").cast("decimal(20,0)")).cast("string"),
+            .agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[s.cast("string") for s in sums],
                              F.bit_xor("h").cast("string")).alias("digest")))
 
 
