@@ -406,13 +406,15 @@ def partition_filter(months: Iterable[tuple[int, int]], year_col: str = "pickup_
 FEW_MONTHS = 3
 
 
-def write_fact(stg: DataFrame, lk: facts.Lookups, layout: Layout, few_months: bool = False) -> None:
+def write_fact(stg: DataFrame, lk: facts.Lookups, layout: Layout) -> None:
     """The whole fact.  The 20 staged columns are spread by pickup month, not
     the 52 of the fact: the lookups then run where the rows are written.
 
-    With ``few_months`` the rows are written where the dedup left them, as those of a
-    monthly run are: files stay a third of a task's share, and a shuffle less is run."""
-    if not few_months:
+    If the month index names few months, the rows are written where the dedup left them,
+    as those of a monthly run are: files stay a third of a task's share, and a shuffle
+    less is run."""
+    spark = stg.sparkSession
+    if not fs.has_data(spark, layout.raw_month_index) or len(indexed_months(spark, layout)) > FEW_MONTHS:
         stg = (stg.withColumns({"_y": F.year("pickup_datetime"), "_m": F.month("pickup_datetime")})
                .hint("rebalance", "_y", "_m").drop("_y", "_m"))
     sinks.overwrite_table(facts.fact_trips(stg, lk), layout.fact, schemas.FACT_PARTITIONS, rebalance=False)
@@ -484,9 +486,7 @@ def build(spark: SparkSession, layout: Layout, *, mode: str = inc.SAFE,
     check(quality.STG_TRIPS, quality.STG_ZONES, quality.DIM, staged={quality.DIM: lk.dim_location})
     sinks.overwrite_table(lk.dim_location, layout.dim_location)
     if whole:
-        # without an index the months are not known before the write
-        few = fs.has_data(spark, layout.raw_month_index) and len(indexed_months(spark, layout)) <= FEW_MONTHS
-        write_fact(stg, lk, layout, few)
+        write_fact(stg, lk, layout)
     elif mode == inc.SAFE:
         if months:
             inc.replace_months_in_table(spark, layout.fact, facts.fact_trips(stg, lk), months)
