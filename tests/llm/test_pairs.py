@@ -152,6 +152,18 @@ def test_links_against_all_pairs(spark):
         simhash.links(spark.createDataFrame([(1,)], "f long"), 4)
 
 
+def test_exploded_sides_are_not_broadcast(spark, tmp_path):
+    # 3,000 fingerprints are 24 kB, but their keys 380,000 rows: a broadcast of 20 MB under a threshold of 1 MB
+    spark.range(3000).select(F.xxhash64("id").alias("f")).write.parquet(f"{tmp_path}/prints")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+    try:
+        plan = simhash.links(spark.read.parquet(f"{tmp_path}/prints"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_classes_of_odd_rows(spark, docs_of, words):
     base = words(400, 1)
     texts = SAMPLES + [base, base + " end", base.upper(), "start " + base, words(300, 2)]

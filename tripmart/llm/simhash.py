@@ -160,13 +160,14 @@ def links(prints: DataFrame, most: int = ERRORS) -> DataFrame:
 
     ``prints``: distinct values in a long column ``f``.  A bucket holds fingerprints
     that agree in 25 bits at least and in a codeword; pairs farther apart never
-    leave the join."""
+    leave the join.  Spark sizes the exploded sides by the fingerprints, twenty and
+    more times too low, and would broadcast one: both are shuffled."""
     if not 0 <= most <= ERRORS:
         raise ValueError(f"links are found up to {ERRORS} bits")
     home = prints.select(F.col("f").alias("a"), F.explode(home_keys("f")).alias("key"))
     probe = prints.select(F.col("f").alias("b"), F.explode(all_keys("f")).alias("key"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most
-    met = home.join(probe, (home["key"] == probe["key"]) & (F.col("a") != F.col("b")) & near)
+    met = home.hint("merge").join(probe, (home["key"] == probe["key"]) & (F.col("a") != F.col("b")) & near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -174,7 +175,8 @@ def nodes_of(prints: DataFrame, most: int = ERRORS) -> DataFrame:
     """(f, component_id, n_links) of every distinct fingerprint in ``prints`` (doc_id, f)."""
     nodes = materialize(prints.groupBy("f").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     found = materialize(links(nodes.select("f"), most), "simhash-links")
-    degree = found.select(F.explode(F.array("a", "b")).alias("f")).groupBy("f").agg(F.count("*").alias("n_links"))
+    ends = found.select(F.col("a").alias("f")).union(found.select("b"))  # an explode would be sized as one end
+    degree = ends.groupBy("f").agg(F.count("*").alias("n_links"))
     linked = materialize(nodes.join(components(found).withColumnRenamed("node", "f"), "f").join(degree, "f"), "simhash-linked")
     heads = linked.groupBy("root").agg(F.min("least").alias("head"))
     linked = linked.join(heads, "root").select("f", "head", "n_links")
