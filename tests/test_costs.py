@@ -1,6 +1,7 @@
 """What keeps the trip queries' cost per row down, and that the results stay."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from tripmart.functions import expressions as X
 from tripmart.incremental import loading as inc
 from tripmart.operators import marts
 from tripmart.plans import pipeline, registry, roundtrips
-from tripmart.session import configure
+from tripmart.session import READ_BYTES, READ_BYTES_CONF, configure
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +89,46 @@ def test_month_digests_sum_whole_numbers(spark):
     for other in (rows[:-1], rows + rows[:1], rows[:-1] + rows[:1], moved):
         assert digest(raw_df(spark, other)) != digest(raw)
     assert digest(raw_df(spark, [trip(tpep_pickup_datetime=None)])) == {}
+
+
+def test_a_merge_writes_its_source_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    path, wrote, real = f"{tmp_path}/t", [], DataFrameWriter.parquet
+    of = lambda v, *rows: spark.createDataFrame(rows, f"k string, v {v}, pickup_year int, pickup_month int")
+    inc.merge_into_table(spark, path, of("decimal(5,2)", ("a", Decimal("1.50"), 2025, 1), ("b", Decimal("2.25"), 2025, 1)), ["k"])
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, at, *a, **k: wrote.append(at) or real(self, at, *a, **k))
+    inc.merge_into_table(spark, path, of("decimal(5,2)", ("c", Decimal("3.00"), 2025, 2)), ["k"])
+    assert len(wrote) == 1  # a new partition: neither staged elsewhere nor read again
+    inc.merge_into_table(spark, path, of("decimal(9,4)", ("b", Decimal("7.1234"), 2025, 1), ("d", None, 2025, 1)), ["k"])
+    assert len(wrote) == 3 and wrote[1] == wrote[2]  # the source, and the rows kept beside it
+    january = spark.read.parquet(f"{path}/pickup_year=2025/pickup_month=1")
+    assert dict(january.dtypes)["v"] == "decimal(9,4)"
+    assert {r["k"]: r["v"] for r in january.collect()} == {"a": Decimal("1.5000"), "b": Decimal("7.1234"), "d": None}
+    assert [r["k"] for r in spark.read.parquet(f"{path}/pickup_year=2025/pickup_month=2").collect()] == ["c"]
+
+
+def test_a_task_reads_a_share_of_a_raw_file(spark, tmp_path):
+    """One delivered file of 1.5 million trips is one row group of Spark's own size; tasks share the raw partition."""
+    before = spark.conf.get(READ_BYTES_CONF)
+    try:
+        spark.conf.set(READ_BYTES_CONF, "128m")
+        configure(spark)
+        assert int(spark.conf.get(READ_BYTES_CONF)) == READ_BYTES
+        spark.conf.set(READ_BYTES_CONF, "16m")
+        configure(spark)
+        assert spark.conf.get(READ_BYTES_CONF) == "16m"  # a smaller share stays
+    finally:
+        spark.conf.set(READ_BYTES_CONF, before)
+    layout = pipeline.Layout(f"{tmp_path}/lake", "TEST")
+    one = raw_df(spark, [trip()])
+    odd = lambda k, n: (F.xxhash64("id", F.lit(k)) % n).cast("double")
+    at = F.timestamp_add("SECOND", F.abs(F.xxhash64("id", F.lit(0)) % 2000000), F.lit("2025-01-02").cast("timestamp_ntz"))
+    many = spark.range(0, 1_500_000, 1, 1).crossJoin(one).withColumns({
+        "tpep_pickup_datetime": at, "fare_amount": odd(1, 1 << 40), "tip_amount": odd(2, 1 << 40), "total_amount": odd(3, 1 << 40),
+        "trip_distance": odd(4, 1 << 40), "tolls_amount": odd(5, 1 << 40)}).drop("id")
+    many.coalesce(1).write.parquet(f"{tmp_path}/in")
+    pipeline.ingest_month(spark, layout, f"{tmp_path}/in", 2025, 1, source_file_size_mb=0)
+    raw = pipeline.raw_trips_table(spark, layout)
+    shares = [r["n"] for r in raw.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(shares) == 1_500_000 and max(shares) < 1_000_000

@@ -89,8 +89,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null
     key (or a broadcast of the source keys when AQE sees they are small).
     ``null_safe`` matches NULL keys to each other (safe mode); plain
     equality never matches them (reference merge)."""
-    kept = target.join(_renamed_keys(source, keys), _key_match(target, keys, null_safe), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return unmatched(target, source, keys, null_safe).unionByName(source.select(*target.columns))
+
+
+def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """The target rows that a keyed upsert of ``source`` keeps."""
+    return target.join(_renamed_keys(source, keys), _key_match(target, keys, null_safe), "left_anti")
 
 
 def replace_grains(target: DataFrame, rebuilt: DataFrame, grain_cols: Sequence[str]) -> DataFrame:
@@ -146,25 +150,29 @@ def stage_merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
 
     Only partitions the source touches are read and rewritten (the keys
     determine the partition: a trip key fixes the pickup time, a mart key
-    its date/month).  The source is computed once, under the shared checkpoint
-    folder; the merged partitions are written once, beside the table, so the table
-    is never overwritten by a plan that reads it."""
+    its date/month).  The source is computed and written once, beside the table; the
+    rows that the table keeps of those partitions are added there, so the table
+    is never overwritten by a plan that reads it.  A partition new to the table is
+    neither read again nor merged."""
     from tripmart.plans import fs
 
     target = sinks.read_table(spark, path)
     if target is None:
         return sinks.stage_partitions(spark, source, path, partition_cols)
-    staged_src, src_path = sinks.stage(spark, source, "merge-source")
-    touched = [tuple(r) for r in staged_src.select(*partition_cols).distinct().collect()]
+    shape = target.unionByName(source.select(*target.columns)).schema  # one type for both, as a union has
+    as_shaped = lambda df: df.select(*[F.col(f.name).cast(f.dataType) for f in shape.fields])
+    staged = sinks.stage_partitions(spark, as_shaped(source), path, partition_cols)
+    if not any(fs.has_data(spark, held) for _, held in staged.moves):
+        return staged
+    fresh = staged.frame(spark)
     cond = F.lit(False)
-    for values in touched:
+    for values in fresh.select(*partition_cols).distinct().collect():
         c = F.lit(True)
         for col, v in zip(partition_cols, values):
             c = c & F.col(col).eqNullSafe(F.lit(v))
         cond = cond | c
-    merged = merge_upsert(target.filter(cond), staged_src, keys, null_safe)
-    staged = sinks.stage_partitions(spark, merged, path, partition_cols)
-    fs.delete(spark, src_path)
+    kept = as_shaped(unmatched(target.filter(cond), fresh, keys, null_safe))
+    kept.write.mode("append").partitionBy(*partition_cols).parquet(staged.folder)
     return staged
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.incremental import loading as inc
 from tripmart.operators import marts
-from tripmart.plans import fs, pipeline
+from tripmart.plans import fs, pipeline, sinks
 from tripmart.plans import oracle_sql as O
 from tripmart.plans.registry import present
 from tripmart.session import configure, staging_path
@@ -29,7 +29,7 @@ def write_month_files(spark: SparkSession, sf_dir: str, inbound: str, raw: DataF
     then each partition folder is renamed to its file name."""
     raw = raw if raw is not None else fixture.raw_trips_fixture(spark, sf_dir)
     parts = inbound.rstrip("/") + "/_parts"
-    raw.write.mode("overwrite").partitionBy("trip_year", "trip_month").parquet(parts)
+    raw.write.mode("overwrite").options(**sinks.SMALL_GROUPS).partitionBy("trip_year", "trip_month").parquet(parts)
     out = {}
     for year_dir in fs.list_files(spark, parts):
         for src in fs.list_files(spark, year_dir) if "trip_year=" in year_dir else []:

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.plans import fs, moves
-from tripmart.session import staging_path
+from tripmart.session import READ_BYTES, staging_path
+
+#: Writer options of partitions: a row group is read by one task, so it is no larger than a task's share.
+SMALL_GROUPS = {"parquet.block.size": str(READ_BYTES)}
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL
 
@@ -62,7 +65,7 @@ def stage_partitions(spark: SparkSession, df: DataFrame, path: str, partition_co
     moves.recover(spark, path)
     path = path.rstrip("/")
     staged = Staged(path, f"{path}.new-{uuid.uuid4().hex}", df.schema)
-    df.write.partitionBy(*partition_cols).parquet(staged.folder)
+    df.write.options(**SMALL_GROUPS).partitionBy(*partition_cols).parquet(staged.folder)
     level = [staged.folder]
     for column in partition_cols:
         level = [f for folder in level for f in fs.list_files(spark, folder) if f.rsplit("/", 1)[-1].startswith(f"{column}=")]

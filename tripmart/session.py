@@ -28,6 +28,10 @@ REQUIRED_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+#: A task reads at most so many bytes of files: the dedup keeps the rows a task has read until
+#: they are shuffled, nine million in 128 MB of raw trips, and would sort and spill them.
+READ_BYTES_CONF, READ_BYTES = "spark.sql.files.maxPartitionBytes", 32 << 20
+
 
 def build_session(master: str | None = None, app_name: str = "tripmart",
                   shuffle_partitions: int | None = None,
@@ -56,6 +60,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the required SQL settings to an existing session."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() > READ_BYTES:
+        spark.conf.set(READ_BYTES_CONF, str(READ_BYTES))
     return spark
 
 
